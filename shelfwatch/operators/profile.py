@@ -45,13 +45,25 @@ def _long_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_audit(df: DataFrame) -> DataFrame:
-    """Required and extra columns, and whether they are there (names only)."""
+    """Required and extra columns: whether they are there, and rows that fill them."""
     extra = [c for c in df.columns if c not in schemas.REQUIRED_COLUMNS]
-    rows = [(c, True, c in df.columns) for c in schemas.REQUIRED_COLUMNS]
-    rows += [(c, False, True) for c in extra]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, is_required boolean, is_present boolean"
+    listed = [*schemas.REQUIRED_COLUMNS, *extra]
+    counts = df.agg(
+        *[(F.count(c) if c in df.columns else F.lit(0).cast("long")).alias(f"c{i}")
+          for i, c in enumerate(listed)]
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.lit(c in schemas.REQUIRED_COLUMNS).alias("is_required"),
+                F.lit(c in df.columns).alias("is_present"),
+                F.col(f"c{i}").alias("filled_rows"),
+            )
+            for i, c in enumerate(listed)
+        ]
     )
+    return counts.select(F.inline(entries))
 
 
 def quality_summary(df: DataFrame) -> DataFrame:

@@ -175,7 +175,7 @@ def fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     batch = clean.scored(views.full_raw(views.raw_records(spark, sf_dir))).transform(clean.to_clean, "seq")
     stage = dimension.with_load_defaults(batch)
-    return plain(facts.append_facts(stage, dim, LOAD_TIME, batch_id=1, last_id=1000))
+    return plain(facts.sweep_facts(facts.append_facts(stage, dim, LOAD_TIME, batch_id=1, last_id=1000)))
 
 
 def dim_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
