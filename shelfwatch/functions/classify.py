@@ -1,7 +1,7 @@
 """Brand and device type from free text, by ordered rule tables.
 
 A term matches when no ASCII letter or digit touches it.  Instead of one regex per
-rule, a text is scanned once for all terms; the rule of the best-ranked hit wins.
+rule, a text is cut into words once; the rule of the best-ranked word wins.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwatch.functions import fixed as K
-from shelfwatch.functions.text import squeeze
+from shelfwatch.functions.text import let, squeeze
 
 Rules = Mapping[str, Sequence[str]]
 
@@ -32,8 +32,7 @@ def _ranked_terms(rules: Rules) -> list[tuple[str, str]]:
     """(term, class) in rule order, without terms that cannot decide anything.
 
     A phrase holding a single-word term of the same or an earlier class is dropped:
-    wherever it matches, that word matches too and ranks at least as well.  The rest
-    must not overlap, so that one left-to-right scan finds every hit.
+    wherever it matches, that word matches too and ranks at least as well.
     """
     rank = {name: i for i, name in enumerate(rules)}
     single: dict[str, str] = {}
@@ -50,20 +49,33 @@ def _ranked_terms(rules: Rules) -> list[tuple[str, str]]:
             ):
                 continue
             kept.append((term, name))
-    phrases = [t for t, _ in kept if " " in t]
-    if any(w in single for p in phrases for w in p.split()):
-        raise ValueError("a phrase overlaps a term of a later class")
     return kept
 
 
 def best_class(text: Column, rules: Rules) -> Column:
-    """Class of the first rule with a term in ``text`` (lower case); null if none."""
+    """Class of the first rule with a term in ``text`` (lower case); null if none.
+
+    A single-word term stands alone exactly if it is one of the runs of ASCII letters
+    and digits of the text, so these runs are intersected with all terms at once; only
+    phrases are searched for.
+    """
     ranked = _ranked_terms(rules)
-    terms = F.array(*[F.lit(t) for t, _ in ranked])
+    order = {t: i + 1 for i, (t, _) in enumerate(ranked)}
+    terms = F.array(*[F.lit(t) for t in order if " " not in t])
+    ranks = F.array(*[F.lit(i) for t, i in order.items() if " " not in t])
     classes = F.array(*[F.lit(n) for _, n in ranked])
-    hits = F.regexp_extract_all(text, F.lit(whole_word([t for t, _ in ranked])), F.lit(0))
-    place = F.array_min(F.transform(hits, lambda hit: F.array_position(terms, hit)))
-    return F.get(classes, place.cast("int") - 1)
+
+    def found(lowered: Column) -> Column:
+        hits = F.array_intersect(F.split(lowered, "[^a-z0-9]+"), terms)
+        places = [F.array_min(F.transform(hits, lambda h: F.get(ranks, (F.array_position(terms, h) - 1).cast("int"))))]
+        places += [
+            F.when(lowered.contains(t) & lowered.rlike(whole_word([t])), F.lit(i))
+            for t, i in order.items() if " " in t
+        ]
+        place = F.least(*places) if len(places) > 1 else places[0]
+        return F.get(classes, place - 1)
+
+    return let(text, found)
 
 
 def _lowered(col: Column) -> Column:
@@ -108,10 +120,14 @@ def corrected_brand(
     Without an inferred brand the scraped text names no known brand, so it is kept
     only if it is neither generic nor a device word nor the device type itself.
     """
-    scraped = squeeze(brand)
-    empty = (
-        F.lower(scraped).isin(*K.GENERIC_BRANDS)
-        | looks_like_device(scraped)
-        | F.coalesce(F.lower(scraped) == F.lower(device), F.lit(False))
+    def unless_empty(scraped: Column) -> Column:
+        empty = (
+            F.lower(scraped).isin(*K.GENERIC_BRANDS)
+            | looks_like_device(scraped)
+            | F.coalesce(F.lower(scraped) == F.lower(device), F.lit(False))
+        )
+        return F.when(~empty, scraped)
+
+    return F.coalesce(
+        infer_brand(title, brand, manufacturer), let(squeeze(brand), unless_empty)
     )
-    return F.coalesce(infer_brand(title, brand, manufacturer), F.when(~empty, scraped))

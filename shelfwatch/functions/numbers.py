@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwatch.functions import fixed as K
-from shelfwatch.functions.text import clean_text
+from shelfwatch.functions.text import clean_text, let
 
 
 def _digit_table() -> tuple[str, str]:
@@ -26,10 +26,11 @@ FOREIGN_DIGITS, ASCII_DIGITS = _digit_table()
 
 def _to_double(number: Column) -> Column:
     """Text to double; anything that is no number gives null (ANSI safe)."""
-    plain = F.when(number.rlike("^[0-9.]*$"), number).otherwise(
-        F.translate(number, FOREIGN_DIGITS, ASCII_DIGITS)
+    return let(
+        number,
+        lambda n: F.when(n.rlike(r"^[0-9.]*\z"), n)
+        .otherwise(F.translate(n, FOREIGN_DIGITS, ASCII_DIGITS)).try_cast("double"),
     )
-    return plain.try_cast("double")
 
 
 def clean_price(col: Column) -> Column:
@@ -37,12 +38,13 @@ def clean_price(col: Column) -> Column:
 
     Commas are thousands marks; with two or more dots these are as well.
     """
-    run = F.replace(
-        F.regexp_extract(col, rf"[{K.DIGIT},.]+", 0), F.lit(","), F.lit("")
+    run = F.replace(F.regexp_extract(col, rf"[{K.DIGIT},.]+", 0), F.lit(","), F.lit(""))
+    return _to_double(
+        let(
+            run,
+            lambda r: F.when(r.rlike(r"\..*\."), F.replace(r, F.lit("."), F.lit(""))).otherwise(r),
+        )
     )
-    undotted = F.replace(run, F.lit("."), F.lit(""))
-    dots = F.length(run) - F.length(undotted)
-    return _to_double(F.when(dots > 1, undotted).otherwise(run))
 
 
 def rating_score(col: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,14 +11,25 @@ from shelfwatch.functions import fixed as K
 
 _EDGES = rf"^{K.NOT_WORD}+|{K.NOT_WORD}+\z"
 _NUMBER_ONLY = rf"^{K.DIGIT}+(?:[.,]{K.DIGIT}+)?\z"
+# White space in an order that settles most letters with one comparison.
+_ANY_SPACE = rf"[\x00-\x20\x7f-\x{{ffff}}&&{K.SPACE}]"
+_ODD_SPACE = rf"[\x00-\x1f\x7f-\x{{ffff}}&&{K.SPACE}]"
+# All that squeezing changes: odd white space, or a blank with more behind it.
+_SQUEEZED = rf"{_ODD_SPACE}{_ANY_SPACE}*| {_ANY_SPACE}+"
+# The lookahead for the first letters spares most positions the costlier tests.
 SHIPPING_PATTERN = (
-    rf"(?iu)(?<!{K.WORD})(?:{'|'.join(K.SHIPPING_WORDS)})(?!{K.WORD})"
+    rf"(?iu)(?=[sd])(?<!{K.WORD})(?:{'|'.join(K.SHIPPING_WORDS)})(?!{K.WORD})"
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(col: Column) -> Column:
     """Runs of Unicode white space become one blank; edges are trimmed."""
-    return F.trim(F.regexp_replace(col, K.SPACE + "+", " "))
+    return F.trim(F.regexp_replace(col, _SQUEEZED, " "))
 
 
 def strip(col: Column) -> Column:
@@ -43,32 +56,36 @@ def mentions_shipping(col: Column) -> Column:
     return F.coalesce(col.rlike(SHIPPING_PATTERN), F.lit(False))
 
 
-def _stock_letters(text: Column) -> Column:
-    return F.regexp_replace(F.lower(text), "[^a-z]+", "")
+def _spells(text: Column, forms: tuple[str, ...]) -> Column:
+    """The text's plain letters, other signs left out, spell one of the forms.
+
+    Anchored, so a text that starts differently is settled at its first letters.
+    """
+    gap = "[^a-z]*"
+    spelled = "|".join(gap.join(form) for form in forms)
+    return F.lower(text).rlike(rf"^{gap}(?:{spelled}){gap}\z")
 
 
 def clean_availability(col: Column) -> Column:
     """Stock status only: shipping promises and missing markers are replaced."""
-    text = clean_text(col)
-    letters = _stock_letters(text)
-    return (
-        F.when(text.isNull() | mentions_shipping(text), F.lit(K.PLACEHOLDER))
-        .when(letters.isin(*K.IN_STOCK_FORMS), F.lit(K.IN_STOCK))
-        .when(letters.isin(*K.OUT_OF_STOCK_FORMS), F.lit(K.OUT_OF_STOCK))
+    return let(
+        clean_text(col),
+        lambda text: F.when(text.isNull() | mentions_shipping(text), F.lit(K.PLACEHOLDER))
+        .when(_spells(text, K.IN_STOCK_FORMS), F.lit(K.IN_STOCK))
+        .when(_spells(text, K.OUT_OF_STOCK_FORMS), F.lit(K.OUT_OF_STOCK))
         .when(F.lower(text).isin(*K.CLEAN_MISSING), F.lit(K.PLACEHOLDER))
-        .otherwise(text)
+        .otherwise(text),
     )
 
 
 def page_availability(col: Column) -> Column:
     """As ``clean_availability``, but an unknown status stays empty text."""
-    text = squeeze(col)
-    letters = _stock_letters(text)
-    return (
-        F.when(text.isNull() | mentions_shipping(text), F.lit(""))
-        .when(letters.isin(*K.IN_STOCK_FORMS), F.lit(K.IN_STOCK))
-        .when(letters.isin(*K.OUT_OF_STOCK_FORMS), F.lit(K.OUT_OF_STOCK))
-        .otherwise(text)
+    return let(
+        squeeze(col),
+        lambda text: F.when(text.isNull() | mentions_shipping(text), F.lit(""))
+        .when(_spells(text, K.IN_STOCK_FORMS), F.lit(K.IN_STOCK))
+        .when(_spells(text, K.OUT_OF_STOCK_FORMS), F.lit(K.OUT_OF_STOCK))
+        .otherwise(text),
     )
 
 
@@ -79,9 +96,12 @@ def capitalize(col: Column) -> Column:
 
 def word_count(col: Column) -> Column:
     """White-space separated words; 0 for null and blank."""
-    text = squeeze(col)
-    blanks = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(blanks + 1).cast("long")
+    return let(
+        squeeze(col),
+        lambda text: F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(
+            F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+        ),
+    ).cast("long")
 
 
 def is_noise_word(word: Column) -> Column:
@@ -89,9 +109,17 @@ def is_noise_word(word: Column) -> Column:
     return F.lower(word).isin(*K.NAME_TRAILING_WORDS) | word.rlike(_NUMBER_ONLY)
 
 
+def last_word(col: Column) -> Column:
+    """The last white-space separated word, read from the end of the text."""
+    tail = F.substring_index(strip(col), " ", -1)
+    return F.regexp_extract(tail, rf"([^{K.SPACE[1:-1]}]*)\z", 1)
+
+
 def has_trailing_noise(col: Column) -> Column:
-    last = F.substring_index(squeeze(col), " ", -1)
-    return F.coalesce((last != "") & is_noise_word(last), F.lit(False))
+    return let(
+        last_word(col),
+        lambda last: F.coalesce((last != "") & is_noise_word(last), F.lit(False)),
+    )
 
 
 def needs_new_name(col: Column) -> Column:
@@ -114,18 +142,23 @@ def product_name(title: Column) -> Column:
     def take(state: Column, token: Column) -> Column:
         words = state["words"]
         split_here = token.rlike(K.NAME_SEPARATORS)
-        word = F.regexp_replace(
-            F.regexp_extract(token, r"^[^,:\-_]*", 0), _EDGES, ""
-        )
-        break_word = ~split_here & F.lower(word).isin(*K.NAME_BREAK_WORDS)
-        keep = (word != "") & F.when(split_here, ~is_noise_word(word)).otherwise(~break_word)
-        grown = F.when(keep, F.concat(words, F.array(word))).otherwise(words)
-        complete = ((split_here | break_word) & (F.size(grown) > 0)) | (
-            F.size(grown) >= K.NAME_MAX_WORDS
-        )
-        return F.when(state["done"], state).otherwise(
-            F.struct(grown.alias("words"), complete.alias("done"))
-        )
+
+        def with_word(word: Column) -> Column:
+            break_word = ~split_here & F.lower(word).isin(*K.NAME_BREAK_WORDS)
+            keep = (word != "") & F.when(split_here, ~is_noise_word(word)).otherwise(~break_word)
+            stop = split_here | break_word
+            return let(
+                F.when(keep, F.concat(words, F.array(word))).otherwise(words),
+                lambda grown: F.struct(
+                    grown.alias("words"),
+                    (
+                        (stop & (F.size(grown) > 0)) | (F.size(grown) >= K.NAME_MAX_WORDS)
+                    ).alias("done"),
+                ),
+            )
+
+        word = F.regexp_replace(F.regexp_extract(token, r"^[^,:\-_]*", 0), _EDGES, "")
+        return F.when(state["done"], state).otherwise(let(word, with_word))
 
     def finish(state: Column) -> Column:
         words = state["words"]

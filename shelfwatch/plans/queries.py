@@ -16,7 +16,7 @@ from shelfwatch import schemas
 from shelfwatch.functions import classify, numbers, text, urls
 from shelfwatch.operators import clean, dimension, facts, measures, merge, profile, quality, reports
 from shelfwatch.plans import views
-from shelfwatch.session import prepare, work_folder
+from shelfwatch.session import prepare, spread, work_folder
 from shelfwatch.sources import pages
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.hourly import run_incremental
@@ -55,7 +55,7 @@ def cents_up(col: Column, places: int = 2) -> Column:
 
 # --- text and numbers ----------------------------------------------------------
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _text_query(**columns: Callable[[Column], Column]) -> Query:
@@ -71,7 +71,7 @@ def _text_query(**columns: Callable[[Column], Column]) -> Query:
 def _raw_query(**columns: Column | Callable[[], Column]) -> Query:
     """Expressions over the raw records."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = views.full_raw(views.raw_records(spark, sf_dir))
+        raw = views.full_raw(spread(views.raw_records(spark, sf_dir)))
         return plain(raw.select("seq", *[f().alias(name) for name, f in columns.items()]))
     return run
 
@@ -173,7 +173,7 @@ def fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.concat(F.lit("SKU"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("sku"),
     )
-    batch = clean.scored(views.full_raw(views.raw_records(spark, sf_dir))).transform(clean.to_clean, "seq")
+    batch = clean.scored(views.full_raw(spread(views.raw_records(spark, sf_dir)))).transform(clean.to_clean, "seq")
     stage = dimension.with_load_defaults(batch)
     return plain(facts.sweep_facts(facts.append_facts(stage, dim, LOAD_TIME, batch_id=1, last_id=1000)))
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+# Above this many bytes an input is never redistributed just to use more cores.
+SPREAD_LIMIT = 16 * 2**30
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # Settings results rely on: one time zone, and the last of two equal map keys wins.
@@ -32,6 +34,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in {**REQUIRED, **ADAPTIVE}.items():
@@ -60,3 +64,23 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="shelfwatch-")
         spark.conf.set(CHECKPOINT_SETTING, shared)
     return f"{shared.rstrip('/')}/shelfwatch/{purpose}-{uuid.uuid4().hex}"
+
+
+def _in_bytes(size: str) -> int:
+    units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+    plain = size.strip().lower().rstrip("b") or "0"
+    return int(plain[:-1]) * units[plain[-1]] if plain[-1] in units else int(plain)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly per-row work all cores when the input is too small to be split.
+
+    An input with enough splits of its own, or above a fixed size, is left alone: this
+    never shuffles a large table.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    per_split = _in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    small = size < min(cores * per_split // 2, SPREAD_LIMIT)
+    return df.repartition(cores) if small else df

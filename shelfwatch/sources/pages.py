@@ -8,7 +8,7 @@ whole extraction is one narrow stage: no shuffle, one output row per page or car
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions.numbers import clean_price, discount_percent
-from shelfwatch.functions.text import page_availability, squeeze
+from shelfwatch.functions.text import let, page_availability, squeeze
 from shelfwatch.functions.urls import normalize_url
+from shelfwatch.session import spread
 from shelfwatch.sources.outline import Mark, index_marks, outline
 
 _NODE = (
@@ -232,38 +233,42 @@ def outlines(pages: DataFrame, marks: dict, label: str | None = None) -> DataFra
                     columns[name] = [f[name] for f in found]
                 yield pa.RecordBatch.from_pydict(columns, schema=_ARROW)
 
-    return pages.select("page_id", "url", "category", "html").mapInArrow(read, OUTLINE_SCHEMA)
+    wanted = spread(pages.select("page_id", "url", "category", "html"))
+    return wanted.mapInArrow(read, OUTLINE_SCHEMA)
 
 
-# --- expressions over the nodes array ----------------------------------------
-def marked(nodes: Column, mark: str) -> Column:
-    return F.filter(nodes, lambda n: F.array_contains(n["marks"], mark))
+# --- expressions over the nodes array, as SQL text -----------------------------
+# ``nodes`` names a column (or is SQL text for one); marks are fixed names from above.
+def _has(mark: str, node: str = "n") -> str:
+    return f"array_contains({node}.marks, '{mark}')"
 
 
-def inside(nodes: Column, outer: Column) -> Column:
-    """Nodes below ``outer``."""
-    return F.filter(nodes, lambda n: (n["pre"] > outer["pre"]) & (n["pre"] <= outer["last"]))
+def _where(nodes: str, test: str) -> str:
+    return f"filter({nodes}, n -> {test})"
 
 
-def texts(nodes: Column, mark: str, part: str = "text") -> Column:
-    return F.transform(marked(nodes, mark), lambda n: n[part])
+def _inside(nodes: str, outer: str) -> str:
+    """Nodes below ``outer``."""
+    return _where(nodes, f"n.pre > {outer}.pre AND n.pre <= {outer}.last")
 
 
-def _first(values: Column, test: Callable[[Column], Column]) -> Column:
-    return F.get(F.filter(values, test), F.lit(0))
+def _node(nodes: str, mark: str) -> str:
+    return f"get({_where(nodes, _has(mark))}, 0)"
 
 
-def first_text(nodes: Column, *marks: str) -> Column:
-    """First non-empty text of the first mark that has one."""
-    return F.coalesce(*[_first(texts(nodes, m), lambda t: t != "") for m in marks])
+def _first(nodes: str, marks: tuple[str, ...], part: str, test: str) -> str:
+    """``part`` of the first node passing ``test``, of the first mark that has one."""
+    return "coalesce(" + ", ".join(
+        f"get({_where(nodes, f'{_has(m)} AND {test}')}, 0).{part}" for m in marks
+    ) + ", NULL)"
 
 
-def first_price(nodes: Column, *marks: str) -> Column:
-    return F.coalesce(*[_first(texts(nodes, m), lambda t: clean_price(t).isNotNull()) for m in marks])
+def _first_text(nodes: str, *marks: str) -> str:
+    return _first(nodes, marks, "text", "n.text <> ''")
 
 
-def _node(nodes: Column, mark: str) -> Column:
-    return F.get(marked(nodes, mark), F.lit(0))
+def _numbered(stem: str, last: int) -> tuple[str, ...]:
+    return tuple(f"{stem} {i}" for i in range(1, last + 1))
 
 
 def clean_seller(col: Column) -> Column:
@@ -279,137 +284,153 @@ def clean_seller(col: Column) -> Column:
         name = F.regexp_replace(name, pattern, "")
     # "A B A B" reads "A B": the text equals its first half, a blank, and it again.
     half = F.regexp_replace(squeeze(name), r"^(.+) \1\z", "$1")
-    return F.coalesce(
-        F.when(F.lower(half).isin(*K.HOUSE_SELLER_FORMS), F.lit(K.HOUSE_SELLER)).otherwise(half),
-        F.lit(""),
+    return let(
+        half,
+        lambda h: F.when(h.isNull(), F.lit(""))
+        .when(F.lower(h).isin(*K.HOUSE_SELLER_FORMS), F.lit(K.HOUSE_SELLER)).otherwise(h),
     )
 
 
-def first_seller(values: Column) -> Column:
-    return _first(F.transform(values, clean_seller), lambda s: s != "")
-
-
-def get_spec(specs: Column, labels: tuple[str, ...]) -> Column:
-    """Value of the first spec whose normalised key contains a label, in label order.
+# Marks whose text may name the seller.
+_SELLER_MARKS = (
+    "seller 1", "seller 2", "seller 3", "seller 4", "merchant info", "shown 2", "shown 4", "shown 5",
+    "shown 6", "shown 7", "merchant box", "merchant feature", "merchant desktop", "tabular row",
+    "tabular link", "tabular value",
+)
 
-    Keys that normalise alike stand where the first was and hold the value of the last.
-    """
-    def plain(text: Column) -> Column:
-        return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
-    entries = F.transform(
-        F.map_entries(specs), lambda e: F.struct(plain(e["key"]).alias("k"), e["value"].alias("v"))
+def read_values(nodes: Column, labels: Column) -> tuple[Column, Column]:
+    """Nodes and labels with the price, and nodes with the seller, their text gives."""
+    parts = ("pre", "last", "up", "marks", "attrs", "text", "raw")
+    names_seller = F.array(*[F.lit(m) for m in _SELLER_MARKS])
+    return (
+        F.transform(nodes, lambda n: F.struct(
+            *[n[p].alias(p) for p in parts],
+            clean_price(n["text"]).alias("price"),
+            F.when(F.arrays_overlap(n["marks"], names_seller), clean_seller(n["text"])).alias("seller"),
+        )),
+        F.transform(labels, lambda l: F.struct(
+            l["pre"].alias("pre"), F.transform(l["texts"], clean_price).alias("prices")
+        )),
     )
 
-    def pick(label: str) -> Column:
-        key = F.get(F.filter(entries, lambda e: e["k"].contains(label)), F.lit(0))["k"]
-        same = F.filter(entries, lambda e: e["k"] == key)
-        return F.get(F.reverse(same), F.lit(0))["v"]
-
-    return F.coalesce(*[pick(label) for label in labels], F.lit(""))
-
 
-def spec_map(nodes: Column) -> Column:
+def spec_map(nodes: str = "nodes") -> Column:
     """Spec table rows and "key: value" bullets; a later key replaces an earlier one."""
-    cells = marked(nodes, "spec cell")
+    cells = _where(nodes, _has("spec cell"))
+    key = "get(own, 0)"
+    value = "get(filter(own, c -> c.up = get(own, 0).up AND c.pre > get(own, 0).last), 0)"
+    rows = (
+        f"transform(transform({_where(nodes, _has('spec row'))}, r -> {_inside(cells, 'r')}),"
+        f" own -> struct({key}.text AS key, {value}.text AS value))"
+    )
+    bullets = f"transform({_where(nodes, _has('spec bullet'))}, n -> n.text)"
 
-    def row_pair(row: Column) -> Column:
-        own = inside(cells, row)
-        key = F.get(own, F.lit(0))
-        value = F.get(
-            F.filter(own, lambda c: (c["up"] == key["up"]) & (c["pre"] > key["last"])), F.lit(0)
-        )
-        return F.struct(key["text"].alias("key"), value["text"].alias("value"))
+    def side(s: Column) -> Column:
+        return squeeze(F.replace(s, F.lit("\u200e"), F.lit("")))
 
-    def bullet_pair(node: Column) -> Column:
-        text = node["text"]
+    def bullet_pair(text: Column) -> Column:
         colon = F.instr(text, ":")
-
-        def side(s: Column) -> Column:
-            return squeeze(F.replace(s, F.lit("‎"), F.lit("")))
-
         return F.struct(
             F.when(colon > 0, side(F.substring_index(text, ":", 1))).alias("key"),
             F.when(colon > 0, side(F.substr(text, colon + 1))).alias("value"),
         )
 
-    pairs = F.concat(
-        F.transform(marked(nodes, "spec row"), row_pair),
-        F.transform(marked(nodes, "spec bullet"), bullet_pair),
+    pairs = F.concat(F.expr(rows), F.transform(F.expr(bullets), bullet_pair))
+    return F.map_from_entries(F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != "")))
+
+
+def spec_entries(specs: Column) -> Column:
+    """Specs as (plain key, value): lower case, other signs as single blanks.
+
+    Keys that read alike become one, placed where the first was, with the last value.
+    """
+    plain = F.transform(
+        F.map_entries(specs),
+        lambda e: F.struct(
+            F.trim(F.regexp_replace(F.lower(e["key"]), "[^a-z0-9]+", " ")).alias("k"),
+            e["value"].alias("v"),
+        ),
     )
-    whole = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
-    return F.map_from_entries(whole)
+
+    def merged(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
+        return F.transform(
+            keys,
+            lambda k: F.get(F.reverse(F.filter(entries, lambda e: e["k"] == k)), F.lit(0)),
+        )
+
+    return let(plain, merged)
+
+
+def get_spec(entries: str, labels: tuple[str, ...]) -> Column:
+    """Value of the first spec whose key contains a label, in label order; else empty."""
+    picks = [f"get(filter({entries}, e -> contains(e.k, '{label}')), 0).v" for label in labels]
+    return F.expr(f"coalesce({', '.join(picks)}, '')")
 
 
-def page_code(nodes: Column) -> Column:
+def page_code(nodes: str = "nodes") -> Column:
     """Product code of a page from its inputs, attributes or canonical link."""
     def of(mark: str) -> Column:
-        attrs = _node(nodes, mark)["attrs"]
+        attrs = F.expr(_node(nodes, mark))["attrs"]
         code = F.coalesce(F.nullif(attrs["value"], F.lit("")), attrs["data-asin"])
         return F.nullif(squeeze(code), F.lit(""))
 
-    link = F.regexp_extract(_node(nodes, "canonical")["attrs"]["href"], PAGE_CODE, 1)
-    return F.coalesce(of("code 1"), of("code 2"), of("code 3"), of("code 4"), link, F.lit(""))
-
+    href = F.expr(_node(nodes, "canonical"))["attrs"]["href"]
+    return F.coalesce(
+        *[of(f"code {i}") for i in range(1, 5)], F.regexp_extract(href, PAGE_CODE, 1), F.lit("")
+    )
 
-def _offer_price(nodes: Column, code: Column) -> Column:
-    def of(link: Column) -> Column:
-        # Candidates below the link, then the link's own text.
-        options = F.concat(texts(inside(nodes, link), "offer price"), F.array(link["text"]))
-        return _first(options, lambda t: clean_price(t).isNotNull())
 
-    def among(path: str) -> Column:
-        links = F.filter(
-            marked(nodes, "offer link"),
-            lambda n: n["attrs"]["href"].contains(F.concat(F.lit(path), code)),
-        )
-        return _first(F.transform(links, of), lambda t: t.isNotNull())
+def _offer_price(nodes: str, code: str) -> str:
+    """First price in or below a link to the page's other offers."""
+    def among(path: str) -> str:
+        links = _where(nodes, f"{_has('offer link')} AND contains(n.attrs['href'], concat('{path}', {code}))")
+        below = f"get({_where(nodes, f'{_has("offer price")} AND n.price IS NOT NULL AND n.pre > a.pre AND n.pre <= a.last')}, 0).price"
+        prices = f"transform({links}, a -> coalesce({below}, a.price))"
+        return f"get(filter({prices}, p -> p IS NOT NULL), 0)"
 
-    return F.when(code != "", F.coalesce(among("/offer-listing/"), among("offer-listing/")))
+    return f"CASE WHEN {code} <> '' THEN coalesce({among('/offer-listing/')}, {among('offer-listing/')}) END"
 
 
-def _labelled_price(labels: Column) -> Column:
-    options = F.flatten(F.transform(labels, lambda l: l["texts"]))
-    return _first(options, lambda t: clean_price(t).isNotNull())
+def _labelled_price(labels: str) -> str:
+    return f"get(filter(flatten(transform({labels}, l -> l.prices)), p -> p IS NOT NULL), 0)"
 
 
-def _seller(nodes: Column, scripts: Column) -> Column:
-    plain = clean_seller(
-        first_text(nodes, "seller 1", "seller 2", "seller 3", "seller 4", "merchant info")
+def _seller(nodes: str = "nodes") -> Column:
+    """Seller from the buy box, the offer display, the tabular box or script data."""
+    # The first element with any text decides, even if cleaning leaves nothing of it.
+    plain = _first(nodes, (*_numbered("seller", 4), "merchant info"), "seller", "n.text <> ''")
+    shown = _first(
+        nodes, ("seller 2", "shown 2", "seller 3", "shown 4", "shown 5", "shown 6", "shown 7"),
+        "seller", "n.seller <> ''",
     )
-    shown = [
-        first_seller(texts(nodes, m))
-        for m in ("seller 2", "shown 2", "seller 3", "shown 4", "shown 5", "shown 6", "shown 7")
-    ]
-    boxes = F.filter(
-        nodes, lambda n: F.arrays_overlap(
-            n["marks"],
-            F.array(F.lit("merchant box"), F.lit("merchant feature"), F.lit("merchant desktop")),
-        ) & n["text"].rlike(r"(?i)shipper\s*/\s*seller|seller"),
+    # r-strings: the SQL literal below is read raw as well.
+    boxed_test = (
+        "arrays_overlap(n.marks, array('merchant box', 'merchant feature', 'merchant desktop'))"
+        r" AND n.text rlike r'(?i)shipper\s*/\s*seller|seller' AND n.seller <> ''"
     )
-    boxed = first_seller(F.transform(boxes, lambda n: n["text"]))
-
-    def of_row(row: Column) -> Column:
-        own = inside(nodes, row)
-        whole = clean_seller(row["text"])
-        return F.when(
-            row["text"].rlike("(?i)sold by|seller"),
-            F.coalesce(
-                F.nullif(clean_seller(_node(own, "tabular link")["text"]), F.lit("")),
-                F.nullif(clean_seller(_node(own, "tabular value")["text"]), F.lit("")),
-                F.when((whole != "") & ~whole.rlike(r"(?i)^(sold by|seller)\z"), whole),
-            ),
-        )
-
-    tabular = _first(F.transform(marked(nodes, "tabular row"), of_row), lambda s: s.isNotNull())
+    boxed = f"get({_where(nodes, boxed_test)}, 0).seller"
+    own = _inside(nodes, "r")
+    by_row = (
+        f"transform({_where(nodes, _has('tabular row') + ' AND n.text rlike r' + chr(39) + '(?i)sold by|seller' + chr(39))},"
+        f" r -> coalesce(nullif({_node(own, 'tabular link')}.seller, ''),"
+        f" nullif({_node(own, 'tabular value')}.seller, ''),"
+        r" CASE WHEN r.seller <> '' AND NOT r.seller rlike r'(?i)^(sold by|seller)\z' THEN r.seller END))"
+    )
+    tabular = f"get(filter({by_row}, s -> s IS NOT NULL), 0)"
 
     def of_key(key: str) -> Column:
-        raw = F.nullif(F.regexp_extract(scripts, rf'"{key}"\s*:\s*"([^"]+)"', 1), F.lit(""))
+        raw = F.nullif(F.regexp_extract("scripts", rf'"{key}"\s*:\s*"([^"]+)"', 1), F.lit(""))
         read = F.from_json(F.concat(F.lit('["'), raw, F.lit('"]')), "array<string>")
-        return F.nullif(clean_seller(F.coalesce(F.get(read, F.lit(0)), raw)), F.lit(""))
+        return F.coalesce(F.get(read, F.lit(0)), raw)
 
+    scripted = F.filter(
+        F.transform(F.array(*[of_key(k) for k in SELLER_KEYS]), clean_seller), lambda s: s != ""
+    )
     return F.coalesce(
-        F.nullif(plain, F.lit("")), *shown, boxed, tabular, *[of_key(k) for k in SELLER_KEYS], F.lit("")
+        F.expr(f"nullif({plain}, '')"), F.expr(shown), F.expr(boxed), F.expr(tabular),
+        F.get(scripted, F.lit(0)), F.lit(""),
     )
 
 
@@ -420,91 +441,103 @@ def extract_listings(pages: DataFrame) -> DataFrame:
     """
     cards = (
         outlines(drop_blocked(pages), LISTING_MARKS)
-        .select("page_id", "category", "nodes", F.posexplode(marked(F.col("nodes"), "card")).alias("position", "card"))
-        .where(F.coalesce(F.col("card")["attrs"]["data-asin"] != "", F.lit(False)))
-        .select("page_id", "category", "position", "card", inside(F.col("nodes"), F.col("card")).alias("nodes"))
+        .select("page_id", "category", "nodes", F.expr(f"posexplode({_where('nodes', _has('card'))}) AS (position, card)"))
+        .where("coalesce(card.attrs['data-asin'], '') <> ''")
+        .select("page_id", "category", "position", "card", F.expr(_inside("nodes", "card")).alias("nodes"))
+    )
+    in_parts = (
+        f"concat({_node('nodes', 'price whole')}.raw,"
+        f" coalesce(concat('.', {_node('nodes', 'price fraction')}.raw), ''))"
     )
-    nodes = F.col("nodes")
-    heading = _node(nodes, "title")
-    in_heading = _node(inside(nodes, heading), "title span")
-    whole, fraction = _node(nodes, "price whole")["raw"], _node(nodes, "price fraction")["raw"]
-    in_parts = F.concat(whole, F.coalesce(F.concat(F.lit("."), fraction), F.lit("")))
-    price = F.coalesce(F.nullif(_node(nodes, "price")["text"], F.lit("")), in_parts, F.lit(""))
-    strike = _first(texts(nodes, "strike price"), lambda t: (t != "") & (t != F.col("_price")))
-    return cards.withColumn("_price", price).select(
+    priced = cards.withColumns(
+        {
+            "price": F.expr(
+                f"coalesce(nullif({_node('nodes', 'price')}.text, ''), nullif({in_parts}, ''), '')"
+            ),
+            "heading": F.expr(_node("nodes", "title")),
+            "image": F.expr(_node("nodes", "image")),
+        }
+    )
+    in_heading = _node(_inside("nodes", "heading"), "title span")
+    strike = _first("nodes", ("strike price",), "text", "n.text <> '' AND n.text <> price")
+    badges = f"transform({_where('nodes', _has('badge') + ' AND n.text <> ' + chr(39) * 2)}, n -> n.text)"
+    return priced.select(
         "page_id",
         F.col("position").cast("long").alias("position"),
-        F.col("card")["attrs"]["data-asin"].alias("asin"),
-        F.coalesce(in_heading["raw"], heading["raw"], F.lit(K.NO_TITLE)).alias("title"),
-        F.when(F.col("_price") == "", F.lit(K.NO_PRICE)).otherwise(F.col("_price")).alias("price"),
-        F.coalesce(strike, F.lit("")).alias("original_price"),
-        F.coalesce(_node(nodes, "rating")["raw"], F.lit(K.NO_RATING)).alias("rating"),
-        F.when(_node(nodes, "image").isNull(), F.lit(""))
-        .otherwise(_node(nodes, "image")["attrs"]["src"]).alias("image_url"),
-        normalize_url(_node(nodes, "link")["attrs"]["href"]).alias("product_url"),
+        F.expr("card.attrs['data-asin']").alias("asin"),
+        F.coalesce(F.expr(f"{in_heading}.raw"), F.col("heading.raw"), F.lit(K.NO_TITLE)).alias("title"),
+        F.when(F.col("price") == "", F.lit(K.NO_PRICE)).otherwise(F.col("price")).alias("price"),
+        F.coalesce(F.expr(strike), F.lit("")).alias("original_price"),
+        F.coalesce(F.expr(f"{_node('nodes', 'rating')}.raw"), F.lit(K.NO_RATING)).alias("rating"),
+        F.expr("CASE WHEN image IS NULL THEN '' ELSE image.attrs['src'] END").alias("image_url"),
+        normalize_url(F.expr(f"{_node('nodes', 'link')}.attrs['href']")).alias("product_url"),
         "category",
         F.col("category").alias("source_search_term"),
-        F.filter(texts(nodes, "badge"), lambda t: t != "").alias("listing_badges"),
+        F.expr(badges).alias("listing_badges"),
     )
 
 
 def extract_details(pages: DataFrame) -> DataFrame:
     """Product pages to detail records, one row per page, with the page's code."""
-    nodes, labels = F.col("nodes"), F.col("labels")
-    scope = F.get(marked(nodes, "price scope"), F.lit(0))
-    scoped = outlines(drop_blocked(pages), DETAIL_MARKS, PRICE_LABEL).select(
-        "*",
-        F.when(scope.isNull(), nodes).otherwise(inside(nodes, scope)).alias("near"),
-        F.when(scope.isNull(), labels).otherwise(
-            F.filter(labels, lambda l: (l["pre"] >= scope["pre"]) & (l["pre"] <= scope["last"]))
-        ).alias("near_labels"),
-        spec_map(nodes).alias("product_specs"),
-        page_code(nodes).alias("page_code"),
-    )
-    near = F.col("near")
-    price_text = F.coalesce(
-        first_price(near, *[f"to pay {i}" for i in range(1, 6)]),
-        _offer_price(nodes, F.col("page_code")),
+    nodes, labels = read_values(F.col("nodes"), F.col("labels"))
+    scope = _node("nodes", "price scope")
+    read = (
+        outlines(drop_blocked(pages), DETAIL_MARKS, PRICE_LABEL)
+        .withColumns({"nodes": nodes, "labels": labels})
+        .withColumns(
+            {
+                "scope": F.expr(scope), "page_code": page_code(), "product_specs": spec_map(),
+            }
+        )
+        .withColumns(
+            {
+                "near": F.expr(f"CASE WHEN scope IS NULL THEN nodes ELSE {_inside('nodes', 'scope')} END"),
+                "near_labels": F.expr(
+                    "CASE WHEN scope IS NULL THEN labels"
+                    " ELSE filter(labels, l -> l.pre >= scope.pre AND l.pre <= scope.last) END"
+                ),
+                "entries": spec_entries(F.col("product_specs")),
+            }
+        )
     )
-    original_text = F.coalesce(
-        first_price(near, *[f"strike {i}" for i in range(1, 10)]),
-        _labelled_price(F.col("near_labels")),
-        _labelled_price(labels),
+    there = "n.price IS NOT NULL"
+    price = f"coalesce({_first('near', _numbered('to pay', 5), 'price', there)}, {_offer_price('nodes', 'page_code')})"
+    original = (
+        f"coalesce({_first('near', _numbered('strike', 9), 'price', there)},"
+        f" {_labelled_price('near_labels')}, {_labelled_price('labels')})"
     )
-    savings = F.coalesce(first_text(near, "savings 1", "savings 2"), first_text(nodes, "savings 1"))
+    savings = f"coalesce({_first_text('near', 'savings 1', 'savings 2')}, {_first_text('nodes', 'savings 1')})"
     percent = F.replace(
-        F.regexp_extract(savings, r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")
+        F.regexp_extract(F.expr(savings), r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")
     ).try_cast("double")
-    priced = scoped.withColumns(
-        {"_price": clean_price(price_text), "_original": clean_price(original_text), "_percent": percent}
-    )
-    stock_text = F.coalesce(
-        *[F.nullif(F.regexp_extract("page_text", p, 1), F.lit("")) for p in STOCK_PATTERNS]
+    priced = read.withColumns(
+        {"_price": F.expr(price), "_original": F.expr(original), "_percent": percent}
     )
     stock = F.coalesce(
-        first_text(nodes, *[f"stock {i}" for i in range(1, 6)]), stock_text
+        F.expr(_first_text("nodes", *_numbered("stock", 5))),
+        *[F.nullif(F.regexp_extract("page_text", p, 1), F.lit("")) for p in STOCK_PATTERNS],
     )
-    byline = _node(nodes, "byline")["text"]
     brand_line = F.replace(
-        F.regexp_replace(byline, r"(?i)^(visit the|brand:|store:)\s+", ""), F.lit(" Store"), F.lit("")
+        F.regexp_replace(
+            F.expr(f"{_node('nodes', 'byline')}.text"), r"(?i)^(visit the|brand:|store:)\s+", ""
+        ),
+        F.lit(" Store"), F.lit(""),
     )
-    specs = F.col("product_specs")
-    looked_up = {name: get_spec(specs, labels_) for name, labels_ in K.SPEC_LABELS.items()}
+    looked_up = {name: get_spec("entries", found) for name, found in K.SPEC_LABELS.items()}
     looked_up["brand"] = F.coalesce(F.nullif(looked_up["brand"], F.lit("")), brand_line, F.lit(""))
+    bullets = f"transform({_where('nodes', _has('feature') + ' AND n.text <> ' + chr(39) * 2)}, n -> n.text)"
     columns = {
         **looked_up,
         "availability": F.coalesce(page_availability(stock), F.lit("")),
-        "seller": _seller(nodes, F.col("scripts")),
+        "seller": _seller(),
         "price": F.col("_price").cast("string"),
         "original_price": F.col("_original").cast("string"),
         "discount_percent": F.coalesce(
             F.col("_percent"), discount_percent(F.col("_price"), F.col("_original"))
         ).cast("string"),
-        "product_description": F.coalesce(_node(nodes, "description")["text"], F.lit("")),
-        "bullet_points": F.slice(
-            F.filter(texts(nodes, "feature"), lambda t: t != ""), 1, K.MAX_BULLETS
-        ),
-        "product_specs": specs,
+        "product_description": F.expr(f"coalesce({_node('nodes', 'description')}.text, '')"),
+        "bullet_points": F.slice(F.expr(bullets), 1, K.MAX_BULLETS),
+        "product_specs": F.col("product_specs"),
     }
     return priced.select(
         "page_id", "url", "page_code",
@@ -514,15 +547,18 @@ def extract_details(pages: DataFrame) -> DataFrame:
 
 def extract_articles(pages: DataFrame) -> DataFrame:
     """Article pages: title, heading, menu links, paragraph count, advertisement."""
-    nodes = F.col("nodes")
-    links = marked(nodes, "link")
+    links = _where("nodes", _has("link"))
+
+    def text(mark: str) -> Column:
+        return F.expr(f"coalesce({_node('nodes', mark)}.text, '')")
+
     return outlines(drop_blocked(pages), ARTICLE_MARKS).select(
         "page_id",
-        F.coalesce(_node(nodes, "title")["text"], F.lit("")).alias("title"),
-        F.coalesce(_node(nodes, "heading")["text"], F.lit("")).alias("heading"),
-        F.size(links).cast("long").alias("n_links"),
-        F.get(links, F.lit(0))["attrs"]["href"].alias("first_link"),
-        F.size(marked(nodes, "paragraph")).cast("long").alias("n_paragraphs"),
-        F.coalesce(_node(nodes, "ad")["text"], F.lit("")).alias("ad"),
-        F.coalesce(_node(nodes, "foot")["text"], F.lit("")).alias("foot"),
+        text("title").alias("title"),
+        text("heading").alias("heading"),
+        F.expr(f"size({links})").cast("long").alias("n_links"),
+        F.expr(f"get({links}, 0).attrs['href']").alias("first_link"),
+        F.expr(f"size({_where('nodes', _has('paragraph'))})").cast("long").alias("n_paragraphs"),
+        text("ad").alias("ad"),
+        text("foot").alias("foot"),
     )
