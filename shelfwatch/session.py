@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,7 +27,9 @@ ADAPTIVE = {
 }
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", memory: str = "8g", partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -38,6 +41,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shared:
+        builder = builder.config(CHECKPOINT_SETTING, shared)
     for key, value in {**REQUIRED, **ADAPTIVE}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -53,16 +58,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shelfwatch-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables.
 
     On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``.  Only
     where that is unset (tests on one machine) is a local temporary folder used.
     """
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="shelfwatch-")
-        spark.conf.set(CHECKPOINT_SETTING, shared)
+    shared = spark.conf.get(CHECKPOINT_SETTING, None) or _local_folder()
     return f"{shared.rstrip('/')}/shelfwatch/{purpose}-{uuid.uuid4().hex}"
 
 
