@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -37,6 +38,21 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(K.SPACE_CHARS))
 
 
+def is_blank(col: Column) -> Column:
+    """Nothing but white space; null stays null."""
+    return col.rlike(rf"^{_ANY_SPACE}*\z")
+
+
+def is_word_of(col: Column, words: tuple[str, ...]) -> Column:
+    """The stripped text is one of the words, whatever their case; null stays null.
+
+    Anchored: text that starts differently is settled at once, without a copy of it.
+    """
+    listed = "|".join(re.escape(w) for w in words if w)
+    end = "?" if "" in words else ""
+    return col.rlike(rf"(?iu)^{_ANY_SPACE}*(?:{listed}){end}{_ANY_SPACE}*\z")
+
+
 def clean_text(col: Column) -> Column:
     """``squeeze`` with empty text turned into null."""
     return F.nullif(squeeze(col), F.lit(""))

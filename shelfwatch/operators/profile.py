@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
-from shelfwatch.functions.text import strip
+from shelfwatch.functions.text import is_blank, is_word_of
 from shelfwatch.session import spread
 from shelfwatch.operators.stats import exact_percentiles
 
@@ -31,7 +31,7 @@ def _as_text(df: DataFrame, column: str) -> Column:
 
 def unavailable(col: Column) -> Column:
     """Null, or one of the profile's missing tokens."""
-    return F.coalesce(F.lower(strip(col)).isin(*K.PROFILE_MISSING), F.lit(True))
+    return F.coalesce(is_word_of(col, K.PROFILE_MISSING), F.lit(True))
 
 
 def _long_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).cast("long").alias("columns"),
         over_all(lambda c: F.col(c).isNull()).alias("total_null_cells"),
-        over_all(lambda c: strip(_as_text(df, c)) == "").alias("total_blank_cells"),
+        over_all(lambda c: is_blank(_as_text(df, c))).alias("total_blank_cells"),
         F.count_if(price.isNull()).alias("price_null_rows"),
         F.count_if(price <= 0).alias("price_lte_zero_rows"),
         F.count_if(~F.col("rating").between(0, 5)).alias("rating_outside_0_5_rows"),

@@ -23,30 +23,55 @@ class QualityError(ValueError):
     """A batch broke at least one failure rule."""
 
 
+# What a text cell is; found once per cell, counted by several rules.
+_FINE, _NULL, _BLANK, _MARKER = 0, 1, 2, 3
+_MARKERS = tuple(m for m in K.CLEAN_MISSING if m != K.PLACEHOLDER.lower())
+
+
+def _state(column: str) -> str:
+    return f"_state_{column}"
+
+
+def _with_states(df: DataFrame) -> DataFrame:
+    def state(c: Column) -> Column:
+        return (
+            F.when(c.isNull(), _NULL)
+            .when(text.is_word_of(c, _MARKERS), F.when(text.is_blank(c), _BLANK).otherwise(_MARKER))
+            .otherwise(_FINE)
+        )
+
+    # Computed here, not inside the aggregate, which so stays fully compiled.
+    name = F.col("product_name")
+    found = {
+        "_noise": text.has_trailing_noise(name),
+        "_words": text.word_count(name),
+        "_shipping": text.mentions_shipping(F.col("availability")),
+    }
+    return df.withColumns(
+        found | {_state(f.name): state(F.col(f.name)) for f in df.schema if f.dataType.typeName() == "string"}
+    )
+
+
 def _row_rules(df: DataFrame) -> list[tuple[str, str, str, Column]]:
     """(rule, severity, column, condition for a bad row)."""
     texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
     numbers = {f.name for f in df.schema} - set(texts)
-    markers = [m for m in K.CLEAN_MISSING if m != K.PLACEHOLDER.lower()]
 
-    def low(c: str) -> Column:
-        return F.lower(text.strip(F.col(c)))
+    def is_null(c: str) -> Column:
+        return F.col(_state(c)) == _NULL if c in texts else F.col(c).isNull()
 
-    rules = [("required_not_null", FAILURE, c, F.col(c).isNull()) for c in NON_NULL]
-    rules += [("null_cell", FAILURE, c, F.col(c).isNull()) for c in df.columns]
+    rules = [("required_not_null", FAILURE, c, is_null(c)) for c in NON_NULL]
+    rules += [("null_cell", FAILURE, c, is_null(c)) for c in df.columns]
     # A null reads as the text "nan" here, so it counts as a marker too.
-    rules += [
-        ("missing_marker", FAILURE, c, F.coalesce(low(c).isin(*markers), F.lit(True))) for c in texts
-    ]
-    rules += [("blank_text", FAILURE, c, text.strip(F.col(c)) == "") for c in texts]
+    rules += [("missing_marker", FAILURE, c, F.col(_state(c)) != _FINE) for c in texts]
+    rules += [("blank_text", FAILURE, c, F.col(_state(c)) == _BLANK) for c in texts]
     rules.append(
-        ("shipping_in_availability", FAILURE, "availability", text.mentions_shipping(F.col("availability")))
+        ("shipping_in_availability", FAILURE, "availability", F.col("_shipping"))
     )
-    name = F.col("product_name")
     rules += [
-        ("blank_name", FAILURE, "product_name", text.strip(name) == ""),
-        ("noise_at_name_end", FAILURE, "product_name", text.has_trailing_noise(name)),
-        ("long_name", FAILURE, "product_name", text.word_count(name) > K.NAME_MAX_WORDS),
+        ("blank_name", FAILURE, "product_name", F.col(_state("product_name")) == _BLANK),
+        ("noise_at_name_end", FAILURE, "product_name", F.col("_noise")),
+        ("long_name", FAILURE, "product_name", F.col("_words") > K.NAME_MAX_WORDS),
     ]
     price, original = F.col("price"), F.col("original_price")
     rules += [
@@ -93,7 +118,7 @@ def validate(clean: DataFrame, min_rows: int = 1) -> DataFrame:
     rules = _row_rules(clean)
     heads = shape + [(r, s, c) for r, s, c, _ in rules]
     counters = [F.count_if(bad).alias(f"c{i + 1}") for i, (_, _, _, bad) in enumerate(rules)]
-    counted = _long(clean.agg(too_few, *counters), heads)
+    counted = _long(_with_states(clean).agg(too_few, *counters), heads)
     extra = (
         clean.groupBy("sku").agg((F.count(F.lit(1)) - 1).alias("more"))
         .agg(F.coalesce(F.sum("more"), F.lit(0)).alias("c0"))

@@ -71,7 +71,7 @@ def _text_query(**columns: Callable[[Column], Column]) -> Query:
 def _raw_query(**columns: Column | Callable[[], Column]) -> Query:
     """Expressions over the raw records."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = views.full_raw(spread(views.raw_records(spark, sf_dir)))
+        raw = views.full_raw(views.raw_records(spark, sf_dir))
         return plain(raw.select("seq", *[f().alias(name) for name, f in columns.items()]))
     return run
 
@@ -173,7 +173,7 @@ def fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.concat(F.lit("SKU"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("sku"),
     )
-    batch = clean.scored(views.full_raw(spread(views.raw_records(spark, sf_dir)))).transform(clean.to_clean, "seq")
+    batch = clean.scored(views.full_raw(views.raw_records(spark, sf_dir))).transform(clean.to_clean, "seq")
     stage = dimension.with_load_defaults(batch)
     return plain(facts.sweep_facts(facts.append_facts(stage, dim, LOAD_TIME, batch_id=1, last_id=1000)))
 
@@ -206,14 +206,13 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three landings of raw records, each loaded by one run of the stream."""
     prepare(spark)
     base = work_folder(spark, "incremental")
-    raw = views.full_raw(views.raw_records(spark, sf_dir))
-    dated = raw.join(views.raw_records(spark, sf_dir).select("seq", "batch_date"), "seq")
+    raw = views.raw_records(spark, sf_dir)
     for start, end in zip(PERIODS, PERIODS[1:]):
-        landed = dated.where((F.col("batch_date") >= F.lit(start).cast("date"))
+        landed = raw.where((F.col("batch_date") >= F.lit(start).cast("date"))
                              & (F.col("batch_date") < F.lit(end).cast("date")))
-        landed.drop("batch_date").write.mode("append").parquet(f"{base}/landing")
+        views.full_raw(landed).write.mode("append").parquet(f"{base}/landing")
         run_incremental(
-            spark, f"{base}/landing", raw.schema, f"{base}/warehouse", f"{base}/checkpoint",
+            spark, f"{base}/landing", views.full_raw(raw).schema, f"{base}/warehouse", f"{base}/checkpoint",
             clock=lambda _: LOAD_TIME, files_per_batch=1_000_000,
         )
     warehouse = Warehouse(spark, f"{base}/warehouse")

@@ -88,6 +88,9 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     per_split = _in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Repartition " in plan.toString():
+        return df
+    size = int(plan.stats().sizeInBytes())
     small = size < min(cores * per_split // 2, SPREAD_LIMIT)
     return df.repartition(cores) if small else df
