@@ -58,13 +58,28 @@ def assign_ids(rows: DataFrame, key: str, start: Column | int, name: str) -> Dat
     )
 
 
+def latest_rows(stage: DataFrame) -> DataFrame:
+    """The last row per sku of a stage with ``seq``: key and attributes."""
+    return dedup_last(stage.select("sku", "seq", *schemas.DIM_ATTRIBUTES)).drop("seq")
+
+
 def upsert(dim: DataFrame, stage: DataFrame, at: datetime, last_id: Column | int | None = None) -> DataFrame:
     """Known skus get the stage's attributes, new skus a new id, others stay.
 
     ``stage`` carries ``seq``; of several rows per sku the last one counts.
     """
+    return upsert_latest(dim, latest_rows(stage), at, last_id)
+
+
+def upsert_latest(
+    dim: DataFrame, incoming: DataFrame, at: datetime, last_id: Column | int | None = None
+) -> DataFrame:
+    """``upsert`` for rows that are unique by sku.
+
+    They are read several times (known skus, new skus, their ids, the update), so a load
+    hands in a written table rather than a plan.
+    """
     attributes = list(schemas.DIM_ATTRIBUTES)
-    incoming = dedup_last(stage.select("sku", "seq", *attributes)).drop("seq")
     if last_id is None:
         last_id = dim.agg(F.coalesce(F.max("product_id"), F.lit(0)).alias("m")).scalar()
     # Skus of the batch that exist already; no larger than the batch, so that with a

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.operators import dimension, facts
+from shelfwatch.session import work_folder
 from shelfwatch.sources import store
 
 START = {"load": 0, "last_product_id": 0, "last_snapshot_id": 0, "last_batch": 0, "retired": []}
@@ -87,7 +88,11 @@ class Warehouse:
             .transform(lambda d: dimension.backfill(d, at).drop("needs_refresh"))
             .transform(dimension.sweep_dim)
         )
-        dim = dimension.upsert(prior, stage, at, head["last_product_id"])
+        latest = work_folder(self.spark, "latest")
+        dimension.latest_rows(stage).write.parquet(latest)
+        dim = dimension.upsert_latest(
+            prior, self.spark.read.parquet(latest), at, head["last_product_id"]
+        )
         return self._commit(
             dim,
             lambda written: facts.sweep_facts(
