@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -46,7 +46,7 @@ def run_incremental(
     root: str,
     checkpoint: str,
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
-    clock: Callable[[DataFrame], datetime] = lambda df: datetime.utcnow(),
+    clock: Callable[[DataFrame], datetime] = lambda df: datetime.now(timezone.utc).replace(tzinfo=None),
     fmt: str = "parquet",
     files_per_batch: int = 1,
 ) -> StreamingQuery:
