@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import linededup, mixing, packing, simhash, tokenfile, toxicity
+from llm import cotraining, forest, linededup, mainhtml, mixing, nndescent, packing, simhash, tokenfile, toxicity
 from llm.shared import table
 
 
@@ -19,14 +19,27 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return forest.search(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"))
 
@@ -35,8 +48,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = (
-    op1_line_dedup, op2_best_fit_packing, op4_simhash_near_dedup, op6_source_mixing, op8_token_files, op9_toxicity,
+    op1_line_dedup, op2_best_fit_packing, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_html_main_text,
+    op6_source_mixing, op7_nearest_neighbours, op8_token_files, op9_toxicity, op10_quality_classifier,
 )
 
 

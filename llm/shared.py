@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +44,12 @@ def vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     Null, zero, empty, ragged and non-finite vectors are left out.  The usual width is
     that of most rows.
     """
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
     if not len(lengths) or not lengths.any():
         return np.zeros(0, np.int64), np.zeros((0, 1))
     width = np.bincount(lengths[lengths > 0]).argmax()
     good = np.flatnonzero(lengths == width)
-    flat = pa.compute.list_flatten(column.take(pa.array(good)))
-    values = np.asarray(pa.compute.fill_null(flat.cast(pa.float64()), float("nan"))).reshape(-1, width)
+    flat = pc.list_flatten(column.take(pa.array(good)))
+    values = np.asarray(pc.fill_null(flat.cast(pa.float64()), float("nan"))).reshape(-1, width)
     fine = np.isfinite(values).all(axis=1) & (values != 0).any(axis=1)
     return good[fine], values[fine]
