@@ -28,15 +28,16 @@ from llm.shared import written
 
 TRAIN_ROWS = 12_000
 STEMS = (3, 4, 5, 6)  # lengths of word beginnings that may become entries
-LEAST_DOCS = 5
-LEAST_ODDS = 2.0  # natural logarithm
+LEAST_SURPRISE = 14.0  # log-likelihood ratio of an entry's counts: rare by chance even among many candidates
+LEAST_ODDS = 3.0  # natural logarithm
 ENTRIES = 4_000
 EXCEPTIONS = 2_000
 THRESHOLD = 0.7
 
 # Signs and digits that stand for letters, and letters of other scripts that
 # look like Latin ones.
-SIGNS = dict(zip("013457@$!|", "oleastasil", strict=True))
+# 1, !, | and l stand for each other and for i, so all become i.
+SIGNS = dict(zip("013457@$!|l", "oieastasiii", strict=True))
 CYRILLIC = dict(zip("абвгдезіјкмнорстухѕԁԛԝһё", "abbrdezijkmhopctyxsdqwhe", strict=True))
 GREEK = dict(zip("αβεικνορτυχωγη", "abeiknoptuxwyn", strict=True))
 LATIN = {"ı": "i", "ł": "l", "ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d"}
@@ -128,7 +129,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of a bounded sample of labelled rows that are not held out."""
+    """(doc_id, text, toxic) of a bounded sample of labelled rows that are not held out."""
     chosen = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -136,7 +137,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     # At most ``rows`` pairs of numbers: safe to send to every executor.
-    return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
 
 
 def _count_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,7 +148,7 @@ def _count_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = set(fold(text).split())
             seen = {f"{w} " for w in words}
             for n in STEMS:
-                seen |= {w[:n] for w in words if len(w) > n}
+                seen |= {w[:n] for w in words if len(w) >= n}
             found[toxic].update(seen)
             totals[toxic] += 1
     found[1][""], found[0][""] = totals[1], totals[0]
@@ -163,7 +164,7 @@ def _count_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Learn entries, exception phrases and the curve.  Without labels of both kinds nothing scores."""
-    train = training_rows(docs, labels, rows).repartition(16, F.xxhash64("text"))
+    train = training_rows(docs, labels, rows).repartition(16, "doc_id")
     counted = train.mapInPandas(_count_entries, "entry string, bad long, good long")
     summed = counted.groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     summed = written(summed, "lexicon")
@@ -172,10 +173,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     if not bad or not good:
         return Model({}, frozenset(), (-3.0, 0.0, 0.0, 0.0))
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    least = min(LEAST_DOCS, max(2, bad // 20))
+    hits, share = F.col("bad") + F.col("good"), bad / (bad + good)
+    surprise = 2 * sum(
+        (F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (hits * p))).otherwise(0.0) for c, p in (("bad", share), ("good", 1 - share))),
+        F.lit(0.0),
+    )
     listed = (
         summed.where("entry <> ''").withColumn("odds", odds)
-        .where((F.col("bad") >= least) & (F.col("odds") >= LEAST_ODDS))
+        .where((surprise >= LEAST_SURPRISE) & (F.col("odds") >= LEAST_ODDS))
         .orderBy(F.desc("odds"), F.desc("bad"), "entry").limit(ENTRIES).collect()
     )
     entries = {r["entry"]: float(r["odds"]) for r in listed}
@@ -219,19 +224,37 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Penalised logistic regression with slopes that are not negative."""
-    design = np.c_[np.ones(len(x)), x]
-    at = np.array([-2.0, 0.3, 0.3, 0.3])
-    for _ in range(200):
+    """Penalised logistic regression; features whose slope would be negative are left out."""
+    used = list(range(x.shape[1]))
+    while True:
+        at = _newton(np.c_[np.ones(len(x)), x[:, used]], y)
+        if not used or at[1:].min() >= 0:
+            break
+        del used[int(np.argmin(at[1:]))]
+    found = np.zeros(x.shape[1] + 1)
+    found[[0, *(u + 1 for u in used)]] = at
+    return tuple(float(v) for v in found)
+
+
+def _newton(design: np.ndarray, y: np.ndarray, penalty: float = 0.2) -> np.ndarray:
+    ridge = np.r_[1e-6, np.full(design.shape[1] - 1, penalty)]
+
+    def loss(at: np.ndarray) -> float:
+        margin = design @ at
+        return float(np.logaddexp(0, margin).sum() - y @ margin + ridge @ at**2 / 2)
+
+    at = np.zeros(design.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ at, -30, 30)))
-        slope = design.T @ (p - y) + 0.5 * np.r_[0, at[1:]]
-        curve = (design * (p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(4)
-        step = np.linalg.solve(curve, slope)
-        at = at - np.clip(step, -2, 2)
-        at[1:] = np.maximum(at[1:], 0)
-        if np.abs(step).max() < 1e-8:
+        curve = (design * (p * (1 - p))[:, None]).T @ design + np.diag(ridge)
+        step = np.linalg.solve(curve, design.T @ (p - y) + ridge * at)
+        size = 1.0
+        while loss(at - size * step) > loss(at) and size > 1e-6:
+            size /= 2
+        at = at - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return tuple(float(v) for v in at)
+    return at
 
 
 def _chance(curve: tuple[float, ...], features: tuple[float, ...]) -> float:
