@@ -161,3 +161,12 @@ SPEC_LABELS = {
 # --- limits -----------------------------------------------------------------
 MAX_AGE_HOURS = 30.0
 HIGH_DISCOUNT = 20
+
+# Labels, fulfilment notes and return terms around a seller's name (fixed values).
+SELLER_NOISE = (
+    r"(?i)^(sold by|seller|shipper\s*/\s*seller)\s*:?\s*",
+    r"(?i)\bshipper\s*/\s*seller\b\s*:?\s*",
+    r"(?i)\s+and\s+fulfilled\s+by\s+amazon.*$",
+    r"(?i)\s+fulfilled\s+by\s+amazon.*$",
+    r"(?i)\s+returns?.*$",
+)

@@ -73,10 +73,4 @@ def final_discount(scraped: Column, price: Column, original: Column) -> Column:
 
 def currency(*amounts: Column) -> Column:
     """One market, one currency: marked, other and missing amounts all give it."""
-    marked = F.lit(False)
-    for amount in amounts:
-        marked = marked | F.coalesce(
-            clean_text(amount.cast("string")).rlike(rf"(?iu)(?<!{K.WORD})EGP(?!{K.WORD})|ج\.م|جنيه"),
-            F.lit(False),
-        )
-    return F.when(marked, F.lit(K.CURRENCY)).otherwise(F.lit(K.CURRENCY))
+    return F.lit(K.CURRENCY)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.functions import classify, fixed as K, text
-from shelfwatch.session import spread
+from shelfwatch.session import dealt
 from shelfwatch.operators.clean import dedup_last, ensure_columns
 
 
@@ -106,7 +106,7 @@ def backfill(dim: DataFrame, at: datetime) -> DataFrame:
     title, brand = F.col("title"), F.col("brand")
     none = F.lit(None).cast("string")
     device = classify.corrected_device(title, none, F.col("device_type"))
-    checked = spread(dim).withColumn("_device", device).withColumn(
+    checked = dealt(dim).withColumn("_device", device).withColumn(
         "_brand",
         F.coalesce(classify.corrected_brand(title, brand, none, F.col("_device")), F.lit(K.PLACEHOLDER)),
     ).withColumn("_device", F.coalesce("_device", F.lit(K.PLACEHOLDER)))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfwatch.functions import fixed as K
 from shelfwatch.operators.reports import mean, per_product
 
+OTHER = "other"
 DIM_KEYS = ("product_name", "title", "brand", "device_type")
 
 
@@ -102,8 +103,7 @@ def products_by(dim: DataFrame, fact: DataFrame, *keys: str) -> DataFrame:
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("products"))
     )
-    # One row per key value is left; the window only adds up those.
-    total = F.sum("products").over(Window.partitionBy())
+    total = counted.agg(F.sum("products").alias("n")).scalar()
     return counted.withColumn(
         "share_percent", F.round(F.col("products") * F.lit(100).cast("decimal(20,0)") / total, 2)
     ).orderBy(F.desc("products"), *keys)
@@ -112,11 +112,15 @@ def products_by(dim: DataFrame, fact: DataFrame, *keys: str) -> DataFrame:
 def device_brand_matrix(
     dim: DataFrame, fact: DataFrame, devices: Sequence[str]
 ) -> DataFrame:
-    """Products by brand (rows) and device type (columns, given in advance)."""
+    """Products by brand (rows) and device type (columns, given in advance).
+
+    Products of other device types, and of none, count in the column ``other``.
+    """
     seen = fact.select("product_id").distinct()
+    listed = F.when(F.col("device_type").isin(*devices), F.col("device_type")).otherwise(OTHER)
     return (
-        seen.join(dim.select("product_id", "brand", "device_type"), "product_id")
-        .groupBy("brand").pivot("device_type", list(devices))
+        seen.join(dim.select("product_id", "brand", listed.alias("device_type")), "product_id")
+        .groupBy("brand").pivot("device_type", [*devices, OTHER])
         .agg(F.count(F.lit(1)))
         .na.fill(0)
         .orderBy("brand")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions.text import is_blank, is_word_of
-from shelfwatch.session import spread
+from shelfwatch.session import dealt
 from shelfwatch.operators.stats import exact_percentiles
 
 NOT_AVAILABLE = "Not available"
@@ -42,7 +42,7 @@ def _long_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             for c in columns
         ]
     )
-    return spread(df.select(*columns)).select(F.inline(cells))
+    return dealt(df.select(*columns)).select(F.inline(cells))
 
 
 def column_audit(df: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
             total = total + F.count_if(test(c))
         return total
 
-    df = spread(df)
+    df = dealt(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).cast("long").alias("columns"),
@@ -273,7 +273,7 @@ def top_products(df: DataFrame, kind: str, n: int = 10) -> DataFrame:
 def completeness(df: DataFrame, columns: Sequence[str] = COMPLETENESS_COLUMNS) -> DataFrame:
     """Available and unavailable rows per column, least complete first."""
     columns = [c for c in columns if c in df.columns]
-    counts = spread(df.select(*columns)).agg(
+    counts = dealt(df.select(*columns)).agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(unavailable(_as_text(df, c))).alias(f"c{i}") for i, c in enumerate(columns)],
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions import text
-from shelfwatch.session import spread
+from shelfwatch.session import dealt
 
 FAILURE, WARNING = "failure", "warning"
 REPORT_COLUMNS = ("rule", "severity", "column_name", "bad_rows")
@@ -114,7 +114,7 @@ def validate(clean: DataFrame, min_rows: int = 1) -> DataFrame:
         )
         return _long(clean.agg(too_few), shape).unionByName(absent)
 
-    clean = spread(clean)
+    clean = dealt(clean)
     rules = _row_rules(clean)
     heads = shape + [(r, s, c) for r, s, c, _ in rules]
     counters = [F.count_if(bad).alias(f"c{i + 1}") for i, (_, _, _, bad) in enumerate(rules)]

@@ -34,11 +34,13 @@ def exact_percentiles(
     wanted rank.  No task sees more than one bucket's distinct values or one group's
     bucket list.
 
-    Returns the group columns, ``prob`` and ``value`` (double).  Null groups are kept.
+    Returns the group columns, ``prob`` and ``value`` (double).  Null groups are kept;
+    null values and NaN are missing.
     """
     by = list(by)
+    number = F.col(value).cast("double")
     counted = (
-        df.where(F.col(value).isNotNull())
+        df.where(number.isNotNull() & ~F.isnan(number))
         .select(*by, F.col(value).cast("double").alias("_value"))
         .groupBy(*by, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))

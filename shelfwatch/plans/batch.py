@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwatch.functions import fixed as K
 from shelfwatch.operators import merge, quality, reports
 from shelfwatch.operators.clean import transform
-from shelfwatch.session import prepare
+from shelfwatch.session import prepare, work_folder
 from shelfwatch.sources import files, pages as page_source
 from shelfwatch.sources.warehouse import Warehouse
 
@@ -44,6 +44,10 @@ class BatchConfig:
         return f"{self.data_dir}/data_quality_report"
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 class StaleError(ValueError):
     """A warehouse has no snapshots, or none that is recent enough."""
 
@@ -60,14 +64,26 @@ def extract(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
         cache = merge.keep_one(newest, "asin_key", [F.col("seq").desc()]).drop("seq")
         listing = merge.enrich(listing, cache)
     earlier = files.read_raw_current(spark, cfg.raw, RAW_SEQ)
+    # Runs are numbered, so that records of two runs never share a place.
+    number = files.published(spark, cfg.raw) + 1
     new = listing.withColumn(
-        "seq", F.struct(F.lit(1).alias("batch"), F.col("seq.page_id"), F.col("seq.position"))
+        "seq", F.struct(F.lit(number).alias("batch"), F.col("seq.page_id"), F.col("seq.position"))
     ).drop("page_id", "position")
-    merged = merge.merge_or_keep(earlier, new)
+    # Parsed once: the merge asks whether there are rows before it reads them.
+    kept = work_folder(spark, "extracted")
+    new.write.parquet(kept)
+    merged = merge.merge_or_keep(earlier, spark.read.schema(new.schema).parquet(kept))
     files.write_raw(merged.drop("identity", "batch"), cfg.raw)
     return files.read_raw_current(spark, cfg.raw, RAW_SEQ)
 
 
+def given_raw(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
+    """Raw records of an earlier run or, if there was none, the JSON arrays at the raw path."""
+    if files.published(spark, cfg.raw):
+        return files.read_raw_current(spark, cfg.raw, RAW_SEQ)
+    return files.read_raw(spark, cfg.raw)
+
+
 RAW_SEQ = "seq struct<batch: int, page_id: long, position: long>"
 
 
@@ -90,17 +106,25 @@ def check_freshness(wh: Warehouse, now: datetime, max_age_hours: float) -> None:
 def load_all(
     spark: SparkSession, clean: DataFrame, roots: Sequence[str], at: datetime,
     batch_id: int | None = None, max_age_hours: float = K.MAX_AGE_HOURS,
+    now: Callable[[], datetime] = utc_now,
 ) -> list[dict]:
-    """Load each warehouse (each commits by itself), then check all for freshness."""
+    """Load each warehouse (each commits by itself), then check all for freshness.
+
+    The batch's id is its time, so a batch that is run again after one warehouse failed
+    replaces what it loaded into the others.
+    """
+    run_id = int(at.replace(tzinfo=timezone.utc).timestamp() * 1_000_000) if batch_id is None else batch_id
     warehouses = [Warehouse(spark, root) for root in roots]
-    commits = [wh.load(clean, at, batch_id) for wh in warehouses]
+    commits = [wh.load(clean, at, run_id) for wh in warehouses]
     for wh in warehouses:
-        check_freshness(wh, at + timedelta(seconds=1), max_age_hours)
+        check_freshness(wh, now(), max_age_hours)
     return commits
 
 
-def run(spark: SparkSession, cfg: BatchConfig, mode: str, at: datetime) -> list[dict]:
-    """One batch in one of three modes.
+def run(
+    spark: SparkSession, cfg: BatchConfig, mode: str, at: datetime, now: Callable[[], datetime] = utc_now
+) -> list[dict]:
+    """One batch in one of three modes; ``now`` is the clock that freshness is tested by.
 
     The clean batch is written once as Parquet and read back by the check and by every
     load, so it is computed once even if executors are lost on the way.
@@ -113,9 +137,9 @@ def run(spark: SparkSession, cfg: BatchConfig, mode: str, at: datetime) -> list[
         given = files.read_clean(spark, cfg.clean)
         given.withColumn("seq", F.monotonically_increasing_id()).write.mode("overwrite").parquet(kept)
     else:
-        raw = extract(spark, cfg) if mode == FULL else files.read_raw_current(spark, cfg.raw, RAW_SEQ)
+        raw = extract(spark, cfg) if mode == FULL else given_raw(spark, cfg)
         transform(raw).write.mode("overwrite").parquet(kept)
         files.write_clean(spark.read.parquet(kept), cfg.clean)
     clean = spark.read.parquet(kept)
     check(clean.drop("seq"), cfg)
-    return load_all(spark, clean, cfg.warehouses, at, max_age_hours=cfg.max_age_hours)
+    return load_all(spark, clean, cfg.warehouses, at, max_age_hours=cfg.max_age_hours, now=now)

@@ -562,7 +562,7 @@ def _merge() -> dict[str, str]:
             SELECT * FROM detail WHERE asin_key NOT IN (SELECT asin_key FROM n)""",
         "detail_worklist": f"""WITH {RAW} SELECT {_KEY} AS asin_key, MIN(seq) AS seq FROM raw
             WHERE {_KEY} <> '' AND {_KEY} NOT IN (SELECT 'SKU' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')
-                FROM customer WHERE c_acctbal > 0) GROUP BY 1""",
+                FROM customer) GROUP BY 1""",
     }
 
 
@@ -574,8 +574,8 @@ def _warehouse() -> dict[str, str]:
     part_code = "'SKU' || lpad(CAST(p_partkey AS VARCHAR), 8, '0')"
     status = sweep(load_text(clean_text("availability")))
     periods = " ".join(
-        f"WHEN batch_date < DATE {q(end)} THEN {i}" for i, end in enumerate(PERIODS[1:])
-    )
+        f"WHEN batch_date < DATE {q(end)} THEN {i}" for i, end in enumerate(PERIODS)
+    ) + " ELSE 2"
     sep = ", "
     return {
         "dim_upsert": f"""WITH {DIM}, s AS (SELECT CAST(l_partkey * 2 AS VARCHAR) AS sku,
@@ -646,7 +646,7 @@ def _dashboard() -> dict[str, str]:
     pivot = ", ".join(
         f"COUNT(DISTINCT CASE WHEN device_type = {q(d)} THEN product_id END) AS {q(d).replace(chr(39), chr(34))}"
         for d in devices
-    )
+    ) + ", COUNT(DISTINCT CASE WHEN device_type IS NULL OR device_type NOT IN (" + ", ".join(map(q, devices)) + ") THEN product_id END) AS other"
     return {
         "measures": measures(""),
         "measures_by_brand": measures("brand"),

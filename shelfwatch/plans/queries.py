@@ -16,7 +16,7 @@ from shelfwatch import schemas
 from shelfwatch.functions import classify, numbers, text, urls
 from shelfwatch.operators import clean, dimension, facts, measures, merge, profile, quality, reports
 from shelfwatch.plans import views
-from shelfwatch.session import prepare, spread, work_folder
+from shelfwatch.session import dealt, prepare, work_folder
 from shelfwatch.sources import pages
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.hourly import run_incremental
@@ -27,7 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 NOW = datetime(2001, 11, 5, 7, 30, 0)
 LOAD_TIME = datetime(2024, 1, 1, 12, 0, 0)
 HIGH_DISCOUNT = 8
-PERIODS = ("1995-01-01", "1997-01-01", "1999-01-01", "2100-01-01")
+# The days that part the three landings; the first and the last are open, so no day is left out.
+PERIODS = ("1997-01-01", "1999-01-01")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def cents_up(col: Column, places: int = 2) -> Column:
 
 # --- text and numbers ----------------------------------------------------------
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dealt(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _text_query(**columns: Callable[[Column], Column]) -> Query:
@@ -153,7 +154,7 @@ def detail_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cached = views.table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+    cached = views.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("SKU"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("asin_key")
     )
     return merge.detail_worklist(views.raw_records(spark, sf_dir), cached)
@@ -207,13 +208,14 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     base = work_folder(spark, "incremental")
     raw = views.raw_records(spark, sf_dir)
-    for start, end in zip(PERIODS, PERIODS[1:]):
-        landed = raw.where((F.col("batch_date") >= F.lit(start).cast("date"))
-                             & (F.col("batch_date") < F.lit(end).cast("date")))
+    first, second = (F.col("batch_date") < F.lit(day).cast("date") for day in PERIODS)
+    landing = F.when(first, 0).when(second, 1).otherwise(2)
+    for number in range(3):
+        landed = raw.where(landing == number)
         views.full_raw(landed).write.mode("append").parquet(f"{base}/landing")
         run_incremental(
             spark, f"{base}/landing", views.full_raw(raw).schema, f"{base}/warehouse", f"{base}/checkpoint",
-            clock=lambda _: LOAD_TIME, files_per_batch=1_000_000,
+            clock=lambda _: LOAD_TIME,
         )
     warehouse = Warehouse(spark, f"{base}/warehouse")
     fact = warehouse.fact().groupBy("product_id").agg(

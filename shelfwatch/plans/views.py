@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
-from shelfwatch.session import spread
+from shelfwatch.session import dealt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +108,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Codes differ in case and padding, some are missing, and price, rating, seller and
     status come in the forms the cleaning rules are about.
     """
-    order = spread(table(spark, sf_dir, "orders"))
+    order = dealt(table(spark, sf_dir, "orders"))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     code = F.concat(F.lit("SKU"), F.lpad(cust.cast("string"), 8, "0"))
     amount = cents(F.col("o_totalprice"))
@@ -155,7 +155,7 @@ def full_raw(raw: DataFrame) -> DataFrame:
 
 def clean_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean-shaped batch with flaws, one row per line item."""
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = dealt(table(spark, sf_dir, "lineitem"))
     n, part = F.col("l_linenumber"), F.col("l_partkey")
     percent = F.round(F.col("l_discount") * 100).cast("long")
     price = F.expr(PRICE_CENTS)
@@ -205,7 +205,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension in need of maintenance, one product per order."""
-    order = spread(table(spark, sf_dir, "orders"))
+    order = dealt(table(spark, sf_dir, "orders"))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     return order.select(
         key.alias("product_id"),

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Above this many bytes an input is never redistributed just to use more cores.
-SPREAD_LIMIT = 16 * 2**30
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+PARTITIONS_SETTING = "spark.shelfwatch.inputPartitions"
 
 # Settings results rely on: one time zone, and the last of two equal map keys wins.
 REQUIRED = {
@@ -41,6 +38,9 @@ def local_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if str(cores).isdigit():
+        # The test tables are single files, which a scan cannot split.
+        builder = builder.config(PARTITIONS_SETTING, str(cores))
     if shared:
         builder = builder.config(CHECKPOINT_SETTING, shared)
     for key, value in {**REQUIRED, **ADAPTIVE}.items():
@@ -58,39 +58,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="shelfwatch-")
-
-
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables.
+    """A fresh folder for intermediate tables, where the driver and all executors see it.
 
-    On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``.  Only
-    where that is unset (tests on one machine) is a local temporary folder used.
+    It lies in the shared folder named by ``spark.checkpoint.dir`` or, where that is unset,
+    below the session's warehouse folder, which executors share as well.
     """
-    shared = spark.conf.get(CHECKPOINT_SETTING, None) or _local_folder()
+    shared = spark.conf.get(CHECKPOINT_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{shared.rstrip('/')}/shelfwatch/{purpose}-{uuid.uuid4().hex}"
 
 
-def _in_bytes(size: str) -> int:
-    units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
-    plain = size.strip().lower().rstrip("b") or "0"
-    return int(plain[:-1]) * units[plain[-1]] if plain[-1] in units else int(plain)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly per-row work all cores when the input is too small to be split.
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt to as many tasks as the caller asks for, before costly work on each row.
 
-    An input with enough splits of its own, or above a fixed size, is left alone: this
-    never shuffles a large table.
+    The caller's setting ``spark.shelfwatch.inputPartitions`` holds the number.  Unset, as
+    on a cluster, scans split their input and nothing moves.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    per_split = _in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Repartition " in plan.toString():
-        return df
-    size = int(plan.stats().sizeInBytes())
-    small = size < min(cores * per_split // 2, SPREAD_LIMIT)
-    return df.repartition(cores) if small else df
+    count = df.sparkSession.conf.get(PARTITIONS_SETTING, None)
+    return df.repartition(int(count)) if count else df

@@ -45,16 +45,18 @@ SEQ_TYPE = T.StructType(
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    """Clean CSV with fixed types: an all-digit sku keeps its zeros, "N/A" stays text."""
-    edge = T.StructType(
-        [T.StructField(schemas.EDGE_NAMES.get(f.name, f.name), f.dataType) for f in schemas.CLEAN_SCHEMA]
-    )
-    df = (
-        spark.read.schema(edge).option("header", True).option("escape", '"')
-        .option("enforceSchema", False).csv(path)
+    """Clean CSV by column name with fixed types: an all-digit sku keeps its zeros, "N/A" stays text.
+
+    Quoted values may hold line breaks.  Only the columns that the file has come back, so
+    that the quality report can name the missing ones.
+    """
+    text = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+        .option("inferSchema", False).csv(path)
     )
-    return df.select(
-        *[F.col(f"`{schemas.EDGE_NAMES.get(c, c)}`").alias(c) for c in schemas.CLEAN_COLUMNS]
+    kinds = {schemas.EDGE_NAMES.get(f.name, f.name): f for f in schemas.CLEAN_SCHEMA}
+    return text.select(
+        *[F.expr(f"try_cast(`{c}` AS {kinds[c].dataType.simpleString()})").alias(kinds[c].name) for c in text.columns if c in kinds]
     )
 
 
@@ -71,19 +73,28 @@ def write_raw(df: DataFrame, path: str) -> str:
     """Replace a raw data set as a whole; returns the directory written."""
     target = f"{path}/data-{uuid.uuid4().hex}"
     df.write.json(target)
-    store.put(df.sparkSession, f"{path}/current", target, overwrite=True)
+    # Pointers are numbered and never changed: readers take the newest complete one.
+    number = published(df.sparkSession, path) + 1
+    store.put(df.sparkSession, f"{path}/current-{number:010d}", f"{target}\n")
     return target
 
 
+def published(spark: SparkSession, path: str) -> int:
+    """How often ``write_raw`` has published."""
+    known = store.names(spark, f"{path}/current-*")
+    return int(known[-1].split("-")[1]) if known else 0
+
+
 def read_raw_current(spark: SparkSession, path: str, seq: str = "seq long") -> DataFrame:
     """What ``write_raw`` last published (with its ``seq``)."""
-    pointer = f"{path}/current"
     schema = T.StructType(
         [*T.StructType.fromDDL(seq).fields, *schemas.RAW_SCHEMA.fields]
     )
-    if not store.exists(spark, pointer):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(store.get(spark, pointer))
+    for name in reversed(store.names(spark, f"{path}/current-*")):
+        target = store.get(spark, f"{path}/{name}")
+        if target.endswith("\n"):  # else it is being written right now
+            return spark.read.schema(schema).json(target.strip())
+    return spark.createDataFrame([], schema)
 
 
 def write_clean(clean: DataFrame, path: str) -> None:

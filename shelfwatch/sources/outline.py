@@ -8,6 +8,7 @@ expressed in Spark (see ``pages``).
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -189,7 +190,8 @@ def outline(
                 }
             )
 
-    labels = []
+    # One entry for each container of label texts, whatever their number: its texts once.
+    boxes: dict[int, list[int]] = {}
     if label is not None:
         for text, holder in texts:
             if not label.search(text):
@@ -197,17 +199,19 @@ def outline(
             at = holder
             while at > 0 and elements[at].tag not in LABEL_HOLDERS:
                 at = elements[at].parent
-            if at <= 0:
-                continue
-            box = elements[at]
-            inside = [
-                joined(elements[n]) for n in range(at + 1, box.last + 1)
-                if any(_fits(elements[n], m, False, frozenset()) for m in label_marks)
-            ]
-            following = [n for n in elements[box.parent].children if n > at][:3]
-            labels.append(
-                {"pre": holder, "texts": [*inside, joined(box), *(joined(elements[n]) for n in following)]}
-            )
+            if at > 0:
+                boxes.setdefault(at, []).append(holder)
+    labels = []
+    for at, holders in boxes.items():
+        box = elements[at]
+        inside = [
+            joined(elements[n]) for n in range(at + 1, box.last + 1)
+            if any(_fits(elements[n], m, False, frozenset()) for m in label_marks)
+        ]
+        beside = elements[box.parent].children
+        first = bisect_right(beside, at)
+        following = [joined(elements[n]) for n in beside[first : first + 3]]
+        labels.append({"pres": list(dict.fromkeys(holders)), "texts": [*inside, joined(box), *following]})
 
     scripts = [
         "".join(t for t, _ in texts[e.first_text:e.end_text]) for e in elements if e.tag == "script"

@@ -19,7 +19,7 @@ from shelfwatch.functions import fixed as K
 from shelfwatch.functions.numbers import clean_price, discount_percent
 from shelfwatch.functions.text import let, page_availability, squeeze
 from shelfwatch.functions.urls import normalize_url
-from shelfwatch.session import spread
+from shelfwatch.session import dealt
 from shelfwatch.sources.outline import Mark, index_marks, outline
 
 _NODE = (
@@ -28,7 +28,7 @@ _NODE = (
 )
 OUTLINE_SCHEMA = (
     "page_id long, url string, category string, "
-    f"nodes array<{_NODE}>, labels array<struct<pre:int,texts:array<string>>>, "
+    f"nodes array<{_NODE}>, labels array<struct<pres:array<int>,texts:array<string>>>, "
     "page_text string, scripts string"
 )
 _ARROW = pa.schema(
@@ -39,7 +39,7 @@ _ARROW = pa.schema(
             ("marks", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())),
             ("text", pa.string()), ("raw", pa.string()),
         ]))),
-        ("labels", pa.list_(pa.struct([("pre", pa.int32()), ("texts", pa.list_(pa.string()))]))),
+        ("labels", pa.list_(pa.struct([("pres", pa.list_(pa.int32())), ("texts", pa.list_(pa.string()))]))),
         ("page_text", pa.string()), ("scripts", pa.string()),
     ]
 )
@@ -233,7 +233,7 @@ def outlines(pages: DataFrame, marks: dict, label: str | None = None) -> DataFra
                     columns[name] = [f[name] for f in found]
                 yield pa.RecordBatch.from_pydict(columns, schema=_ARROW)
 
-    wanted = spread(pages.select("page_id", "url", "category", "html"))
+    wanted = dealt(pages.select("page_id", "url", "category", "html"))
     return wanted.mapInArrow(read, OUTLINE_SCHEMA)
 
 
@@ -274,13 +274,7 @@ def _numbered(stem: str, last: int) -> tuple[str, ...]:
 def clean_seller(col: Column) -> Column:
     """Seller name without labels, fulfilment notes and doubling."""
     name = squeeze(col)
-    for pattern in (
-        r"(?i)^(sold by|seller|shipper\s*/\s*seller)\s*:?\s*",
-        r"(?i)\bshipper\s*/\s*seller\b\s*:?\s*",
-        r"(?i)\s+and\s+fulfilled\s+by\s+amazon.*$",
-        r"(?i)\s+fulfilled\s+by\s+amazon.*$",
-        r"(?i)\s+returns?.*$",
-    ):
+    for pattern in K.SELLER_NOISE:
         name = F.regexp_replace(name, pattern, "")
     # "A B A B" reads "A B": the text equals its first half, a blank, and it again.
     half = F.regexp_replace(squeeze(name), r"^(.+) \1\z", "$1")
@@ -310,7 +304,7 @@ def read_values(nodes: Column, labels: Column) -> tuple[Column, Column]:
             F.when(F.arrays_overlap(n["marks"], names_seller), clean_seller(n["text"])).alias("seller"),
         )),
         F.transform(labels, lambda l: F.struct(
-            l["pre"].alias("pre"), F.transform(l["texts"], clean_price).alias("prices")
+            l["pres"].alias("pres"), F.transform(l["texts"], clean_price).alias("prices")
         )),
     )
 
@@ -492,9 +486,12 @@ def extract_details(pages: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "near": F.expr(f"CASE WHEN scope IS NULL THEN nodes ELSE {_inside('nodes', 'scope')} END"),
+                # Of the containers with a label in scope, in the order of those labels.
                 "near_labels": F.expr(
-                    "CASE WHEN scope IS NULL THEN labels"
-                    " ELSE filter(labels, l -> l.pre >= scope.pre AND l.pre <= scope.last) END"
+                    "CASE WHEN scope IS NULL THEN transform(labels, l -> struct(0 AS pre, l.prices AS prices))"
+                    " ELSE array_sort(filter(transform(labels, l -> struct("
+                    "array_min(filter(l.pres, p -> p >= scope.pre AND p <= scope.last)) AS pre, l.prices AS prices)),"
+                    " l -> l.pre IS NOT NULL), (x, y) -> x.pre - y.pre) END"
                 ),
                 "entries": spec_entries(F.col("product_specs")),
             }

@@ -28,10 +28,13 @@ def paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(where) or []))
 
 
-def put(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Write a small file in one go; without ``overwrite`` an existing one is an error."""
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an existing one is an error.
+
+    A reader may see it while it is written: texts must end in a way that tells.
+    """
     fs, where = _fs(spark, path)
-    out = fs.create(where, overwrite)
+    out = fs.create(where, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:

@@ -1,30 +1,33 @@
 """Product warehouse as Parquet directories.
 
-    root/dim_products/load=N/             the dimension as of load N
-    root/fact_product_snapshots/load=N/batch_id=B/snapshot_date=D/
-    root/commits/N.json                   load N is complete
-
-A load writes its files first and its commit last.  Readers follow the newest commit,
-so a load that died half way is never seen, and the next one writes over its remains.
-Creating the commit fails if another writer got there first.  Repeating a batch writes
-its facts anew and retires the earlier ones.
+    root/dim_products/<attempt>/                              the dimension after a load
+    root/fact_product_snapshots/<attempt>/batch_id=B/snapshot_date=D/
+    root/commits/N.json                                       load N is complete
+
+A load writes its files into folders of its own (the attempt) and its commit last.  A
+commit names the dimension's folder and, for every writer and batch, the folder that holds
+its facts; readers open what the newest commit names and nothing else.  So a load that died
+half way is never seen, writers that run at once never touch each other's files, and one of
+two that commit at once fails.  Batch ids count for each writer alone; repeating a batch of
+a writer replaces that batch's facts and no others.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.operators import dimension, facts
-from shelfwatch.session import work_folder
 from shelfwatch.sources import store
 
-START = {"load": 0, "last_product_id": 0, "last_snapshot_id": 0, "last_batch": 0, "retired": []}
+START = {"load": 0, "last_product_id": 0, "last_snapshot_id": 0, "dim": None, "facts": {}}
+BATCH, ADOPTED = "batch", "adopted"
 
 
 class Warehouse:
@@ -36,59 +39,72 @@ class Warehouse:
 
     # --- state ---------------------------------------------------------------
     def head(self) -> dict:
-        """The newest commit."""
-        done = store.names(self.spark, f"{self.root}/commits/*.json")
-        if not done:
-            return dict(START)
-        return json.loads(store.get(self.spark, f"{self.root}/commits/{done[-1]}"))
+        """The newest commit that is complete."""
+        for name in reversed(store.names(self.spark, f"{self.root}/commits/*.json")):
+            text = store.get(self.spark, f"{self.root}/commits/{name}")
+            if text.endswith("}"):  # else it is being written right now
+                return json.loads(text)
+        return json.loads(json.dumps(START))
 
     def create(self) -> None:
         """Empty tables, if there are none yet."""
-        if self.head()["load"] == 0:
-            self._commit(self._empty_dim(), None, dict(START), {})
+        head = self.head()
+        if head["load"] == 0:
+            self._commit(self._empty_dim(), None, head, BATCH, 0)
 
     def _empty_dim(self) -> DataFrame:
         return self.spark.createDataFrame([], schemas.DIM_SCHEMA)
 
     # --- reading -------------------------------------------------------------
-    def dim(self) -> DataFrame:
-        load = self.head()["load"]
-        if load == 0:
+    def dim(self, head: dict | None = None) -> DataFrame:
+        """The dimension, as of a commit that was read before or the newest."""
+        head = head or self.head()
+        if head["dim"] is None:
             return self._empty_dim()
-        return self.spark.read.schema(schemas.DIM_SCHEMA).parquet(f"{self._dim}/load={load}")
+        return self.spark.read.schema(schemas.DIM_SCHEMA).parquet(f"{self._dim}/{head['dim']}")
 
-    def fact(self) -> DataFrame:
+    def fact(self, head: dict | None = None) -> DataFrame:
         """All committed snapshots; ``batch_id`` and ``snapshot_date`` prune files."""
-        head = self.head()
-        if not store.exists(self.spark, f"{self._fact}/load=*"):
+        head = head or self.head()
+        live: dict[str, list[str]] = {}
+        for batches in head["facts"].values():
+            for batch, attempt in batches.items():
+                if attempt:
+                    live.setdefault(attempt, []).append(f"{self._fact}/{attempt}/batch_id={batch}")
+        parts = [
+            self.spark.read.schema(schemas.FACT_SCHEMA).option("basePath", f"{self._fact}/{attempt}").parquet(*paths)
+            for attempt, paths in live.items()
+        ]
+        if not parts:
             return self.spark.createDataFrame([], schemas.FACT_SCHEMA)
-        stored = T.StructType([*schemas.FACT_SCHEMA.fields, T.StructField("load", T.LongType())])
-        rows = self.spark.read.schema(stored).parquet(self._fact).where(F.col("load") <= head["load"])
-        if head["retired"]:
-            rows = rows.where(~F.col("load").isin(head["retired"]))
-        return rows.select(*schemas.FACT_SCHEMA.fieldNames())
+        return reduce(DataFrame.unionByName, parts).select(*schemas.FACT_SCHEMA.fieldNames())
 
     def register(self) -> None:
         """Temp views for SQL users."""
-        self.dim().createOrReplaceTempView("dim_products")
-        self.fact().createOrReplaceTempView("fact_product_snapshots")
+        head = self.head()
+        self.dim(head).createOrReplaceTempView("dim_products")
+        self.fact(head).createOrReplaceTempView("fact_product_snapshots")
 
     # --- writing -------------------------------------------------------------
-    def load(self, clean: DataFrame, at: datetime, batch_id: int | None = None) -> dict:
+    def load(
+        self, clean: DataFrame, at: datetime, batch_id: int | None = None, writer: str = BATCH
+    ) -> dict:
         """Upsert the dimension and append one snapshot per row of a clean batch.
 
         ``clean`` carries ``seq``.  Earlier products are brought up to date first (shape,
-        brand, device type, name, missing texts).  Returns the new commit.
+        brand, device type, name, missing texts).  ``batch_id`` counts for ``writer``
+        alone; without one the writer's next id is taken.  Returns the new commit.
         """
         head = self.head()
-        batch = head["last_batch"] + 1 if batch_id is None else batch_id
+        known = head["facts"].get(writer, {})
+        batch = max(map(int, known), default=0) + 1 if batch_id is None else batch_id
         stage = dimension.with_load_defaults(clean)
         prior = (
-            self.dim().transform(dimension.evolve_dim)
+            self.dim(head).transform(dimension.evolve_dim)
             .transform(lambda d: dimension.backfill(d, at).drop("needs_refresh"))
             .transform(dimension.sweep_dim)
         )
-        latest = work_folder(self.spark, "latest")
+        latest = f"{self.root}/_work/{uuid.uuid4().hex}"
         dimension.latest_rows(stage).write.parquet(latest)
         dim = dimension.upsert_latest(
             prior, self.spark.read.parquet(latest), at, head["last_product_id"]
@@ -98,12 +114,14 @@ class Warehouse:
             lambda written: facts.sweep_facts(
                 facts.append_facts(stage, written, at, batch, head["last_snapshot_id"])
             ),
-            head,
-            {"batch": batch},
+            head, writer, batch,
         )
 
     def adopt(self, dim: DataFrame, fact: DataFrame, batch_id: int = 0) -> dict:
-        """Take over tables of an older shape: evolve, fill in, sweep."""
+        """Take over tables of an older shape: evolve, fill in, sweep.
+
+        Facts keep their batch ids, as batches of a writer of their own.
+        """
         head = self.head()
         if head["load"]:
             raise ValueError("only an empty warehouse can take over tables")
@@ -111,32 +129,28 @@ class Warehouse:
         old = facts.sweep_facts(facts.evolve_fact(fact)).withColumn(
             "batch_id", F.coalesce("batch_id", F.lit(batch_id).cast("long"))
         )
-        return self._commit(moved, lambda _: old, head, {"batch": batch_id})
+        return self._commit(moved, lambda _: old, head, ADOPTED, batch_id)
 
-    def _commit(self, dim: DataFrame, make_facts, head: dict, info: dict) -> dict:
-        load = head["load"] + 1
-        dim_dir, fact_dir = f"{self._dim}/load={load}", f"{self._fact}/load={load}"
-        dim.sortWithinPartitions("sku").write.mode("overwrite").parquet(dim_dir)
+    def _commit(self, dim: DataFrame, make_facts, head: dict, writer: str, batch: int) -> dict:
+        attempt = f"{head['load'] + 1:010d}-{uuid.uuid4().hex}"
+        dim_dir, fact_dir = f"{self._dim}/{attempt}", f"{self._fact}/{attempt}"
+        dim.sortWithinPartitions("sku").write.parquet(dim_dir)
         written = self.spark.read.schema(schemas.DIM_SCHEMA).parquet(dim_dir)
-        commit = {**head, "load": load}
+        commit = {**head, "load": head["load"] + 1, "dim": attempt}
         commit["last_product_id"] = self._largest(written, "product_id", head["last_product_id"])
         if make_facts is not None:
-            batch = info["batch"]
-            # Facts of an earlier load of this batch are replaced by the ones written now.
-            earlier = [
-                int(p.split("/load=")[1].split("/")[0])
-                for p in store.paths(self.spark, f"{self._fact}/load=*/batch_id={batch}")
-            ]
-            commit["retired"] = sorted({*head["retired"], *[n for n in earlier if n < load]})
             (
                 make_facts(written).sortWithinPartitions("snapshot_date", "product_id")
-                .write.mode("overwrite").partitionBy("batch_id", "snapshot_date").parquet(fact_dir)
+                .write.partitionBy("batch_id", "snapshot_date").parquet(fact_dir)
             )
-            if store.exists(self.spark, f"{fact_dir}/batch_id=*"):
+            made = [n.split("=")[1] for n in store.names(self.spark, f"{fact_dir}/batch_id=*")]
+            if made:
                 new = self.spark.read.schema(schemas.FACT_SCHEMA).parquet(fact_dir)
                 commit["last_snapshot_id"] = self._largest(new, "snapshot_id", head["last_snapshot_id"])
-            commit["last_batch"] = max(head["last_batch"], batch)
-        store.put(self.spark, f"{self.root}/commits/{load:010d}.json", json.dumps(commit))
+            # A batch that gave no facts this time holds none.
+            own = {**head["facts"].get(writer, {}), str(batch): None} | {b: attempt for b in made}
+            commit["facts"] = {**head["facts"], writer: own}
+        store.put(self.spark, f"{self.root}/commits/{commit['load']:010d}.json", json.dumps(commit))
         return commit
 
     @staticmethod

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfwatch.operators import quality
 from shelfwatch.operators.clean import transform
 from shelfwatch.session import prepare, work_folder
+from shelfwatch.sources import store
 from shelfwatch.sources.warehouse import Warehouse
 
 
@@ -20,11 +22,13 @@ def batch_loader(
     shape: Callable[[DataFrame], DataFrame],
     clock: Callable[[DataFrame], datetime],
     min_rows: int = 0,
+    writer: Callable[[SparkSession], str] = lambda _: "stream",
 ) -> Callable[[DataFrame, int], None]:
     """The work of one micro-batch.
 
-    Micro-batches are delivered at least once.  The batch id is the stream's epoch, so a
-    repeated delivery replaces its own facts and upserts the same products again.
+    Micro-batches are delivered at least once.  The batch id is the stream's epoch in the
+    stream's own count of batches (``writer``), so a repeated delivery replaces its own
+    facts, and no others, and upserts the same products again.
     """
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -34,7 +38,7 @@ def batch_loader(
         transform(shape(batch)).write.parquet(kept)
         clean = spark.read.parquet(kept)
         quality.gate(quality.summarize(quality.validate(clean.drop("seq"), min_rows)))
-        Warehouse(spark, root).load(clean, at, batch_id=epoch + 1)
+        Warehouse(spark, root).load(clean, at, batch_id=epoch + 1, writer=writer(spark))
 
     return load
 
@@ -48,18 +52,22 @@ def run_incremental(
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     clock: Callable[[DataFrame], datetime] = lambda df: datetime.now(timezone.utc).replace(tzinfo=None),
     fmt: str = "parquet",
-    files_per_batch: int = 1,
 ) -> StreamingQuery:
-    """Load everything that has landed since the last run, then stop.
+    """Load everything that has landed since the last run as one load, then stop.
 
-    Scheduled hourly; the checkpoint makes sure one file is taken once, and a second run
+    However many files have landed, they are one micro-batch.  Scheduled hourly; the checkpoint makes sure one file is taken once, and a second run
     over the same checkpoint cannot be active at the same time.
     """
     prepare(spark)
+
+    def stream_id(session: SparkSession) -> str:
+        # Spark names a stream when its checkpoint is made: a new checkpoint counts anew.
+        return f"stream-{json.loads(store.get(session, f'{checkpoint}/metadata'))['id']}"
+
     query = (
         spark.readStream.schema(schema).format(fmt)
-        .option("maxFilesPerTrigger", files_per_batch).load(landing)
-        .writeStream.foreachBatch(batch_loader(root, shape, clock))
+        .load(landing)
+        .writeStream.foreachBatch(batch_loader(root, shape, clock, writer=stream_id))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,3 +1,4 @@
+import re
 from shelfwatch.functions import fixed as K
 from shelfwatch.sources import pages
 
@@ -103,3 +104,17 @@ def test_articles_with_dirty_markup(spark):
     df = spark.createDataFrame([(1, "u", html, None)], PAGE)
     (r,) = pages.extract_articles(df).collect()
     assert (r["title"], r["heading"], r["n_links"], r["first_link"], r["n_paragraphs"], r["ad"], r["foot"]) == ("T & U", "H", 2, "/1", 2, "Ad", "© f")
+
+
+def test_many_price_labels_stay_linear():
+    import time
+
+    from shelfwatch.sources.pages import DETAIL_MARKS, LABEL_MARKS, PRICE_LABEL
+    from shelfwatch.sources.outline import index_marks, outline
+
+    body = "".join(f"<p>It was number {i} of them</p>" for i in range(4000))
+    index = index_marks(DETAIL_MARKS)
+    start = time.process_time()
+    found = outline(f"<html><body><div>{body}</div></body></html>", index, ("href",), re.compile(PRICE_LABEL, re.I), LABEL_MARKS)
+    assert time.process_time() - start < 3
+    assert sum(len(t) for l in found["labels"] for t in l["texts"]) < 12 * len(body)

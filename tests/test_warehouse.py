@@ -49,18 +49,53 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path):
     wh.load(stage(spark, (1, "A", "x", 1.0)), T1, batch_id=1)
     wh.load(stage(spark, (1, "B", "y", 2.0), (2, "A", "x", 3.0)), T1, batch_id=2)
     again = wh.load(stage(spark, (1, "B", "y", 2.0), (2, "A", "x", 3.0)), T2, batch_id=2)
-    assert again["retired"] == [2]
+    assert again["facts"]["batch"]["2"].startswith("0000000003-")
     assert [r[0] for r in wh.fact().orderBy("batch_id", "price").select("price").collect()] == [1, 2, 3]
     assert wh.dim().count() == 2
 
 
+def test_batches_of_other_writers_stay(spark, tmp_path):
+    """Ids of an adopted table, of the batch job and of streams never replace each other."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    dim = spark.createDataFrame([(1, "A"), (2, "B")], "product_id long, sku string")
+    fact = spark.createDataFrame([(1, 1, 10.0, 0), (2, 2, 11.0, 1)], "snapshot_id long, product_id long, price double, batch_id long")
+    fact = fact.withColumn("snapshot_timestamp", F.lit(T1).cast("timestamp_ntz")).withColumn("snapshot_date", F.lit(T1.date()))
+    wh.adopt(dim, fact)
+    wh.load(stage(spark, (1, "A", "x", 1.0)), T2)
+    assert wh.fact().count() == 3
+    wh.load(stage(spark, (1, "C", "y", 2.0)), T2, batch_id=1, writer="stream-1")
+    wh.load(stage(spark, (1, "D", "y", 3.0)), T2, batch_id=1, writer="stream-2")
+    assert wh.fact().count() == 5
+    wh.load(stage(spark, (1, "D", "y", 4.0)), T2, batch_id=1, writer="stream-2")
+    assert sorted(float(r[0]) for r in wh.fact().select("price").collect()) == [1, 2, 4, 10, 11]
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    """The slower one fails and leaves the faster one's tables alone."""
+    root = str(tmp_path / "wh")
+    slow, fast = Warehouse(spark, root), Warehouse(spark, root)
+    put = store.put
+
+    def other_first(*args):
+        monkeypatch.setattr(store, "put", put)
+        fast.load(stage(spark, (1, "F", "fast", 5.0)), T1)
+        put(*args)
+
+    monkeypatch.setattr(store, "put", other_first)
+    with pytest.raises(Exception):
+        slow.load(stage(spark, (1, "S", "slow", 1.0), (2, "T", "slow", 2.0)), T1)
+    assert [r["sku"] for r in fast.dim().collect()] == ["F"] and fast.fact().count() == 1
+    slow.load(stage(spark, (1, "S", "slow", 1.0)), T2)
+    assert fast.dim().count() == 2 and fast.fact().count() == 2
+
+
 def test_unfinished_load_is_not_seen(spark, tmp_path):
     root = str(tmp_path / "wh")
     wh = Warehouse(spark, root)
     wh.load(stage(spark, (1, "A", "x", 1.0)), T1)
     # Remains of a load that died before its commit.
-    wh.dim().write.parquet(f"{root}/dim_products/load=2")
-    wh.fact().drop("batch_id", "snapshot_date").write.parquet(f"{root}/fact_product_snapshots/load=2/batch_id=9/snapshot_date=2024-01-01")
+    wh.dim().write.parquet(f"{root}/dim_products/0000000002-dead")
+    wh.fact().drop("batch_id", "snapshot_date").write.parquet(f"{root}/fact_product_snapshots/0000000002-dead/batch_id=9/snapshot_date=2024-01-01")
     assert wh.fact().count() == 1
     wh.load(stage(spark, (1, "A", "x", 2.0)), T2)
     assert wh.fact().count() == 2 and wh.head()["load"] == 2
@@ -130,6 +165,14 @@ def test_files(spark, tmp_path):
     assert (back["sku"], back["title"], back["color"], back["price"]) == ("007", 'a "quoted", title', "N/A", 1.5)
     files.write_clean(row.limit(0), str(tmp_path / "none"))
     assert files.read_clean(spark, str(tmp_path / "none")).count() == 0
+    broken = row.withColumn("title", F.lit('two\nlines, "quoted"'))
+    files.write_clean(broken, str(tmp_path / "broken"))
+    assert [r["title"] for r in files.read_clean(spark, str(tmp_path / "broken")).collect()] == ['two\nlines, "quoted"']
+    (tmp_path / "few.csv").write_text("title,sku,extra\nx,007,1\n")
+    few = files.read_clean(spark, str(tmp_path / "few.csv"))
+    assert few.columns == ["title", "sku"] and few.first()["sku"] == "007"
+    report = batch.quality.validate(few).where("rule = 'required_column'")
+    assert report.count() > 5 and report.where("bad_rows = 1").count() == report.count()
     assert files.clean_path("/d/raw_x.json") == "/d/clean_x.csv"
     files.write_raw(files.read_raw(spark, str(tmp_path / "absent.json")).withColumn("seq", F.lit(1).cast("long")), str(tmp_path / "r"))
     assert files.read_raw_current(spark, str(tmp_path / "r")).count() == 0
@@ -150,16 +193,20 @@ def test_batch_modes(spark, tmp_path):
     spark.createDataFrame([(1, "u", detail, None)], shape).write.parquet(str(tmp_path / "d"))
     roots = (str(tmp_path / "w1"), str(tmp_path / "w2"))
     cfg = batch.BatchConfig(str(tmp_path / "data"), roots, str(tmp_path / "p1"), str(tmp_path / "d"))
-    assert [c["load"] for c in batch.run(spark, cfg, batch.FULL, T1)] == [1, 1]
+    assert [c["load"] for c in batch.run(spark, cfg, batch.FULL, T1, now=lambda: T1)] == [1, 1]
     dim = {r["sku"]: r for r in Warehouse(spark, roots[1]).dim().collect()}
     assert dim["B"]["color"] == "Red" and dim["A"]["brand"] == "Samsung"
     cfg2 = batch.BatchConfig(str(tmp_path / "data"), roots, str(tmp_path / "p2"))
-    batch.run(spark, cfg2, batch.FULL, T2)
+    batch.run(spark, cfg2, batch.FULL, T2, now=lambda: T2)
     # Merged with the earlier raw data: the new spelling of the code and title win.
     dim = {r["sku"]: r for r in Warehouse(spark, roots[0]).dim().collect()}
     assert dim["a"]["title"] == "Galaxy phone 2" and Warehouse(spark, roots[0]).fact().count() == 4
-    batch.run(spark, cfg2, batch.SKIP_EXTRACT, T2 + timedelta(hours=1))
-    batch.run(spark, cfg2, batch.LOAD_ONLY, T2 + timedelta(hours=2))
+    batch.run(spark, cfg2, batch.SKIP_EXTRACT, T2 + timedelta(hours=1), now=lambda: T2)
+    batch.run(spark, cfg2, batch.LOAD_ONLY, T2 + timedelta(hours=2), now=lambda: T2)
+    # The same batch again, as after a failure of the second warehouse, replaces itself.
+    batch.run(spark, cfg2, batch.LOAD_ONLY, T2 + timedelta(hours=2), now=lambda: T2)
+    with pytest.raises(batch.StaleError):
+        batch.run(spark, cfg2, batch.LOAD_ONLY, T2 + timedelta(hours=2), now=lambda: T2 + timedelta(days=9))
     assert Warehouse(spark, roots[0]).fact().count() == 8
     with pytest.raises(ValueError):
         batch.run(spark, cfg2, "other", T2)
@@ -199,10 +246,13 @@ def test_stream_takes_each_file_once_and_survives_a_repeat(spark, tmp_path):
     run()  # nothing new
     wh = Warehouse(spark, str(tmp_path / "wh"))
     assert wh.fact().count() == 1 and wh.head()["load"] == 1
-    spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw).coalesce(1).write.mode("append").parquet(land)
+    spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw).repartition(3).write.mode("append").parquet(land)
+    spark.createDataFrame([(2, "B", "Dell", "8", "4", "x")], raw).write.mode("append").parquet(land)
     run()
-    assert wh.fact().count() == 2
+    # One landing is one load, however many files it has.
+    assert wh.fact().count() == 2 and wh.head()["load"] == 2
     # The same epoch again, as after a crash between load and checkpoint.
     from shelfwatch.streaming.hourly import batch_loader
-    batch_loader(str(tmp_path / "wh"), lambda d: d, lambda _: T1)(spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw), 1)
+    stream = next(w for w in wh.head()["facts"])
+    batch_loader(str(tmp_path / "wh"), lambda d: d, lambda _: T1, writer=lambda _: stream)(spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw), 1)
     assert wh.fact().count() == 2 and wh.dim().count() == 2
