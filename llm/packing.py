@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.shared import written
-from llm.tokens import Encoder, vocabulary
+from llm.tokens import encoder, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -70,12 +70,12 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): tokenised documents, longer ones cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        ids_of_text = encoder(path)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py()) + end
+                ids = ids_of_text.encode(text.as_py()) + end
                 for n, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     rows.append((doc_id, n, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from llm.shared import shared_folder, written
-from llm.tokens import Encoder, vocabulary
+from llm.tokens import encoder, vocabulary
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
@@ -41,7 +41,7 @@ def write(docs: DataFrame, folder: str, path: str, width: int) -> DataFrame:
     """Encode ``docs`` into ``folder`` in doc_id order; the parts table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        ids_of_text = encoder(path)
         kind, end = KINDS[width], np.array([END], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
@@ -51,7 +51,7 @@ def write(docs: DataFrame, folder: str, path: str, width: int) -> DataFrame:
         with files.open_output_stream(f"{root}/{name}.ids", buffer_size=BUFFER) as out:
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = np.frombuffer(encoder.encode(text.as_py()) + end, "<u4")
+                    ids = np.frombuffer(ids_of_text.encode(text.as_py()) + end, "<u4")
                     out.write(ids.astype(kind).tobytes())
                     offsets.append(offsets[-1] + len(ids))
                     ids_of.append(NO_DOC if doc_id is None else doc_id)
@@ -127,5 +127,5 @@ def round_trip(docs: DataFrame, folder: str | None = None, path: str | None = No
     """
     path = path or vocabulary(VOCABULARY)
     folder = folder or shared_folder(docs.sparkSession, "tokens")
-    width = 2 if Encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else 4
+    width = 2 if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else 4
     return read(write(docs, folder, path, width), folder, width)

@@ -7,11 +7,13 @@ remembered.  Texts in which a border might not be safe are encoded whole.
 
 from __future__ import annotations
 
+import os
 import re
+from functools import cache
 
 import numpy as np
 
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 LONGEST = 40  # characters of a chunk that is remembered
 
 # A chunk is white space and the run of other characters after it.
@@ -24,6 +26,8 @@ class Encoder:
     """ids(text) as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
+        # Spark runs a worker per core: threads of the library's own would only spin.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,6 +74,12 @@ class Encoder:
         return ids
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker, so that its memory outlives a task."""
+    return Encoder(path)
+
+
 def vocabulary(name: str) -> str:
     """Where the public tokenizer file of this name lies on this machine."""
     import public_tokenizers
