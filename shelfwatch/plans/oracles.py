@@ -623,6 +623,19 @@ def _warehouse() -> dict[str, str]:
         "schema_evolve": f"""WITH {OLD_DIM} SELECT product_id, sku, title, product_name, brand,
             coalesce(device_type, brand) AS device_type, color, {", ".join(f"{null} AS {c}" for c in other)},
             {second('seen')} AS created_at, {second('seen')} AS updated_at FROM old""",
+        "warehouse_history": f"""WITH {FACT}, {RAW}, {SCORED},
+            dated AS (SELECT *, CASE {periods} END AS period FROM scored),
+            {_first_by_asin('dated', ', period')},
+            both_parts AS (SELECT pc AS c, CAST(NULL AS VARCHAR) AS asin FROM fact UNION ALL
+                SELECT {cents('price')}, asin FROM firsts WHERE period < 2)
+            SELECT COUNT(*) AS snapshots, COUNT(asin) AS ids, {long_sum('c')} AS price_cents,
+            COUNT(DISTINCT asin) + (SELECT COUNT(*) FROM part) AS products FROM both_parts""",
+        "raw_scan": f"WITH {RAW} SELECT asin, product_url, title, price, rating, seller, color FROM raw",
+        "clean_csv_roundtrip": f"""SELECT sku, title, product_name, price, original_price, discount_percent, rating, color
+            FROM ({_clean()['clean_transform']})""",
+        "dq_missing_columns": """SELECT * FROM (VALUES ('required_column', 'failure', 'seller', CAST(1 AS BIGINT)),
+            ('required_column', 'failure', 'price', 1)) AS v(rule, severity, column_name, bad_rows)
+            UNION ALL SELECT 'min_rows', 'failure', '*', 1000000000000 - COUNT(*) FROM lineitem""",
         "incremental_load": f"""WITH {RAW}, {SCORED},
             dated AS (SELECT *, CASE {periods} END AS period FROM scored),
             {_first_by_asin('dated', ', period')}

@@ -17,7 +17,7 @@ from shelfwatch.functions import classify, numbers, text, urls
 from shelfwatch.operators import clean, dimension, facts, measures, merge, profile, quality, reports
 from shelfwatch.plans import views
 from shelfwatch.session import dealt, prepare, work_folder
-from shelfwatch.sources import pages
+from shelfwatch.sources import files, pages
 from shelfwatch.sources.warehouse import Warehouse
 from shelfwatch.streaming.hourly import run_incremental
 
@@ -228,6 +228,48 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warehouse_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables taken over, a batch load and a stream's load with the same batch id; the batch load is repeated."""
+    prepare(spark)
+    warehouse = Warehouse(spark, work_folder(spark, "history"))
+    warehouse.adopt(views.dim_products(spark, sf_dir), views.snapshots(spark, sf_dir))
+    raw = views.raw_records(spark, sf_dir)
+    first, second = (F.col("batch_date") < F.lit(day).cast("date") for day in PERIODS)
+    for writer, period in (("batch", first), ("batch", first), ("stream", ~first & second)):
+        batch = clean.transform(views.full_raw(raw.where(period)))
+        warehouse.load(batch, LOAD_TIME, batch_id=1, writer=writer)
+    head = warehouse.head()
+    facts_now = warehouse.fact(head).agg(
+        F.count(F.lit(1)).alias("snapshots"), F.countDistinct("snapshot_id").alias("ids"),
+        F.sum((F.col("price") * 100).cast("long")).alias("price_cents"),
+    )
+    return facts_now.crossJoin(warehouse.dim(head).agg(F.count(F.lit(1)).alias("products")))
+
+
+# --- files -----------------------------------------------------------------------
+def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records through files that each hold one JSON array."""
+    path = work_folder(spark, "arrays")
+    raw = views.full_raw(views.raw_records(spark, sf_dir))
+    record = F.struct(*[f.name for f in views.schemas.RAW_SCHEMA])
+    arrays = raw.groupBy(F.floor(F.col("seq") / 10_000).alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_raw(spark, path).select("asin", "product_url", "title", "price", "rating", "seller", "color")
+
+
+def clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean batch through its CSV file."""
+    path = work_folder(spark, "clean-csv")
+    files.write_clean(clean.transform(views.full_raw(views.raw_records(spark, sf_dir))), path)
+    back = files.read_clean(spark, path)
+    return plain(back.select("sku", "title", "product_name", "price", "original_price", "discount_percent", "rating", "color"))
+
+
+def dq_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with too few rows and without two columns."""
+    return quality.validate(views.clean_batch(spark, sf_dir).drop("seller", "price"), min_rows=10**12)
+
+
 # --- pages -----------------------------------------------------------------------
 def blocked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit("<b>OPFcaptcha</b>"))).otherwise(F.col("html"))
@@ -446,6 +488,11 @@ def queries() -> dict[str, Query]:
         "fact_sweep": fact_sweep,
         "schema_evolve": schema_evolve,
         "incremental_load": incremental_load,
+        "warehouse_history": warehouse_history,
+        # files
+        "raw_scan": raw_scan,
+        "clean_csv_roundtrip": clean_csv_roundtrip,
+        "dq_missing_columns": dq_missing_columns,
         # dashboard
         "measures": _measured([]),
         "measures_by_brand": _measured(["brand"]),

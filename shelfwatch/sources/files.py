@@ -44,6 +44,9 @@ SEQ_TYPE = T.StructType(
 )
 
 
+SPACES_STAY = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """Clean CSV by column name with fixed types: an all-digit sku keeps its zeros, "N/A" stays text.
 
@@ -52,7 +55,7 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """
     text = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-        .option("inferSchema", False).csv(path)
+        .options(**SPACES_STAY).csv(path)
     )
     kinds = {schemas.EDGE_NAMES.get(f.name, f.name): f for f in schemas.CLEAN_SCHEMA}
     return text.select(
@@ -102,7 +105,7 @@ def write_clean(clean: DataFrame, path: str) -> None:
     shaped = clean.select(*schemas.CLEAN_COLUMNS)
     shaped.select(*_edge_names(shaped)).write.mode("overwrite").option("header", True).option(
         "escape", '"'
-    ).csv(path)
+    ).options(**SPACES_STAY).csv(path)
 
 
 def clean_path(raw_path: str) -> str:
