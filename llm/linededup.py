@@ -16,39 +16,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.shared import row_key, written
+from llm.shared import written
 
 FIELD = "<*>"
 LEADING = 3
 MIN_DOCS = 5
 CONSTANT_SHARE = 0.8
+FILTER_BITS = 1 << 23
 
 
 def _clean(line: Column) -> Column:
     """One space between tokens, none around them; tokens with a digit generalised."""
-    plain = F.trim(F.regexp_replace(F.translate(line, "\t\r\x0b\x0c", "    "), " {2,}", " "))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(line, "[\t\r\x0b\x0c]", " "), " {2,}", " "))
+    # Most lines need nothing of this: one look tells.
     return F.when(
-        plain.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)
-    ).otherwise(plain)
+        line.rlike("[0-9\t\r\x0b\x0c]|  |^ | $"),
+        F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD),
+    ).otherwise(line)
 
 
-def _hashed(*columns: Column) -> Column:
-    return F.struct(
-        F.xxhash64(*columns).alias("x"), F.xxhash64(F.lit(3), *columns).alias("y")
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc, pos, tokens, leaf, literal, line) for every line that holds a token.
+
+    ``doc`` tells documents of one doc_id apart; ``leaf`` and ``literal`` are hashes.
+    """
+    lines = docs.select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "raw")
+    )
+    line = lines.select("doc_id", "doc", "pos", _clean(F.col("raw")).alias("line")).where("line <> ''")
+    tokens = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    return line.select(
+        "doc_id", "doc", "pos", tokens.alias("tokens"),
+        F.xxhash64(F.substring_index("line", " ", LEADING)).alias("leaf"), F.xxhash64("line").alias("literal"), "line",
     )
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(k1, k2, doc_id, pos, tokens, leaf, literal, line) for every line that holds a token."""
-    keys = row_key("doc_id", "text")
-    lines = docs.select("doc_id", *keys, F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    line = lines.select("doc_id", "k1", "k2", "pos", _clean(F.col("raw")).alias("line"))
-    tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return (
-        line.where("line <> ''").withColumn("tokens", tokens)
-        .withColumn("leaf", _hashed(F.col("tokens"), F.substring_index("line", " ", LEADING)))
-        .withColumn("literal", _hashed(F.col("line")))
+def _maybe(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``lines`` without most of those in other leaves than ``leaves``; never drops one of these.
+
+    A bitmap of fixed size (``FILTER_BITS``, a megabyte) stands for the leaves, so it can be
+    broadcast whatever their number; a join decides about what it lets pass.
+    """
+    at = F.pmod(F.xxhash64("tokens", "leaf"), F.lit(FILTER_BITS)) + 1
+    bitmap = (
+        leaves.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
+    found = F.getbit(byte, (place % 8).cast("int")) == 1
+    return lines.join(F.broadcast(bitmap), F.bitmap_bucket_number(at) == F.col("bucket")).where(found).select(lines.columns)
 
 
 def dropped_lines(
@@ -56,78 +73,63 @@ def dropped_lines(
     min_docs: int = MIN_DOCS,
     constant_share: float = CONSTANT_SHARE,
 ) -> DataFrame:
-    """(k1, k2, drop: array of line numbers) for the documents that lose lines."""
+    """(doc_id, doc, drop: array of line numbers) for the documents that lose lines."""
     lines = _lines(docs)
-    slim = written(
-        lines.select("doc_id", "k1", "k2", "pos", "tokens", "leaf", "literal"), "lines"
-    )
-    per_doc = slim.select("leaf", "literal", "tokens", "k1", "k2").distinct()
-    literals = per_doc.groupBy("leaf", "literal", "tokens").agg(F.count("*").alias("n"))
+    slim = written(lines.drop("line"), "lines")
+    leaf = ["tokens", "leaf"]
+    # Leaves with fewer lines than documents are asked for hold nothing that recurs.
+    reached = written(slim.groupBy(*leaf).count().where(F.col("count") >= min_docs).select(*leaf), "reached")
+    near = written(_maybe(slim, reached).join(reached, leaf), "near")
+    per_doc = near.select(*leaf, "literal", "doc_id", "doc").distinct()
+    literals = written(per_doc.groupBy(*leaf, "literal").agg(F.count("*").alias("n")), "literals")
     busy = (
-        literals.groupBy("leaf").agg(F.sum("n").alias("reach"), F.count("*").alias("forms"))
+        literals.groupBy(*leaf).agg(F.sum("n").alias("reach"), F.count("*").alias("forms"))
         .where(F.col("reach") >= min_docs)
     )
-    wanted = written(literals.join(busy, "leaf"), "leaves")
+    wanted = written(literals.join(busy, leaf), "leaves")
 
     # Leaves with one form only are templates already; in the others fields are generalised.
     mixed = wanted.where((F.col("forms") > 1) & (F.col("tokens") > LEADING))
+    line_key = [*leaf, "literal"]
     texts = (
-        lines.select("leaf", "literal", "line")
-        .join(mixed.select("literal"), "literal", "left_semi")
-        .groupBy("literal").agg(F.any_value("leaf").alias("leaf"), F.any_value("line").alias("line"))
+        _maybe(lines, mixed.select(*leaf).distinct()).select(*line_key, "line").distinct()
+        .join(mixed.select(*line_key, "n"), line_key)
     )
     tokens = written(
-        texts.join(mixed.select("literal", "n"), "literal")
-        .select("leaf", "literal", "n", F.posexplode(F.split("line", " ")).alias("at", "token")),
-        "tokens",
-    )
-    support = written(
-        tokens.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support")), "support"
+        texts.select(*line_key, "n", F.posexplode(F.split("line", " ")).alias("at", "token")), "tokens"
     )
+    support = written(tokens.groupBy(*leaf, "at", "token").agg(F.sum("n").alias("support")), "support")
     constant = (F.col("support") >= min_docs) | (F.col("at") < LEADING)
+    # A template is known by the hash of its tokens' hashes in order.
+    def form(token):
+        return F.xxhash64(F.sort_array(F.collect_list(F.struct("at", F.xxhash64(token).alias("t")))))
+
     fields = (
-        tokens.join(support, ["leaf", "at", "token"])
-        .groupBy("literal")
+        tokens.join(support, [*leaf, "at", "token"])
+        .groupBy(*line_key)
         .agg(
-            F.any_value("leaf").alias("leaf"),
             F.avg(constant.cast("double")).alias("share"),
-            F.array_join(
-                F.transform(
-                    F.array_sort(
-                        F.collect_list(
-                            F.struct("at", F.when(constant, F.col("token")).otherwise(FIELD).alias("t"))
-                        )
-                    ),
-                    lambda p: p["t"],
-                ),
-                " ",
-            ).alias("form"),
+            form(F.when(constant, F.col("token")).otherwise(FIELD)).alias("general"),
+            form(F.col("token")).alias("own"),
         )
-        .where(F.col("share") >= constant_share)
-        .select("literal", _hashed(F.col("form")).alias("general"))
+        .select(*line_key, F.when(F.col("share") >= constant_share, F.col("general")).otherwise(F.col("own")).alias("form"))
     )
     templates = written(
-        wanted.select("literal").join(fields, "literal", "left")
-        .select("literal", F.coalesce("general", "literal").alias("template")),
+        wanted.select(*line_key).join(fields, line_key, "left").select(*line_key, F.coalesce("form", "literal").alias("form")),
         "templates",
     )
-    hits = written(slim.join(templates, "literal"), "hits").select(
-        "doc_id", "k1", "k2", "pos", "template"
-    )
+    template = [*leaf, "form"]
+    hits = written(near.join(templates, line_key).select(*template, "doc_id", "doc", "pos"), "hits")
+    place = F.struct("doc_id", "doc", "pos")
     recurring = written(
-        hits.select("template", "k1", "k2").distinct()
-        .groupBy("template").agg(F.count("*").alias("docs"))
-        .where(F.col("docs") >= min_docs)
-        .join(
-            hits.groupBy("template").agg(F.min(F.struct("doc_id", "k1", "k2", "pos")).alias("first")),
-            "template",
-        ),
+        hits.select(*template, "doc_id", "doc").distinct()
+        .groupBy(*template).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        .join(hits.groupBy(*template).agg(F.min(place).alias("first")), template),
         "recurring",
     )
-    place = F.struct("doc_id", "k1", "k2", "pos")
     return (
-        hits.join(recurring, "template").where(~place.eqNullSafe(F.col("first")))
-        .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
+        hits.join(recurring, template).where(~place.eqNullSafe(F.col("first")))
+        .groupBy("doc_id", "doc").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
     )
 
 
@@ -145,14 +147,18 @@ def dedup_lines(
     document and get the same result.  Columns of ``docs`` other than text pass through.
     """
     drops = dropped_lines(docs.select("doc_id", "text"), min_docs, constant_share)
-    keys = row_key("doc_id", "text")
     split = F.split("text", "\n")
     # Prefixed names: whatever columns docs has, none clashes.
-    keyed = docs.select("*", keys[0].alias("__k1"), keys[1].alias("__k2"))
+    keyed = docs.withColumn("__doc", F.xxhash64("doc_id", "text"))
     found = drops.select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("drop").alias("__drop")
+        F.col("doc").alias("__doc"), F.col("doc_id").alias("__doc_id"), F.col("drop").alias("__drop")
+    )
+    # Drops grow with the documents: merged, never broadcast.
+    joined = keyed.join(
+        found.hint("merge"),
+        (keyed["__doc"] == found["__doc"]) & keyed["doc_id"].eqNullSafe(found["__doc_id"]),
+        "left",
     )
-    joined = keyed.join(found, ["__k1", "__k2"], "left")
     rest = F.array_join(
         F.filter(split, lambda line, i: ~F.array_contains(F.col("__drop"), i)), "\n"
     )
