@@ -243,7 +243,8 @@ def warehouse_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("snapshots"), F.countDistinct("snapshot_id").alias("ids"),
         F.sum((F.col("price") * 100).cast("long")).alias("price_cents"),
     )
-    return facts_now.crossJoin(warehouse.dim(head).agg(F.count(F.lit(1)).alias("products")))
+    products = warehouse.dim(head).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return facts_now.withColumn("products", products)
 
 
 # --- files -----------------------------------------------------------------------
