@@ -112,7 +112,9 @@ def drawn(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     pieces = sources.where("slots > 0").select(
         "source", "blocks", "slots", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / 10_000))).alias("piece")
     )
-    slots = pieces.repartition("source", "piece").select(
+    # A number of its own: so few bytes would be put into one task.
+    count = sources.agg(F.sum(F.ceil(F.col("slots") / 10_000))).first()[0] or 1
+    slots = pieces.repartition(min(int(count), 10_000), "source", "piece").select(
         "source", "blocks", "slots",
         F.explode(F.sequence(F.col("piece") * 10_000, F.least(F.col("piece") * 10_000 + 9_999, F.col("slots") - 1))).alias("slot"),
     )
@@ -149,11 +151,11 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS)
     # A place in a source's stream belongs to one document only.
     taken = (
         _spans(placed, block).select("source", "block", "start", "words").alias("d")
-        .join(times.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.block") == F.col("t.block")))
+        .join(times.hint("merge").alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.block") == F.col("t.block")))
         .groupBy("d.source", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     )
     joined = placed.alias("p").join(
-        taken.alias("t"),
+        taken.hint("merge").alias("t"),
         F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.start") == F.col("t.start")) & (F.col("p.size") > 0),
         "left",
     ).select("p.doc_id", "p.source", "p.size", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -174,7 +176,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...
     picks = drawn(sources).select("source", "block", "epoch").distinct()
     spans = (
         _spans(placed, block).select("source", "k1", "k2", "size", "block", "start", "skip", "words").alias("d")
-        .join(picks.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.block") == F.col("t.block")))
+        .join(picks.hint("merge").alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.block") == F.col("t.block")))
         .groupBy("k1", "k2", "size", "start", "epoch")
         .agg(F.sort_array(F.collect_list(F.struct("skip", "words"))).alias("spans"), F.sum("words").alias("got"))
     )
