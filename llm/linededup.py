@@ -54,18 +54,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _maybe(lines: DataFrame, leaves: DataFrame) -> DataFrame:
     """``lines`` without most of those in other leaves than ``leaves``; never drops one of these.
 
-    A bitmap of fixed size (``FILTER_BITS``, a megabyte) stands for the leaves, so it can be
-    broadcast whatever their number; a join decides about what it lets pass.
+    A bitmap of fixed size (``FILTER_BITS``, in words of 64 bits: 131,072 rows at most)
+    stands for the leaves, so it can be broadcast whatever their number; a join decides
+    about what it lets pass.
     """
-    at = F.pmod(F.xxhash64("tokens", "leaf"), F.lit(FILTER_BITS)) + 1
-    bitmap = (
-        leaves.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    )
-    place = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
-    found = F.getbit(byte, (place % 8).cast("int")) == 1
-    return lines.join(F.broadcast(bitmap), F.bitmap_bucket_number(at) == F.col("bucket")).where(found).select(lines.columns)
+    at = F.pmod(F.xxhash64("tokens", "leaf"), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(at, 6), (at % 64).cast("int")
+    bitmap = leaves.select(
+        word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    marked = lines.join(F.broadcast(bitmap), word == F.col("word"))
+    return marked.where(F.getbit("bits", bit) == 1).select(lines.columns)
 
 
 def dropped_lines(
