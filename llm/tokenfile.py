@@ -31,6 +31,7 @@ NO_DOC = np.iinfo(np.int64).min
 PARTS = "part int, name string, docs long, ids long"
 KINDS = {2: "<u2", 4: "<u4"}
 BUFFER = 8 << 20
+REMEMBERED = 1_200_000  # chunks with the space before them: more different ones than words
 
 
 def _place(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -41,7 +42,7 @@ def write(docs: DataFrame, folder: str, path: str, width: int) -> DataFrame:
     """Encode ``docs`` into ``folder`` in doc_id order; the parts table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of_text = encoder(path)
+        ids_of_text = encoder(path, REMEMBERED)
         kind, end = KINDS[width], np.array([END], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
@@ -107,7 +108,8 @@ def read(parts: DataFrame, folder: str, width: int) -> DataFrame:
                             names=["doc_id", "start", "n_tokens", "ids_crc32"],
                         )
 
-    spread = based.repartition("part", "name")
+    # A number of its own: the rows are few and small, but each stands for a whole file.
+    spread = based.repartition(min(max(parts.count(), 1), 10_000), "part", "name")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

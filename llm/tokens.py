@@ -75,9 +75,9 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One for each Python worker, so that its memory outlives a task."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 def vocabulary(name: str) -> str:
