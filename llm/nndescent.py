@@ -10,7 +10,9 @@ angle.
 A list that is full of links is saturated: there may be more.  It is enlarged to its whole
 component.  Members of the component near its centre (within half the link's angle) are
 linked with each other for certain, so they are counted, not listed; the other members are
-compared with all of the component in blocks.  Recall is audited on a sample by brute
+compared with all of the component in blocks.  Links between two components are lost if
+both ends are saturated: cells of such components whose centres and radii allow a link are
+compared, and components that link become one.  Recall is audited on a sample by brute
 force; below the wanted share, more trees and rounds follow.
 """
 
@@ -39,6 +41,7 @@ WANTED = 0.999
 REFITS = 3
 SEED = 5
 BLOCK = 1024
+CENTRES = 4096  # cells whose centres are compared at once with as many others
 EDGE = "a long, b long, sim double"
 
 
@@ -179,6 +182,135 @@ def _links(graph: DataFrame, points: DataFrame, cosine: float) -> DataFrame:
     return close.join(left, "a").join(right, "b").where(_dot("x", "y") >= cosine).select("a", "b")
 
 
+def _blocked(rows: DataFrame, size: int, columns: list[str]) -> DataFrame:
+    """Every two blocks of rows (``i``, ``j``; i <= j) meet once; ``first``: whether a row is of block i."""
+    blocks = max(1, math.ceil(rows.count() / size))
+    own = F.pmod(F.xxhash64(F.lit(3), columns[0]), F.lit(blocks)).cast("int")
+    met = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return met.select(
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), *columns
+    )
+
+
+def _cells(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cell, component, id, vec), and (cell, component, vec, angle): cells of some BLOCK members of a component at most.
+
+    Their centres, and the largest angle of a member to it.  Cells are parted by the signs
+    of projections, so that a component that is no ball has narrow ones, then by hash.
+    """
+    sizes = members.groupBy("component").agg(F.ceil(F.log2(F.greatest(F.count("*") / BLOCK, F.lit(1.0)))).cast("int").alias("bits"))
+
+    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, values = vectors(batch.column(3))
+            if len(values):
+                planes = np.random.default_rng(SEED).standard_normal((values.shape[1], 30))
+                code = ((values @ planes > 0) @ (1 << np.arange(30))) & ((1 << np.minimum(np.asarray(batch.column(2)), 30)) - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(code.astype(np.int64)), batch.column(3)], names=["component", "id", "code", "vec"]
+                )
+
+    coded = written(
+        members.join(sizes, "component").select("component", "id", "bits", "vec")
+        .mapInArrow(signs, "component long, id long, code long, vec array<double>"),
+        "coded",
+    )
+    parts = coded.groupBy("component", "code").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = written(
+        coded.join(parts, ["component", "code"]).withColumn("part", F.pmod(F.xxhash64(F.lit(4), "id"), F.col("parts"))).drop("parts"), "dealt"
+    )
+    key = ["component", "code", "part"]
+    named = dealt.groupBy(*key).agg(F.min("id").alias("cell"))
+    placed = written(dealt.join(named, key).select("cell", "component", "id", "vec"), "cells")
+    sums = placed.select("cell", F.posexplode("vec").alias("at", "x")).groupBy("cell", "at").agg(F.sum("x").alias("x"))
+    centre = sums.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("c")).select(
+        "cell", F.transform("c", lambda p: p["x"]).alias("c")
+    )
+    length = F.sqrt(F.aggregate("c", F.lit(0.0), lambda s, x: s + x * x))
+    centre = written(centre.withColumn("c", F.transform("c", lambda x: x / F.greatest(length, F.lit(1e-300)))), "centre")
+    # A centre of length zero covers its members with half a turn.
+    cosine = F.when(F.exists("c", lambda x: x != 0), _dot("vec", "c")).otherwise(-1.0)
+    shapes = placed.join(centre, "cell").groupBy("cell", "component").agg(
+        F.first("c").alias("vec"), (F.acos(F.greatest(F.least(F.min(cosine), F.lit(1.0)), F.lit(-1.0))) + 1e-6).alias("angle")
+    )
+    return placed, written(shapes, "shapes")
+
+
+def _near_cells(shapes: DataFrame, cosine: float) -> DataFrame:
+    """(a, b, ca, cb, gap): cells of different components whose members may link; gap: the angle between them."""
+    theta = math.acos(cosine) + 1e-6
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        first, same = np.asarray(table.column("first")), table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        centres = np.asarray(table.column("vec").combine_chunks().flatten()).reshape(table.num_rows, -1)
+        cell, component, angle = (np.asarray(table.column(c)) for c in ("cell", "component", "angle"))
+        a = np.flatnonzero(first)
+        b = a if same else np.flatnonzero(~first)
+        gap = np.arccos(np.clip(centres[a] @ centres[b].T, -1, 1)) - angle[a][:, None] - angle[b][None, :]
+        near = (gap <= theta) & (component[a][:, None] != component[b][None, :])
+        if same:
+            near &= cell[a][:, None] < cell[b][None, :]
+        x, y = np.nonzero(near)
+        return pa.table({"a": cell[a[x]], "b": cell[b[y]], "ca": component[a[x]], "cb": component[b[y]], "gap": gap[x, y]})
+
+    met = _blocked(shapes, CENTRES, ["cell", "component", "vec", "angle"])
+    return met.groupBy("i", "j").applyInArrow(compare, "a long, b long, ca long, cb long, gap double")
+
+
+def _one_link(pairs: DataFrame, placed: DataFrame, cosine: float) -> DataFrame:
+    """(a, b): one link between the members of every two cells that have any."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, first = np.asarray(table.column("id")), np.asarray(table.column("first"))
+        values = np.asarray(table.column("vec").combine_chunks().flatten()).reshape(table.num_rows, -1)
+        a, b = np.flatnonzero(first), np.flatnonzero(~first)
+        if not len(a) or not len(b):
+            return pa.table({"a": ids[:0], "b": ids[:0]})
+        sims = values[a] @ values[b].T
+        x, y = np.unravel_index(sims.argmax(), sims.shape)
+        found = slice(0, int(sims[x, y] >= cosine))
+        return pa.table({"a": ids[a[[x]]][found], "b": ids[b[[y]]][found]})
+
+    sides = pairs.select("a", "b", F.col("a").alias("cell"), F.lit(True).alias("first")).unionByName(
+        pairs.select("a", "b", F.col("b").alias("cell"), F.lit(False).alias("first"))
+    )
+    met = sides.join(placed, "cell").select("a", "b", "first", "id", "vec")
+    return met.groupBy("a", "b").applyInArrow(compare, "a long, b long")
+
+
+def _bridges(groups: DataFrame, saturated: DataFrame, points: DataFrame, cosine: float) -> DataFrame | None:
+    """(a, b): links that make one component of saturated components that link; None if there are none.
+
+    Cells that are nearest for their components are compared first; of the others, those of
+    components that are still apart.
+    """
+    full = groups.join(saturated, groups["node"] == saturated["a"], "left_semi").select("component").distinct()
+    if full.limit(2).count() < 2:
+        return None
+    members = groups.join(full, "component", "left_semi").join(points, groups["node"] == points["id"]).select("component", "id", "vec")
+    placed, shapes = _cells(members)
+    pairs = written(
+        _near_cells(shapes, cosine).withColumn("low", F.least("ca", "cb")).withColumn("high", F.greatest("ca", "cb")), "near_cells"
+    )
+    best = written(
+        pairs.groupBy("low", "high").agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p")).select("p.a", "p.b"), "best"
+    )
+    found = written(_one_link(best, placed, cosine), "bridges")
+    owner = placed.select("id", "component")
+    joined = found.join(owner.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a").join(
+        owner.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b"
+    )
+    label = written(connected(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "labels")
+    left, right = (label.select(F.col("node").alias(c), F.col("component").alias(n)) for c, n in (("ca", "la"), ("cb", "lb")))
+    rest = (
+        pairs.join(best, ["a", "b"], "left_anti").join(left, "ca", "left").join(right, "cb", "left")
+        .where(F.coalesce("la", "ca") != F.coalesce("lb", "cb")).select("a", "b")
+    )
+    return found.unionByName(written(_one_link(rest, placed, cosine), "bridges"))
+
+
 def audit(counts: DataFrame, points: DataFrame, cosine: float, sample: int) -> float:
     """Share of links found (column ``others``: different linked vectors), by brute force for a sample of nodes."""
     chosen = points.join(counts, "id").orderBy(F.xxhash64("id")).select("id", "vec", "others").limit(sample).collect()
@@ -300,8 +432,17 @@ def near_duplicates(
         graph = neighbour_graph(points, k, floor, trees, rounds, SEED + fit, graph)
         links = written(_links(graph, points, cosine), "links")
         groups = written(connected(links), "groups")
-        saturated = graph.where(F.col("sim") >= cosine - 1e-5).groupBy("a").count().where(F.col("count") >= k).select("a")
-        counts = written(_counts(links, points, groups, written(saturated, "saturated"), cosine), "counts")
+        full = graph.where(F.col("sim") >= cosine - 1e-5).groupBy("a").count().where(F.col("count") >= k).select("a")
+        saturated = written(full, "saturated")
+        # Lists may be full of nodes just below the threshold; these nodes are components too.
+        lone = saturated.join(groups, saturated["a"] == groups["node"], "left_anti").select(F.col("a").alias("node"), F.col("a").alias("component"))
+        groups = written(groups.unionByName(lone), "groups")
+        bridges = _bridges(groups, saturated, points, cosine)
+        if bridges is not None:
+            tied = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            merged = connected(tied.unionByName(bridges))
+            groups = written(merged.unionByName(groups.join(merged, "node", "left_anti")), "groups")
+        counts = written(_counts(links, points, groups, saturated, cosine), "counts")
         share = audit(points.select("id").join(counts, "id", "left").select("id", F.coalesce("others", F.lit(0)).alias("others")), points, cosine, AUDITED)
         if share >= WANTED:
             break

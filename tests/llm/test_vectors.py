@@ -50,6 +50,41 @@ def test_near_duplicates(spark, rows, k):
     assert {tuple(r) for r in got if r["vec_id"] not in want} == {(i, 0, i, True) for i in range(1000, 1007)} | {(None, 0, None, None)}
 
 
+def brute(x):
+    """(links, smallest reachable row) of every row by brute force."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.95
+    np.fill_diagonal(linked, False)
+    label = np.arange(len(x))
+    while True:
+        least = np.minimum(label, np.where(linked, label, len(x)).min(axis=1))
+        if (least == label).all():
+            return [(int(n), int(c)) for n, c in zip(linked.sum(1), label)]
+        label = least
+
+
+def links(spark, x, **options):
+    made = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], SCHEMA)
+    return [(r["n_links"], r["component_id"]) for r in sorted(nndescent.near_duplicates(made, **options).collect(), key=lambda r: r["vec_id"])]
+
+
+def tight(rng, centre, n, spread):
+    return centre + spread * rng.standard_normal((n, len(centre))) / math.sqrt(len(centre))
+
+
+def test_links_between_saturated_components(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    a, b, c = np.linalg.qr(rng.standard_normal((32, 3)))[0].T
+    close = 0.96 * a + math.sqrt(1 - 0.96**2) * b
+    x = np.float32(np.r_[tight(rng, a, 60, 0.03), tight(rng, close, 40, 0.03), tight(rng, c, 30, 0.03), tight(rng, 0.93 * c + 0.367 * b, 30, 0.03)])
+    want = brute(np.float64(x))
+    assert want[0][0] >= 99 and want[0][1] == want[60][1] and want[100][1] != want[130][1]
+    assert links(spark, x) == want
+    monkeypatch.setattr(nndescent, "BLOCK", 16)
+    monkeypatch.setattr(nndescent, "CENTRES", 2)
+    assert links(spark, x) == want
+
+
 def test_nearest_neighbours(spark, rows):
     good = usable(rows)
     got = forest.search(rows, rows.where("vec_id % 20 = 0"), nearest=20)
