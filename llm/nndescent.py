@@ -13,7 +13,8 @@ linked with each other for certain, so they are counted, not listed; the other m
 compared with all of the component in blocks.  Links between two components are lost if
 both ends are saturated: cells of such components whose centres and radii allow a link are
 compared, and components that link become one.  Recall is audited on a sample by brute
-force; below the wanted share, more trees and rounds follow.
+force, node by node; below the wanted share, more trees and rounds follow, and after the
+last of them all nodes are compared with each other in blocks.
 """
 
 from __future__ import annotations
@@ -36,12 +37,12 @@ NEIGHBOURS = 16
 TREES = 12
 RUN = 64  # nodes compared with each other in a tree's order
 ROUNDS = 4
-AUDITED = 256
+AUDITED = 256  # nodes at least, or the root of their number, from each of three strata
 WANTED = 0.999
 REFITS = 3
 SEED = 5
 BLOCK = 1024
-CENTRES = 4096  # cells whose centres are compared at once with as many others
+CENTRES = 2048  # cells (or nodes, by brute force) compared at once with as many others
 EDGE = "a long, b long, sim double"
 
 
@@ -311,9 +312,22 @@ def _bridges(groups: DataFrame, saturated: DataFrame, points: DataFrame, cosine:
     return found.unionByName(written(_one_link(rest, placed, cosine), "bridges"))
 
 
-def audit(counts: DataFrame, points: DataFrame, cosine: float, sample: int) -> float:
-    """Share of links found (column ``others``: different linked vectors), by brute force for a sample of nodes."""
-    chosen = points.join(counts, "id").orderBy(F.xxhash64("id")).select("id", "vec", "others").limit(sample).collect()
+def audit(counts: DataFrame, points: DataFrame, cosine: float, sample: int, k: int, seed: int = 0) -> float:
+    """Mean recall of the nodes that have links (column ``others``: different linked vectors found).
+
+    A sample of nodes without found links, with fewer than k, and with more is compared with
+    all by brute force, other nodes for each seed.  The first two strata count by their
+    sizes, so that no large group hides what small ones miss; the smaller of their recall
+    and the last stratum's is the result.
+    """
+    stratum = F.when(F.col("others") == 0, 0).when(F.col("others") < k, 1).otherwise(2)
+    placed = counts.withColumn("stratum", stratum)
+    sizes = {r["stratum"]: r["count"] for r in placed.groupBy("stratum").count().collect()}
+    most = max(sample, math.isqrt(sum(sizes.values())))
+    chosen = []
+    for s in sorted(sizes):
+        some = placed.where(F.col("stratum") == s).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(most)
+        chosen += points.join(some, "id").select("vec", "others", "stratum").collect()
     if not chosen:
         return 1.0
     values = np.array([r["vec"] for r in chosen])
@@ -322,14 +336,44 @@ def audit(counts: DataFrame, points: DataFrame, cosine: float, sample: int) -> f
         total = np.zeros(len(values), np.int64)
         for batch in batches:
             _, here = vectors(batch.column(0))
-            if len(here):
-                total += (values @ here.T >= cosine).sum(axis=1)
+            for at in range(0, len(here), BLOCK):
+                total += (values @ here[at : at + BLOCK].T >= cosine).sum(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "n"])
 
     true = {r["i"]: r["n"] - 1 for r in points.select("vec").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()}
-    found = sum(min(r["others"], true[i]) for i, r in enumerate(chosen))
-    total = sum(true.values())
-    return found / total if total else 1.0
+    drawn = {s: sum(r["stratum"] == s for r in chosen) for s in sizes}
+    found, linked = np.zeros(2), np.zeros(2)
+    for i, r in enumerate(chosen):
+        if true[i] > 0:
+            weight, large = sizes[r["stratum"]] / drawn[r["stratum"]], int(r["stratum"] == 2)
+            found[large] += weight * min(r["others"], true[i]) / true[i]
+            linked[large] += weight
+    return float(min((f / n for f, n in zip(found, linked) if n), default=1.0))
+
+
+def exact_graph(points: DataFrame, k: int, floor: float) -> DataFrame:
+    """(a, b, sim): every node's k nearest if not below the floor, all nodes compared in blocks."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        first, same = np.asarray(table.column("first")), table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        ids = np.asarray(table.column("id"))
+        values = np.asarray(table.column("vec").combine_chunks().flatten()).reshape(table.num_rows, -1)
+        if same:
+            parts = list(_best(ids, values, k, floor))
+        else:
+            a, b = np.flatnonzero(first), np.flatnonzero(~first)
+            parts = []
+            for x, y in ((a, b), (b, a)) if len(a) and len(b) else ():
+                sims = values[x] @ values[y].T
+                if len(y) > k:
+                    sims[sims < np.partition(sims, len(y) - k, axis=1)[:, len(y) - k, None]] = -2
+                p, q = np.nonzero(sims >= floor)
+                parts.append(_edges(ids[x[p]], ids[y[q]], sims[p, q]))
+        return pa.Table.from_batches(parts or [_edges(ids[:0], ids[:0], np.zeros(0))])
+
+    met = _blocked(points, CENTRES, ["id", "vec"])
+    return _kept(met.groupBy("i", "j").applyInArrow(compare, EDGE), k)
 
 
 def _counts(links: DataFrame, points: DataFrame, groups: DataFrame, saturated: DataFrame, cosine: float) -> DataFrame:
@@ -427,9 +471,13 @@ def near_duplicates(
         "points",
     )
     floor = math.cos(2 * math.acos(cosine)) - 1e-3
-    graph, share = None, 0.0
-    for fit in range(REFITS):
-        graph = neighbour_graph(points, k, floor, trees, rounds, SEED + fit, graph)
+    graph = None
+    for fit in range(REFITS + 1):
+        if fit < REFITS:
+            graph = neighbour_graph(points, k, floor, trees, rounds, SEED + fit, graph)
+        else:
+            # What NN-descent did not find by now is found by brute force.
+            graph = written(exact_graph(points, k, cosine - 1e-5), "graph")
         links = written(_links(graph, points, cosine), "links")
         groups = written(connected(links), "groups")
         full = graph.where(F.col("sim") >= cosine - 1e-5).groupBy("a").count().where(F.col("count") >= k).select("a")
@@ -443,8 +491,10 @@ def near_duplicates(
             merged = connected(tied.unionByName(bridges))
             groups = written(merged.unionByName(groups.join(merged, "node", "left_anti")), "groups")
         counts = written(_counts(links, points, groups, saturated, cosine), "counts")
-        share = audit(points.select("id").join(counts, "id", "left").select("id", F.coalesce("others", F.lit(0)).alias("others")), points, cosine, AUDITED)
-        if share >= WANTED:
+        if fit == REFITS:
+            break
+        others = written(points.select("id").join(counts, "id", "left").select("id", F.coalesce("others", F.lit(0)).alias("others")), "others")
+        if audit(others, points, cosine, AUDITED, k, fit) >= WANTED:
             break
     named = points.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = named.groupBy("component").agg(F.min("name").alias("component_id"))

@@ -85,6 +85,28 @@ def test_links_between_saturated_components(spark, monkeypatch):
     assert links(spark, x) == want
 
 
+def test_pairs_missed_beside_a_hot_group(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    hot, pairs = rng.standard_normal(24), rng.standard_normal((60, 24))
+    x = np.float32(np.r_[hot + 0.02 * rng.standard_normal((120, 24)), pairs, pairs + 0.02 * rng.standard_normal((60, 24))])
+    want = brute(np.float64(x))
+    assert [n for n, _ in want[120:]] == [1] * 120
+    # A graph that has nothing but the hot group, whatever the fit.
+    graph = nndescent.neighbour_graph
+    monkeypatch.setattr(nndescent, "neighbour_graph", lambda points, *a: graph(points.where("id < 120"), *a))
+    monkeypatch.setattr(nndescent, "REFITS", 1)
+    monkeypatch.setattr(nndescent, "CENTRES", 50)
+    assert links(spark, x, trees=2, rounds=1) == want
+
+
+def test_audit_counts_nodes(spark):
+    x = np.r_[np.tile(np.eye(4)[0], (50, 1)) + 0.001 * np.arange(50)[:, None], np.repeat(np.eye(4)[1:3], 2, axis=0) + 0.001 * np.eye(4)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    others = points.select("id", F.when(F.col("id") < 50, 49).when(F.col("id") < 52, 1).otherwise(0).alias("others"))
+    assert nndescent.audit(others, points, 0.95, 256, 16) == 0.5
+
+
 def test_nearest_neighbours(spark, rows):
     good = usable(rows)
     got = forest.search(rows, rows.where("vec_id % 20 = 0"), nearest=20)
