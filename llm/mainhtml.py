@@ -4,8 +4,9 @@ The standard library's parser streams a page as events.  They make lines: runs o
 between tags that part blocks, each with its number of tags and the container it stands
 in.  The ratio of text to tags of the lines is smoothed by a Gaussian and clustered by a
 threshold into content and the rest.  The page's article, if marked up, or else the
-smallest container that holds nearly all content is the region; its lines are the text,
-but for those in menus, headers, footers, sidebars, notices, adverts, forms and comments.
+smallest container of all lines that are not mostly links is the region; its lines are the
+text, but for those in menus, headers, footers, sidebars, notices, adverts, forms and
+comments.  Without an article, a word in a class marks no container of most of the text.
 """
 
 from __future__ import annotations
@@ -42,18 +43,19 @@ CLOSED_BY_BLOCK = frozenset("p li dt dd option".split())
 WORDS = re.compile(r"[a-z]+")
 SPREAD = 1.0  # of the Gaussian, in lines
 REACH = 2
-CONTENT_SHARE = 0.8
+LINKED = 0.5  # share of link text from which a line is mostly links
 
 
 class _Lines(HTMLParser):
-    """Collects lines: (text, tags, container, left out, share of link text)."""
+    """Collects lines: (text, tags, container, left out by its element, share of link text, innermost marked container or 0)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, float]] = []
+        self.lines: list[tuple[str, int, int, bool, float, int]] = []
         self.parents = [0]  # container -> the one around it
         self.kinds = ["page"]
-        self.stack: list[tuple[str, int, str]] = [("", 0, "")]  # tag, container, why it is left out
+        self.stack: list[tuple[str, int, str, int]] = [("", 0, "", 0)]  # tag, container, why it is left out, innermost marked one
+        self.marks: dict[int, int] = {}  # marked container -> the marked one around it, or 0
         self.parts: list[str] = []
         self.tags = 0
         self.links = 0
@@ -62,8 +64,8 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, container, why = self.stack[-1]
-            self.lines.append((text, self.tags, container, bool(why), self.linked / len(text)))
+            _, container, why, mark = self.stack[-1]
+            self.lines.append((text, self.tags, container, bool(why), self.linked / len(text), mark))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -80,11 +82,11 @@ class _Lines(HTMLParser):
         while len(self.stack) > 1 and self.stack[-1][0] in CLOSED_BY_BLOCK and tag not in ("ul", "ol", "dl"):
             self.stack.pop()
         self.links = 0
-        _, around, why = self.stack[-1]
+        _, around, why, mark = self.stack[-1]
         words = {w for n, v in attrs if n in ("class", "id", "role") and v for w in WORDS.findall(v.lower())}
-        in_main = any(t in MAIN for t, _, _ in self.stack)
-        if tag in MAIN and why in ("marked", "around"):
-            why = ""  # an unclosed advert does not swallow the article
+        in_main = any(t in MAIN for t, _, _, _ in self.stack)
+        if tag in MAIN and why in ("", "around"):
+            why, mark = "", 0  # an unclosed advert does not swallow the article
         if not why:
             if tag in NEVER:
                 why = "never"
@@ -95,10 +97,11 @@ class _Lines(HTMLParser):
             elif tag not in MAIN and tag not in ("body", "html") and (
                 words & MARKED or ("header" in words and not in_main) or ("form" in words)
             ):
-                why = "marked"
+                self.marks[len(self.parents)] = mark
+                mark = len(self.parents)
         self.parents.append(around)
         self.kinds.append(tag if not words & {"main"} or tag in MAIN else "main")
-        self.stack.append((tag, len(self.parents) - 1, why))
+        self.stack.append((tag, len(self.parents) - 1, why, mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # HTML has no self-closing containers: <div/> opens one.
@@ -142,24 +145,18 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.finish()
     lines = parser.lines
-    usable = [i for i, line in enumerate(lines) if not line[3]]
+    usable = [i for i, line in enumerate(lines) if not line[3] and not line[5]]
+    region = _article(parser, usable)
+    marked = region is not None
+    if not marked:
+        usable = _unmarked(parser)
+        region = _around(parser, [i for i in usable if lines[i][4] < LINKED] or usable)
     if not usable:
         return ""
-    ratios = np.array([len(t) / max(tags, 1) for t, tags, _, _, _ in lines])
+    ratios = np.array([len(line[0]) / max(line[1], 1) for line in lines])
     smooth = smoothed(ratios)
     content = {i for i in usable if smooth[i] >= smooth.std()} or set(usable)
 
-    mass: dict[int, int] = {}
-    for i in content:
-        at = lines[i][2]
-        while True:
-            mass[at] = mass.get(at, 0) + len(lines[i][0])
-            if at == 0:
-                break
-            at = parser.parents[at]
-    region = _region(parser, mass)
-    marked = parser.kinds[region] in MAIN
-
     def inside(at: int) -> bool:
         while at > region:
             at = parser.parents[at]
@@ -167,20 +164,54 @@ def main_text(html: str | None) -> str:
 
     kept = [
         lines[i][0] for i in usable
-        if inside(lines[i][2]) and (marked or i in content or lines[i][4] < 0.5)
+        if inside(lines[i][2]) and (marked or i in content or lines[i][4] < LINKED)
     ]
     return " ".join(kept)
 
 
-def _region(parser: _Lines, mass: dict[int, int]) -> int:
-    """The article with most content, or else the smallest container of nearly all of it."""
+def _article(parser: _Lines, usable: list[int]) -> int | None:
+    """The article, or else the main part, with most text; None if the page has neither."""
+    mass: dict[int, int] = {}
+    for i in usable:
+        at = parser.lines[i][2]
+        while at:
+            mass[at] = mass.get(at, 0) + len(parser.lines[i][0])
+            at = parser.parents[at]
     for kind in ("article", "main"):
         found = [c for c in mass if parser.kinds[c] == kind]
         if found:
             return max(found, key=lambda c: (mass[c], -c))
-    total = mass.get(0, 0)
-    holding = [c for c, m in mass.items() if m >= CONTENT_SHARE * total and parser.kinds[c] not in CLOSED_BY_BLOCK]
-    return max(holding, default=0)  # containers are numbered outside in
+    return None
+
+
+def _unmarked(parser: _Lines) -> list[int]:
+    """Lines in no marked container but those that hold most of the text outside links."""
+    mass: dict[int, int] = {}
+    total = 0
+    for text, _, _, out, linked, mark in parser.lines:
+        if out or linked >= LINKED:
+            continue
+        total += len(text)
+        while mark:
+            mass[mark] = mass.get(mark, 0) + len(text)
+            mark = parser.marks[mark]
+    left_out = {0: False}
+    for mark, outer in parser.marks.items():  # outside in
+        left_out[mark] = left_out[outer] or 2 * mass.get(mark, 0) <= total
+    return [i for i, line in enumerate(parser.lines) if not line[3] and not left_out[line[5]]]
+
+
+def _around(parser: _Lines, chosen: list[int]) -> int:
+    """The smallest container of all these lines."""
+    region = parser.lines[chosen[0]][2] if chosen else 0
+    for i in chosen:
+        at = parser.lines[i][2]
+        while at != region:  # containers are numbered outside in
+            if at > region:
+                at = parser.parents[at]
+            else:
+                region = parser.parents[region]
+    return region
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

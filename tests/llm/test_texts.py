@@ -28,6 +28,21 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+LONG = "A sentence of the article that goes on for quite a while. " * 12
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div><h1>Title</h1><p>Intro</p><blockquote>{LONG}</blockquote></div>", f"Title Intro {LONG}"),
+    (f"<div><section><p>Short part.</p></section><section><p>{LONG}</p></section></div>", f"Short part. {LONG}"),
+    (f"<div><pre>x = 1</pre><ul><li>{LONG}</li></ul></div>", f"x = 1 {LONG}"),
+    (f"<div class='page has-sidebar'><div><p>{LONG}</p><p>End.</p></div><div class='sidebar'>Other things</div></div>", f"{LONG} End."),
+    (f"<div class='no-share form'><p>{LONG}</p><div class='cookie-notice'>ok?</div></div>", LONG),
+    (f"<div><a>Home</a> <a>News</a></div><div><h1>Title</h1><div>{LONG}</div></div>", f"Title {LONG}"),
+])
+def test_whole_articles_in_plain_containers(html, text):
+    assert main_text(html) == text.strip().replace("  ", " ")
+
+
 def test_long_and_nested_pages():
     deep = "<div>" * 3000 + "<article><p>core</p></article>" + "</div>" * 3000
     assert main_text(deep) == "core"
