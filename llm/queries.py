@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import cotraining, forest, linededup, mainhtml, mixing, nndescent, packing, simhash, tokenfile, toxicity
+from llm import (
+    cotraining, forest, linededup, mainhtml, mixing, nndescent, packing, prefixbpe, simhash, tokenfile, toxicity,
+)
 from llm.shared import table
 
 
@@ -52,9 +54,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixbpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_line_dedup, op2_best_fit_packing, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_html_main_text,
     op6_source_mixing, op7_nearest_neighbours, op8_token_files, op9_toxicity, op10_quality_classifier,
+    op11_byte_bpe,
 )
 
 

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are n
 
 def test_names():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 12))
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -25,7 +25,7 @@ def test_line_dedup_equals_sql(spark):
     assert compare(spark, connect(SF), SF, "op1_line_dedup") is None
 
 
-@pytest.mark.parametrize("name", ["op2_best_fit_packing", "op4_simhash_near_dedup", "op5_html_main_text", "op6_source_mixing", "op8_token_files", "op9_toxicity", "op10_quality_classifier", "op3_embedding_near_dedup"])
+@pytest.mark.parametrize("name", ["op2_best_fit_packing", "op4_simhash_near_dedup", "op5_html_main_text", "op6_source_mixing", "op8_token_files", "op9_toxicity", "op10_quality_classifier", "op3_embedding_near_dedup", "op11_byte_bpe"])
 def test_every_row_has_a_result(spark, name):
     source, key = {"op5_html_main_text": ("pages", "page_id"), "op3_embedding_near_dedup": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
     made = queries.queries()[name](spark, SF)
