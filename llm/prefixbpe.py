@@ -15,8 +15,10 @@ space, then other characters) that are split alone; short chunks recur and are r
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from llm.tokens import vocabulary
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 600_000
+REMEMBERED = 250_000  # chunks of each of two ages
+PAIRS = 400_000
 LONGEST = 48  # characters of a chunk that is remembered
 NEVER = 1 << 60
 
@@ -76,13 +79,14 @@ class Vocabulary:
         self.ranks = ranks
         self.split = splitter(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
+        self.longest = max(self.lengths.values())
         # All tokens that end at a place, longest first; bytes stand as the characters of their number.
         self.ending = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.ending.add_word(token.decode("latin-1"), (len(token), rank))
         self.ending.make_automaton()
-        self._parts: dict[int, tuple[int, int] | None] = {}
+        self._parts: dict[int, tuple[int, ...] | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
 
     @classmethod
@@ -91,8 +95,8 @@ class Vocabulary:
             pairs = [line.split() for line in lines if line.strip()]
         return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
-    def parts(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge made this one; None if no order of merges makes it."""
+    def parts(self, token: int) -> tuple[int, ...] | None:
+        """The two tokens whose merge made this one (none for a byte); None if merging never makes it."""
         if token not in self._parts:
             now = [bytes([b]) for b in self.tokens[token]]
             while len(now) > 2:
@@ -100,29 +104,24 @@ class Vocabulary:
                 if rank == NEVER:
                     break
                 now[i : i + 2] = [now[i] + now[i + 1]]
-            self._parts[token] = (self.ranks[now[0]], self.ranks[now[1]]) if len(now) == 2 else None
+            self._parts[token] = tuple(self.ranks[x] for x in now) if len(now) <= 2 else None
         return self._parts[token]
 
     def made(self, token: int) -> int:
         """When merging makes this token: its rank; single bytes are there from the start."""
-        return token if len(self.tokens[token]) > 1 else -1
+        return token if self.lengths[token] > 1 else -1
 
     def extend(self, last: list[int], data: bytes, stop: int) -> None:
         """Add the last tokens of the prefixes of ``data`` up to ``stop`` bytes: one of those that end there fits."""
-        parts, known, fits = self.parts, self._fits.get, self.fits
-        at, begin = len(last), max(len(last) - self.longest, 0)
+        known, fits = self._fits.get, self.fits
+        place, begin = len(last) - 1, max(len(last) - self.longest, 0)
         for end, (n, token) in self.ending.iter(data.decode("latin-1"), begin, stop):
-            if end + 1 == at:  # else it is known, or has just been found
-                if n == at:
-                    good = n == 1 or parts(token) is not None
-                else:
-                    left = last[at - n]
-                    good = known((left, token))
-                    if good is None:
-                        good = (n == 1 or parts(token) is not None) and fits(left, token)
-                if good:
+            if end == place:  # else the token that fits there is known, or has just been found
+                pair = last[end + 1 - n], token
+                good = known(pair)
+                if fits(*pair) if good is None else good:
                     last.append(token)
-                    at += 1
+                    place += 1
 
     def fits(self, left: int, right: int) -> bool:
         """Whether both tokens, side by side, are the encoding of their bytes.
@@ -132,8 +131,11 @@ class Vocabulary:
         if it lies further left), the border would have been crossed.
         """
         pair, limit = (left, right), NEVER
-        if len(self._fits) >= REMEMBERED:
+        if len(self._fits) >= PAIRS:
             self._fits.clear()
+        if left < 0 or self.parts(right) is None:  # nothing before it, or a token that no merge makes
+            self._fits[pair] = self.parts(right) is not None
+            return self._fits[pair]
         while True:
             if self.ranks.get(self.tokens[left] + self.tokens[right], NEVER) < limit:
                 good = False
@@ -185,12 +187,14 @@ class Prefixes:
 
     def ids(self, end: int | None = None) -> list[int]:
         """The encoding of the first ``end`` bytes (all): from the last token backwards."""
-        at = len(self.data) if end is None else end
+        last, lengths, at = self.last, self.words.lengths, len(self.data) if end is None else end
         found = []
         while at:
-            found.append(self.last[at])
-            at -= len(self.words.tokens[self.last[at]])
-        return found[::-1]
+            token = last[at]
+            found.append(token)
+            at -= lengths[token]
+        found.reverse()
+        return found
 
 
 class Encoder(dict):
@@ -198,22 +202,31 @@ class Encoder(dict):
 
     def __init__(self, words: Vocabulary, remembered: int = REMEMBERED):
         self.words, self.remembered = words, remembered
-
-    def pieces(self, text: str) -> list[bytes]:
-        return [piece.encode() for piece in self.words.split.findall(text)]
-
-    def piece(self, data: bytes) -> list[int]:
-        known = self.words.ranks.get(data)
-        return Prefixes(self.words, data).ids() if known is None else [known]
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array([i for p in self.pieces(chunk) for i in self.piece(p)], "<u4").tobytes()
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.chunk(chunk)
         if len(chunk) <= LONGEST:
             if len(self) >= self.remembered:
+                # Chunks that were not asked for in this age are forgotten with the next.
+                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def chunk(self, chunk: str) -> bytes:
+        words, found = self.words, []
+        for piece in words.split.findall(chunk):
+            data = piece.encode()
+            whole = words.ranks.get(data)
+            if whole is None:
+                found += Prefixes(words, data).ids()
+            else:
+                found.append(whole)
+        return struct.pack(f"<{len(found)}I", *found)
+
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, CHUNK.findall(text))) if text else b""
 
@@ -280,10 +293,20 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(words_of(path, pattern))
 
 
+class Decoder:
+    """Ids (little-endian unsigned 32 bits) to the bytes of their tokens."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as lines:
+            self.tokens = {int(rank): base64.b64decode(token) for token, rank in (x.split() for x in lines if x.strip())}
+
+    def decode(self, ids: bytes | None) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 @cache
-def token_bytes(path: str) -> dict[int, bytes]:
-    with open(path, "rb") as lines:
-        return {int(rank): base64.b64decode(token) for token, rank in (x.split() for x in lines if x.strip())}
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def _pattern() -> str:
@@ -319,12 +342,9 @@ def decoded(ids: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = token_bytes(path).__getitem__
+        decode = decoder(path).decode
         for batch in batches:
-            found = pa.array(
-                [b"".join(map(token, np.frombuffer(ids.as_py() or b"", "<u4").tolist())) for ids in batch.column(1)],
-                pa.large_binary(),
-            )
+            found = pa.array([decode(ids.as_py()) for ids in batch.column(1)], pa.large_binary())
             for at, n in _slices(found):
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(at, n) for c in batch.columns), found.slice(at, n).cast(pa.binary())],
@@ -345,11 +365,26 @@ def _slices(values: pa.LargeBinaryArray, most: int = 32 << 20) -> Iterator[tuple
 
 
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes and digests every row."""
-    both = decoded(encoded(docs, path, pattern), path)
-    return both.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes and decodes every row, as ``encoded`` and ``decoded``.
+
+    Both happen in one pass, so that neither ids nor bytes leave the task.
+    """
+    path, pattern = path or vocabulary(VOCABULARY), pattern or _pattern()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = encoder(path, pattern).encode, decoder(path).decode
+        for batch in batches:
+            counts, ids_digests, digests = [], [], []
+            for text in batch.column(1):
+                ids = encode(text.as_py())
+                counts.append(len(ids) // 4)
+                ids_digests.append(hashlib.sha256(ids).hexdigest())
+                digests.append(hashlib.sha256(decode(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(digests, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -91,6 +91,10 @@ def test_query(spark, library):
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
     assert prefixbpe.round_trip(docs.where("false")).count() == 0
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.where("doc_id is not null").collect()}
+    for r in prefixbpe.decoded(prefixbpe.encoded(docs)).where("doc_id is not null").collect():
+        assert bytes(r["bytes"]).decode() == texts[r["doc_id"]]
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == library.encode_ordinary(texts[r["doc_id"]])
     assert prefixbpe.decoded(spark.createDataFrame([(1, None)], "doc_id long, ids binary")).first()["bytes"] == b""
 
 
