@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from llm.tokens import vocabulary
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 250_000  # chunks of each of two ages
+REMEMBERED = 700_000  # chunks of each of two ages
 PAIRS = 400_000
 LONGEST = 48  # characters of a chunk that is remembered
 NEVER = 1 << 60
