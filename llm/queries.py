@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
-    bursttrie, cotraining, forest, linededup, mainhtml, mixing, nndescent, packing, prefixbpe, simhash, tokenfile, toxicity,
+    bursttrie, cotraining, forest, linededup, mainhtml, mixing, nndescent, packing, prefixbpe, simhash, slicesearch, tokenfile,
+    toxicity,
 )
 from llm.shared import table
 
@@ -62,10 +63,14 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bursttrie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slicesearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = (
     op1_line_dedup, op2_best_fit_packing, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_html_main_text,
     op6_source_mixing, op7_nearest_neighbours, op8_token_files, op9_toxicity, op10_quality_classifier,
-    op11_byte_bpe, op12_conversation_trie,
+    op11_byte_bpe, op12_conversation_trie, op13_lexical_search,
 )
 
 
@@ -74,4 +79,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": linededup.sql(), "op12_conversation_trie": bursttrie.sql()}
+    return {
+        "op1_line_dedup": linededup.sql(), "op12_conversation_trie": bursttrie.sql(), "op13_lexical_search": slicesearch.sql(),
+    }

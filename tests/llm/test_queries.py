@@ -17,11 +17,11 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are n
 
 def test_names():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 13))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op12_conversation_trie"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op12_conversation_trie", "op13_lexical_search"])
 def test_query_equals_sql(spark, name):
     assert compare(spark, connect(SF), SF, name) is None
 
