@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.functions import classify, fixed as K, text
-from shelfwatch.session import dealt
+from shelfwatch.session import dealt, kept
 from shelfwatch.operators.clean import dedup_last, ensure_columns
 
 
+# Raise it when the rules of ``backfill`` or ``sweep_dim`` change: all products are then due again.
+RULES_VERSION = 1
+
+
 def stamp(at: datetime) -> Column:
     return F.lit(at).cast("timestamp_ntz")
 
@@ -33,29 +37,27 @@ def with_load_defaults(clean: DataFrame) -> DataFrame:
 
 
 def assign_ids(rows: DataFrame, key: str, start: Column | int, name: str) -> DataFrame:
-    """Dense ids ``start + 1 ...`` over rows with a unique ``key``.
+    """Dense ids ``start + 1 ...`` over rows with a unique ``key``, in its order; rows without key are left out.
 
-    Numbering all rows in one window would pull them into one task.  Rows are spread
-    over 4,096 buckets by a hash of the key; the buckets' offsets come from 4,096
-    counts; and each bucket is numbered by itself.  The result depends on the keys
-    alone, so a retried task gives the same ids.
+    Numbering all rows in one window would pull them into one task.  The keys alone are
+    dealt by range to partitions that Spark sizes by their data, sorted and written with
+    their place; the partitions' counts add up to offsets; and the ids are joined to the
+    rows.  The result depends on the keys alone.  ``rows`` is read twice: hand in a
+    written table or a cheap plan.
     """
-    bucket = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 3)
-    placed = rows.withColumn("_bucket", bucket)
-    before = Window.partitionBy().orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    keys = rows.select(key).where(F.col(key).isNotNull()).repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    placed = kept(keys.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn(
+        "_part", F.shiftright("_at", 33)
     )
-    inside = Window.partitionBy("_bucket").orderBy(key)
-    start_at = start if isinstance(start, Column) else F.lit(start)
-    # At most 4,096 offset rows: a fixed bound, so broadcasting them is safe.
-    return (
-        placed.withColumn("_nth", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, (start_at + F.col("_offset") + F.col("_nth")).cast("long"))
-        .drop("_bucket", "_nth", "_offset")
+    # One row for each partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        placed.groupBy("_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_shift"))
     )
+    start_at = start if isinstance(start, Column) else F.lit(start)
+    ids = placed.join(parts, "_part").select(key, (start_at + F.col("_at") + F.col("_shift")).cast("long").alias(name))
+    return rows.join(ids, key)
 
 
 def latest_rows(stage: DataFrame) -> DataFrame:
@@ -68,18 +70,18 @@ def upsert(dim: DataFrame, stage: DataFrame, at: datetime, last_id: Column | int
 
     ``stage`` carries ``seq``; of several rows per sku the last one counts.
     """
-    return upsert_latest(dim, latest_rows(stage), at, last_id)
+    return upsert_latest(dim, kept(latest_rows(stage), "latest"), at, last_id)
 
 
 def upsert_latest(
     dim: DataFrame, incoming: DataFrame, at: datetime, last_id: Column | int | None = None
 ) -> DataFrame:
-    """``upsert`` for rows that are unique by sku.
+    """``upsert`` for rows that are unique by sku; ``incoming`` has the columns that it sets.
 
     They are read several times (known skus, new skus, their ids, the update), so a load
     hands in a written table rather than a plan.
     """
-    attributes = list(schemas.DIM_ATTRIBUTES)
+    attributes = [c for c in incoming.columns if c != "sku"]
     if last_id is None:
         last_id = dim.agg(F.coalesce(F.max("product_id"), F.lit(0)).alias("m")).scalar()
     # Skus of the batch that exist already; no larger than the batch, so that with a
@@ -88,14 +90,13 @@ def upsert_latest(
     new = assign_ids(incoming.join(known, "sku", "left_anti"), "sku", last_id, "product_id")
     news = new.withColumns({"created_at": stamp(at), "updated_at": stamp(at)})
     fresh = incoming.select("sku", *[F.col(c).alias(f"_{c}") for c in attributes], F.lit(True).alias("_hit"))
-    kept = dim.join(fresh, "sku", "left").withColumns(
+    updated = dim.join(fresh, "sku", "left").withColumns(
         {
             **{c: F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)) for c in attributes},
             "updated_at": F.when(F.col("_hit"), stamp(at)).otherwise(F.col("updated_at")),
         }
     )
-    columns = schemas.DIM_SCHEMA.fieldNames()
-    return kept.select(*columns).unionByName(news.select(*columns))
+    return updated.select(*dim.columns).unionByName(news.select(*dim.columns))
 
 
 def backfill(dim: DataFrame, at: datetime) -> DataFrame:

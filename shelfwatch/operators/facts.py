@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K, text
 from shelfwatch.operators.dimension import assign_ids, evolve, stamp, sweep_missing
+from shelfwatch.session import kept
 
 
 def append_facts(
@@ -17,12 +18,13 @@ def append_facts(
 ) -> DataFrame:
     """One snapshot per stage row (also for repeated skus), dated by the batch.
 
-    Both sides are joined on sku; the dimension is unique by sku, so a sku that holds a
-    large part of the stage only makes the stage side long, which adaptive execution
-    splits.
+    Both sides are joined on sku, with nothing but ``seq`` on the stage's side; the dimension
+    is unique by sku, so a sku that holds a large part of the stage only makes the stage side
+    long, which adaptive execution splits.  The wide rows are joined once, by ``seq``, with
+    product and id.  ``stage`` is read twice: a load hands in a written table.
     """
-    placed = stage.join(dim.select("sku", "product_id"), "sku")
-    numbered = assign_ids(placed, "seq", last_id, "snapshot_id")
+    found = kept(stage.select("seq", "sku").join(dim.select("sku", "product_id"), "sku").select("seq", "product_id"), "placed")
+    numbered = stage.join(assign_ids(found, "seq", last_id, "snapshot_id"), "seq")
     return evolve(
         numbered.withColumns(
             {

@@ -65,6 +65,31 @@ def merge_batches(existing: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def merged_rows(rows: DataFrame, landing: int) -> DataFrame:
+    """The products of one landing: identity, landing, seq (first appearance), last non-empty values."""
+    key = identity(F.col("asin"), F.col("product_url"), F.concat_ws("/", F.lit(str(landing)), F.col("seq").cast("string")))
+    return rows.groupBy(key.alias("identity")).agg(
+        F.min("seq").alias("seq"),
+        *[_last_value(F.col(f.name), f.dataType, F.col("seq")).alias(f.name) for f in schemas.RAW_SCHEMA],
+    ).select("identity", F.lit(landing).cast("long").alias("landing"), "seq", *schemas.RAW_SCHEMA.fieldNames())
+
+
+def into_products(products: DataFrame, new: DataFrame) -> DataFrame:
+    """``products`` with what a landing says about them, and with the landing's new products.
+
+    Both sides have one row per identity: values that the landing has win, first appearances stay.
+    """
+    fields = {f.name: f.dataType for f in schemas.RAW_SCHEMA}
+    old = products.select("identity", *[F.col(c).alias(f"_{c}") for c in products.columns if c != "identity"])
+    both = old.join(new, "identity", "full")
+    seen = F.col("_landing").isNotNull()
+    return both.select(
+        "identity",
+        *[F.when(seen, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in products.columns if c not in fields and c != "identity"],
+        *[F.when(has_value(F.col(c), kind), F.col(c)).otherwise(F.coalesce(f"_{c}", c)).alias(c) for c, kind in fields.items()],
+    )
+
+
 def merge_or_keep(existing: DataFrame, new: DataFrame) -> DataFrame:
     """``merge_batches`` if both sides have rows; else the side that has some."""
     if new.isEmpty():

@@ -577,6 +577,7 @@ def _warehouse() -> dict[str, str]:
         f"WHEN batch_date < DATE {q(end)} THEN {i}" for i, end in enumerate(PERIODS)
     ) + " ELSE 2"
     sep = ", "
+    merged = ", ".join(f"arg_max({c}, place) FILTER (WHERE {c} <> '') AS {c}" for c in MERGED)
     return {
         "dim_upsert": f"""WITH {DIM}, s AS (SELECT CAST(l_partkey * 2 AS VARCHAR) AS sku,
                 'Offer Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS title,
@@ -585,7 +586,7 @@ def _warehouse() -> dict[str, str]:
                 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC,
                     l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_returnflag DESC, l_linestatus DESC) = 1),
             n AS (SELECT s.*, (SELECT MAX(product_id) FROM dim)
-                + row_number() OVER (ORDER BY substr(md5(sku), 1, 3), sku) AS product_id
+                + row_number() OVER (ORDER BY sku) AS product_id
                 FROM s WHERE sku NOT IN (SELECT sku FROM dim))
             SELECT dim.product_id, dim.sku, {sep.join(
                 f"CASE WHEN s.sku IS NULL THEN dim.{c} ELSE s.{c} END AS {c}"
@@ -596,7 +597,7 @@ def _warehouse() -> dict[str, str]:
             SELECT product_id, sku, title, product_name, brand, device_type, {q(K.PLACEHOLDER)}, {q(LOAD)}, {q(LOAD)}
             FROM n""",
         "fact_append": f"""WITH {RAW}, {SCORED} SELECT
-            1000 + row_number() OVER (ORDER BY substr(md5(CAST(seq AS VARCHAR)), 1, 3), seq) AS snapshot_id,
+            1000 + row_number() OVER (ORDER BY seq) AS snapshot_id,
             p_partkey AS product_id, price, 'EGP' AS currency, original_price, discount AS discount_percent, rating,
             CASE WHEN {shipping(status)} THEN {q(K.PLACEHOLDER)} ELSE {status} END AS availability,
             {sweep(load_text(clean_text('seller')))} AS seller, {q(LOAD)} AS snapshot_timestamp,
@@ -636,9 +637,12 @@ def _warehouse() -> dict[str, str]:
         "dq_missing_columns": """SELECT * FROM (VALUES ('required_column', 'failure', 'seller', CAST(1 AS BIGINT)),
             ('required_column', 'failure', 'price', 1)) AS v(rule, severity, column_name, bad_rows)
             UNION ALL SELECT 'min_rows', 'failure', '*', 1000000000000 - COUNT(*) FROM lineitem""",
-        "incremental_load": f"""WITH {RAW}, {SCORED},
-            dated AS (SELECT *, CASE {periods} END AS period FROM scored),
-            {_first_by_asin('dated', ', period')}
+        "incremental_load": f"""WITH {RAW.replace('raw AS', 'landed AS', 1)},
+            dated AS (SELECT *, CASE {periods} END AS period FROM landed),
+            keyed AS (SELECT *, period * 1000000000000 + seq AS place, {_identity("period || '/' || seq")} AS identity FROM dated),
+            raw AS (SELECT 0 AS run, place AS seq, {', '.join(MERGED)} FROM keyed WHERE period = 0 UNION ALL {' UNION ALL '.join(
+                f"SELECT {n}, MIN(place), {merged} FROM keyed WHERE period <= {n} GROUP BY identity" for n in (1, 2))}),
+            {SCORED}, {_first_by_asin('scored', ', run')}
             SELECT asin AS sku, COUNT(*) AS snapshots, MIN(price) AS min_price, MAX(price) AS max_price,
             {long_sum(cents('coalesce(discount, 0)'))} / 100.0 AS discounts FROM firsts GROUP BY asin""",
     }

@@ -238,12 +238,11 @@ def warehouse_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     for writer, period in (("batch", first), ("batch", first), ("stream", ~first & second)):
         batch = clean.transform(views.full_raw(raw.where(period)))
         warehouse.load(batch, LOAD_TIME, batch_id=1, writer=writer)
-    head = warehouse.head()
-    facts_now = warehouse.fact(head).agg(
+    facts_now = warehouse.fact().agg(
         F.count(F.lit(1)).alias("snapshots"), F.countDistinct("snapshot_id").alias("ids"),
         F.sum((F.col("price") * 100).cast("long")).alias("price_cents"),
     )
-    products = warehouse.dim(head).agg(F.count(F.lit(1)).alias("n")).scalar()
+    products = warehouse.dim().agg(F.count(F.lit(1)).alias("n")).scalar()
     return facts_now.withColumn("products", products)
 
 

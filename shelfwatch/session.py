@@ -68,6 +68,16 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/shelfwatch/{purpose}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table that is read several times to the shared folder and read it back.
+
+    It is computed once and survives lost executors.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """Rows dealt to as many tasks as the caller asks for, before costly work on each row.
 

@@ -41,6 +41,12 @@ def put(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
 def get(spark: SparkSession, path: str) -> str:
     fs, where = _fs(spark, path)
     stream = fs.open(where)

@@ -1,4 +1,4 @@
-"""Incremental loading: each micro-batch of landed raw records becomes one load."""
+"""Incremental loading: each micro-batch of landed raw records is merged into all earlier ones and loaded."""
 
 from __future__ import annotations
 
@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwatch import schemas
 from shelfwatch.operators import quality
-from shelfwatch.operators.clean import transform
+from shelfwatch.operators.clean import ensure_columns, transform
 from shelfwatch.session import prepare, work_folder
 from shelfwatch.sources import store
+from shelfwatch.sources.rawstate import RawState
 from shelfwatch.sources.warehouse import Warehouse
 
 
@@ -24,18 +26,21 @@ def batch_loader(
     min_rows: int = 0,
     writer: Callable[[SparkSession], str] = lambda _: "stream",
 ) -> Callable[[DataFrame, int], None]:
-    """The work of one micro-batch.
+    """The work of one micro-batch: merge it into the raw products, transform them all, check, load.
 
-    Micro-batches are delivered at least once.  The batch id is the stream's epoch in the
-    stream's own count of batches (``writer``), so a repeated delivery replaces its own
-    facts, and no others, and upserts the same products again.
+    So a product that a landing does not have gets a snapshot with the last values that are
+    known of it.  Micro-batches are delivered at least once.  The batch id is the stream's
+    epoch in the stream's own count of batches (``writer``), so a repeated delivery merges the same
+    records again, replaces its own facts, and no others, and upserts the same products.
     """
     def load(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         kept = work_folder(spark, f"batch-{epoch}")
         at = clock(batch)
         # The clean batch feeds the check and two writes: written once, read thrice.
-        transform(shape(batch)).write.parquet(kept)
+        landed = ensure_columns(shape(batch), schemas.RAW_SCHEMA)
+        raw = RawState(spark, f"{root}/raw", landed.schema["seq"].dataType).land(landed, writer(spark), epoch)
+        transform(raw).write.parquet(kept)
         clean = spark.read.parquet(kept)
         quality.gate(quality.summarize(quality.validate(clean.drop("seq"), min_rows)))
         Warehouse(spark, root).load(clean, at, batch_id=epoch + 1, writer=writer(spark))
@@ -55,8 +60,9 @@ def run_incremental(
 ) -> StreamingQuery:
     """Load everything that has landed since the last run as one load, then stop.
 
-    However many files have landed, they are one micro-batch.  Scheduled hourly; the checkpoint makes sure one file is taken once, and a second run
-    over the same checkpoint cannot be active at the same time.
+    However many files have landed, they are one micro-batch.  Scheduled hourly; the checkpoint
+    makes sure one file is taken once, and a second run over the same checkpoint cannot be
+    active at the same time.  ``root`` holds the warehouse and, below ``raw``, the raw products.
     """
     prepare(spark)
 

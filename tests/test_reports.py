@@ -180,6 +180,6 @@ def test_pages_are_all_known(star):
         assert measures.page_dataset(name, dim, fact).count() > 0
     with pytest.raises(KeyError):
         measures.page_dataset("other", dim, fact)
-    assert measures.device_brand_matrix(dim, fact, ["x", "y"]).columns == ["brand", "x", "y"]
+    assert measures.device_brand_matrix(dim, fact, ["x", "y"]).columns == ["brand", "x", "y", "other"]
     checks = {r["check_name"]: r["bad_rows"] for r in measures.quality_checks(dim, fact, datetime(2024, 1, 21)).collect()}
     assert checks == {"duplicate_sku": 0, "missing_brand": 0, "missing_price": 0, "invalid_ratings": 0, "warehouse_freshness": 0}

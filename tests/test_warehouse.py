@@ -2,13 +2,15 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
-from shelfwatch.operators import dimension, facts
+from shelfwatch.operators import clean, dimension, facts
 from shelfwatch.plans import batch
-from shelfwatch.sources import files, store
-from shelfwatch.sources.warehouse import Warehouse
+from shelfwatch.sources import files, store, warehouse
+from shelfwatch.sources.rawstate import RawState
+from shelfwatch.sources.warehouse import BusyError, Warehouse
 from shelfwatch.streaming.hourly import run_incremental
 
 T1, T2 = datetime(2024, 1, 1, 10), datetime(2024, 1, 2, 10)
@@ -49,7 +51,12 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path):
     wh.load(stage(spark, (1, "A", "x", 1.0)), T1, batch_id=1)
     wh.load(stage(spark, (1, "B", "y", 2.0), (2, "A", "x", 3.0)), T1, batch_id=2)
     again = wh.load(stage(spark, (1, "B", "y", 2.0), (2, "A", "x", 3.0)), T2, batch_id=2)
-    assert again["facts"]["batch"]["2"].startswith("0000000003-")
+    assert again["load"] == 3 and [tuple(r) for r in wh.batches().orderBy("batch_id").collect()] == [("batch", 1, 1), ("batch", 2, 2)]
+    assert store.names(spark, f"{wh.root}/fact_product_snapshots/writer=batch/batch_id=2/*") == [f"snapshot_date={T2.date()}"]
+    # A repeat without rows leaves none.
+    wh.load(stage(spark, (1, "A", "x", 1.0)).limit(0), T2, batch_id=2)
+    assert wh.fact().count() == 1
+    wh.load(stage(spark, (1, "B", "y", 2.0), (2, "A", "x", 3.0)), T2, batch_id=2)
     assert [r[0] for r in wh.fact().orderBy("batch_id", "price").select("price").collect()] == [1, 2, 3]
     assert wh.dim().count() == 2
 
@@ -93,14 +100,96 @@ def test_unfinished_load_is_not_seen(spark, tmp_path):
     root = str(tmp_path / "wh")
     wh = Warehouse(spark, root)
     wh.load(stage(spark, (1, "A", "x", 1.0)), T1)
-    # Remains of a load that died before its commit.
-    wh.dim().write.parquet(f"{root}/dim_products/0000000002-dead")
-    wh.fact().drop("batch_id", "snapshot_date").write.parquet(f"{root}/fact_product_snapshots/0000000002-dead/batch_id=9/snapshot_date=2024-01-01")
-    assert wh.fact().count() == 1
+    # What a load that died has written aside.
+    wh.dim().write.parquet(f"{root}/dim_products/.spark-staging-dead/bucket=1")
+    wh.fact().write.parquet(f"{root}/fact_product_snapshots/.spark-staging-dead/writer=batch")
+    assert wh.fact().count() == 1 and wh.dim().count() == 1
     wh.load(stage(spark, (1, "A", "x", 2.0)), T2)
     assert wh.fact().count() == 2 and wh.head()["load"] == 2
     with pytest.raises(Exception):
-        store.put(spark, f"{root}/commits/0000000002.json", "{}")
+        store.put(spark, f"{root}/loads/0000000002.json", "{}")
+
+
+def test_load_that_died_is_repeated_or_waited_for(spark, tmp_path, monkeypatch):
+    """Between its two tables: the same batch completes it, others wait until the lease has run out."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.load(stage(spark, (1, "A", "x", 1.0)), T1)
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "_write_facts", lambda self, new: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            wh.load(stage(spark, (1, "B", "y", 2.0)), T2, batch_id=2)
+    with pytest.raises(BusyError):
+        wh.load(stage(spark, (1, "C", "z", 3.0)), T2, batch_id=3)
+    wh.load(stage(spark, (1, "B", "y", 2.0)), T2, batch_id=2)
+    assert wh.dim().count() == 2 and wh.fact().count() == 2 and wh.dim().select("product_id").distinct().count() == 2
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "_write_facts", lambda self, new: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            wh.load(stage(spark, (1, "B", "y", 2.0)), T2, batch_id=4)
+    monkeypatch.setattr(warehouse, "LEASE_SECONDS", 0)
+    wh.load(stage(spark, (1, "C", "z", 3.0)), T2, batch_id=5)
+    assert wh.dim().count() == 3 and wh.fact().select("snapshot_id").distinct().count() == wh.fact().count() == 3
+
+
+def files_of(wh):
+    return {f.rsplit("/", 2)[1]: f for f in wh._read(wh._dim, warehouse.DIM_FILES).inputFiles()}
+
+
+def test_small_load_rewrites_few_buckets(spark, tmp_path):
+    """What a load of k products writes does not grow with the dimension."""
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=40)
+    wh.load(stage(spark, *[(i, f"S{i}", f"Galaxy {i}", 1.0) for i in range(400)]), T1)
+    first = files_of(wh)
+    assert len(first) == 40
+    wh.load(stage(spark, (1, "S7", "Galaxy 7", 2.0)), T2)  # and applies the rules to the first load's products
+    assert all(r["brand"] == "Samsung" for r in wh.dim().where("sku <> 'S7'").collect())
+    before = files_of(wh)
+    for n, skus in enumerate((["S1", "S2"], ["S3"], ["new"]), 3):
+        wh.load(stage(spark, *[(i, s, "Galaxy", 3.0) for i, s in enumerate(skus)]), T2 + timedelta(days=n))
+        after = files_of(wh)
+        changed = {b for b in after if after[b] != before[b]}
+        # Its own products' buckets and those of the load before.
+        assert len(changed) <= 3, changed
+        before = after
+    plain = wh.dim().where("sku not in ('S1', 'S2', 'S3', 'S7', 'new')")
+    assert plain.count() == 396 and {r[0] for r in plain.select("updated_at").distinct().collect()} == {T2}
+    assert wh.dim().where("sku = 'S1'").first()["product_id"] in range(1, 401)
+
+
+def test_new_rules_make_all_products_due(spark, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=8)
+    wh.load(stage(spark, *[(i, f"S{i}", f"Galaxy {i}", 1.0) for i in range(60)]), T1)
+    wh.load(stage(spark, (1, "x", "x", 1.0)), T2)
+    wh.load(stage(spark, (1, "x", "x", 1.0)), T2)
+    old = files_of(wh)
+    monkeypatch.setattr(dimension, "RULES_VERSION", 2)
+    wh.load(stage(spark, (1, "x", "x", 1.0)), T2)
+    assert not set(old.values()) & set(files_of(wh).values())
+
+
+def test_plan_does_not_grow_with_loads(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    sizes = []
+    for n in range(4):
+        wh.load(stage(spark, (1, "A", "x", 1.0), (2, f"B{n}", "x", 1.0)), T1 + timedelta(days=n), writer=f"w{n % 2}")
+        plan = wh.fact().join(wh.dim(), "product_id")._jdf.queryExecution().executedPlan().toString()
+        sizes.append(plan.count("FileScan"))
+    assert sizes == [2] * 4 and wh.fact().count() == 8
+    one = wh.fact().where(F.col("snapshot_date") == T1.date())
+    assert one.count() == 2 and "PartitionFilters: [isnotnull(snapshot_date" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        wh.load(stage(spark, (1, "A", "x", 1.0)), T1, writer="a/b")
+
+
+def test_ids_read_the_stage_once(spark, tmp_path):
+    """No buckets of a fixed number; wide rows are read by one scan."""
+    stage(spark, *[(i, f"S{i % 9}", "x", 1.0) for i in range(50)]).write.parquet(str(tmp_path / "s"))
+    loaded = dimension.with_load_defaults(spark.read.parquet(str(tmp_path / "s")))
+    dim = spark.createDataFrame([(i, f"S{i}") for i in range(9)], "product_id long, sku string")
+    made = facts.append_facts(loaded, dim, T1, 1)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert sum("seller" in line for line in plan.splitlines() if "FileScan" in line) == 1 and "md5" not in plan
+    assert sorted(r[0] for r in made.select("snapshot_id").collect()) == list(range(1, 51))
 
 
 def test_empty_batch(spark, tmp_path):
@@ -249,10 +338,57 @@ def test_stream_takes_each_file_once_and_survives_a_repeat(spark, tmp_path):
     spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw).repartition(3).write.mode("append").parquet(land)
     spark.createDataFrame([(2, "B", "Dell", "8", "4", "x")], raw).write.mode("append").parquet(land)
     run()
-    # One landing is one load, however many files it has.
-    assert wh.fact().count() == 2 and wh.head()["load"] == 2
+    # One landing is one load, however many files it has; it has a snapshot of A as well.
+    assert wh.fact().count() == 3 and wh.head()["load"] == 2
     # The same epoch again, as after a crash between load and checkpoint.
     from shelfwatch.streaming.hourly import batch_loader
-    stream = next(w for w in wh.head()["facts"])
-    batch_loader(str(tmp_path / "wh"), lambda d: d, lambda _: T1, writer=lambda _: stream)(spark.createDataFrame([(1, "B", "Dell", "7", "4", "x")], raw), 1)
-    assert wh.fact().count() == 2 and wh.dim().count() == 2
+    stream = wh.batches().first()["writer"]
+    batch_loader(str(tmp_path / "wh"), lambda d: d, lambda _: T1, writer=lambda _: stream)(spark.createDataFrame([(1, "B", "Dell", "7", "4", "x"), (2, "B", "Dell", "8", "4", "x")], raw), 1)
+    assert wh.fact().count() == 3 and wh.dim().count() == 2
+
+
+def test_hourly_landings_merge_with_all_earlier_ones(spark, tmp_path):
+    """A product seen at nine and not at ten has a snapshot at ten with its last non-empty values."""
+    raw = "seq long, asin string, product_url string, title string, price string, seller string, category string"
+    land, schema = str(tmp_path / "land"), spark.createDataFrame([], raw).schema
+    hours = [T1 + timedelta(hours=h) for h in range(3)]
+    landings = [
+        [(1, "A", None, "Galaxy", "5", "Shop", "x"), (2, "B", None, "Dell", "9", None, "x"), (3, "A", None, "later", "6", None, "x"), (4, None, None, "keyless", "1", None, "x")],
+        [(1, "b", None, "", "10", "Two", "x"), (2, "C", None, "New", "3", None, "x"), (3, "C", None, None, "4", None, None)],
+        [(1, "D", None, "Last", "8", None, "x")],
+    ]
+    for at, rows in zip(hours, landings):
+        spark.createDataFrame(rows, raw).coalesce(1).write.mode("append").parquet(land)
+        run_incremental(spark, land, schema, str(tmp_path / "wh"), str(tmp_path / "ck"), clock=lambda _, at=at: at)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    shown = wh.fact().join(wh.dim(), "product_id").select("snapshot_timestamp", "sku", "price", "seller")
+    got = sorted((hours.index(r[0]), r[1], float(r[2]), r[3]) for r in shown.collect())
+    none = K.PLACEHOLDER
+    assert got == [
+        (0, "A", 5.0, "Shop"), (0, "B", 9.0, none),  # the first landing as it is: the first row of a sku
+        (1, "A", 6.0, "Shop"), (1, "C", 4.0, none), (1, "b", 10.0, "Two"),  # last non-empty values, A though not seen
+        (2, "A", 6.0, "Shop"), (2, "C", 4.0, none), (2, "D", 8.0, none), (2, "b", 10.0, "Two"),
+    ]
+    assert {r["sku"]: r["title"] for r in wh.dim().collect()} == {"A": "later", "B": "Dell", "C": "New", "D": "Last", "b": "Dell"}
+
+
+def test_landing_rewrites_its_own_buckets_and_can_be_repeated(spark, tmp_path):
+    raw = "seq long, asin string, title string, price string"
+    state = RawState(spark, str(tmp_path / "raw"), T.LongType(), buckets=30)
+
+    def land(batch, *rows):
+        return state.land(clean.ensure_columns(spark.createDataFrame(rows, raw), schemas.RAW_SCHEMA), "s", batch)
+
+    def files():
+        return set(state.products().inputFiles())
+
+    assert land(0, *[(i, f"P{i}", "t", "1") for i in range(200)]).count() == 200
+    before = files()
+    land(1, (1, "P3", "new", None), (2, None, "keyless", "2"))
+    after = files()
+    assert len(before - after) <= 2 and state.products().count() == 201
+    once = sorted(map(str, state.products().collect()))
+    assert land(1, (1, "P3", "new", None), (2, None, "keyless", "2")).count() == 201
+    assert sorted(map(str, state.products().collect())) == once
+    assert state.products().where("identity = 'asin:P3'").first()["price"] == "1"
+    assert land(2).count() == 201 and sorted(map(str, state.products().collect())) == once
