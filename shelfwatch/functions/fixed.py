@@ -170,3 +170,12 @@ SELLER_NOISE = (
     r"(?i)\s+fulfilled\s+by\s+amazon.*$",
     r"(?i)\s+returns?.*$",
 )
+
+# Page code in a link, stock texts on a page, names of the seller in script data.
+PAGE_CODE = r"/(?:dp|product)/([A-Z0-9]{10})"
+STOCK_PATTERNS = (
+    r"(?i)(Only \d+ left in stock[^.]*\.)",
+    r"(?i)(In Stock)",
+    r"(?i)(Currently unavailable\.[^.]*\.)",
+)
+SELLER_KEYS = ("sellerName", "merchantName", "sellerDisplayName", "soldBy")

@@ -3,12 +3,17 @@
 A small per-page helper: it reads HTML with the standard parser and reports the
 elements that carry a mark.  What the marks mean, and every rule on top of them, is
 expressed in Spark (see ``pages``).
+
+The page's text comes back once, as pieces in page order; an element is the interval of the
+pieces in it.  So elements in elements repeat no text, and all work is linear in the page but
+for a binary search here and there.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -56,6 +61,7 @@ class _Reader(HTMLParser):
         self.elements = [Element("", {}, -1, 0)]
         self.texts: list[tuple[str, int]] = []
         self._open = [0]
+        self._tags: Counter[str] = Counter()  # of the open elements
         self._pending: list[str] = []
 
     def _flush(self) -> None:
@@ -70,6 +76,7 @@ class _Reader(HTMLParser):
         self.elements.append(Element(tag, values, parent, len(self.texts)))
         self.elements[parent].children.append(number)
         self._open.append(number)
+        self._tags[tag] += 1
         if tag in VOID:
             self._close_one()
 
@@ -80,7 +87,7 @@ class _Reader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(self.elements[n].tag == tag for n in self._open[1:]):
+        if self._tags[tag]:
             while self.elements[self._open[-1]].tag != tag:
                 self._close_one()
             self._close_one()
@@ -88,6 +95,7 @@ class _Reader(HTMLParser):
     def _close_one(self) -> None:
         self._flush()
         element = self.elements[self._open.pop()]
+        self._tags[element.tag] -= 1
         element.last, element.end_text = len(self.elements) - 1, len(self.texts)
 
     def handle_data(self, data):
@@ -146,6 +154,58 @@ def _candidates(index: dict, element: Element):
                 yield from index.get(("class", part), ())
 
 
+# A run that the price rule takes for a number: it needs a digit, and only the first run counts.
+_RUN = re.compile(r"[\d,.]+")
+_DIGIT = re.compile(r"\d")
+
+
+def _first_runs(pieces: list[str]) -> list[bool | None]:
+    """From every piece on: whether the first run is a number; None if there is none to the end."""
+    found: list[tuple[int, bool | None]] = [(len(pieces), None)]
+    for i in range(len(pieces) - 1, -1, -1):
+        run = _RUN.search(pieces[i])
+        found.append((i, bool(_DIGIT.search(run.group()))) if run else found[-1])
+    return found[::-1]
+
+
+def _labelled(elements, texts, spans, pieces, label: re.Pattern, label_marks: tuple[Mark, ...]) -> list[tuple]:
+    """(elements that hold the label texts, from, to) for each container of label texts with a price.
+
+    The interval is the first one with a price: of the marked elements in the container, of the
+    container itself, of the three elements after it.
+    """
+    holders: list[int] = []
+    boxes: dict[int, list[int]] = {}
+    for text, holder in texts:
+        if label.search(text):
+            if not holders:
+                for n, e in enumerate(elements):
+                    holders.append(n if e.tag in LABEL_HOLDERS else holders[e.parent] if n else 0)
+            if holders[holder]:
+                boxes.setdefault(holders[holder], []).append(holder)
+    if not boxes:
+        return []
+    runs = _first_runs(pieces)
+
+    def priced(n: int) -> bool:
+        at, number = runs[spans[n][0]]
+        return bool(number) and at < spans[n][1]
+
+    inner = [
+        n for n, e in enumerate(elements) if n and priced(n) and any(_fits(e, m, False, frozenset()) for m in label_marks)
+    ]
+    found = []
+    for at, own in boxes.items():
+        box = elements[at]
+        place = bisect_right(inner, at)
+        beside = elements[box.parent].children
+        first = bisect_right(beside, at)
+        tried = [*(n for n in inner[place : place + 1] if n <= box.last), *(n for n in (at, *beside[first : first + 3]) if priced(n))]
+        if tried:
+            found.append((list(dict.fromkeys(own)), *spans[tried[0]]))
+    return found
+
+
 def outline(
     html: str,
     index: dict,
@@ -153,8 +213,11 @@ def outline(
     label: re.Pattern | None = None,
     label_marks: tuple[Mark, ...] = (),
 ) -> dict:
-    """Marked elements, visible text, script text and texts near labels of a page.
+    """A page's visible text, marked elements, script text and prices near labels.
 
+    ``pieces``: the visible text, piece by piece, white space squeezed, none empty; ``raws``:
+    the same with its white space.  ``marks``: for each mark its elements in page order: place
+    (pre), last element inside, parent, the intervals of pieces and of raws, kept attributes.
     ``index`` is what ``index_marks`` made of the wanted marks.
     """
     reader = _Reader()
@@ -162,63 +225,45 @@ def outline(
     reader.finish()
     elements, texts = reader.elements, reader.texts
 
-    def pieces(e: Element) -> list[str]:
-        own = e.tag in HIDDEN
-        return [
-            t for t, holder in texts[e.first_text:e.end_text]
-            if own or elements[holder].tag not in HIDDEN
-        ]
-
-    def joined(e: Element) -> str:
-        return " ".join(" ".join(pieces(e)).split())
+    pieces: list[str] = []
+    raws: list[str] = []
+    before, raw_before = [0], [0]  # pieces ahead of every text
+    for text, holder in texts:
+        if elements[holder].tag not in HIDDEN:
+            raws.append(text)
+            if not text.isspace():
+                pieces.append(" ".join(text.split()))
+        before.append(len(pieces))
+        raw_before.append(len(raws))
+    spans = [(before[e.first_text], before[e.end_text]) for e in elements]
+    shown = len(pieces)
 
     above: list[frozenset[str]] = [frozenset()]
-    nodes = []
+    marks: dict[str, list[tuple]] = {}
     for number, e in enumerate(elements[1:], start=1):
         inherited = above[e.parent]
         is_last = elements[e.parent].children[-1] == number
-        own = list(dict.fromkeys(
+        own = dict.fromkeys(
             name for name, way in _candidates(index, e) if _fits(e, way, is_last, inherited)
-        ))
+        )
         above.append(inherited | frozenset(own) if own else inherited)
         if own:
-            nodes.append(
-                {
-                    "pre": number, "last": e.last, "up": e.parent, "marks": own,
-                    "attrs": [(a, e.attrs[a]) for a in keep_attrs if a in e.attrs],
-                    "text": joined(e), "raw": "".join(pieces(e)).strip(),
-                }
-            )
-
-    # One entry for each container of label texts, whatever their number: its texts once.
-    boxes: dict[int, list[int]] = {}
-    if label is not None:
-        for text, holder in texts:
-            if not label.search(text):
-                continue
-            at = holder
-            while at > 0 and elements[at].tag not in LABEL_HOLDERS:
-                at = elements[at].parent
-            if at > 0:
-                boxes.setdefault(at, []).append(holder)
-    labels = []
-    for at, holders in boxes.items():
-        box = elements[at]
-        inside = [
-            joined(elements[n]) for n in range(at + 1, box.last + 1)
-            if any(_fits(elements[n], m, False, frozenset()) for m in label_marks)
-        ]
-        beside = elements[box.parent].children
-        first = bisect_right(beside, at)
-        following = [joined(elements[n]) for n in beside[first : first + 3]]
-        labels.append({"pres": list(dict.fromkeys(holders)), "texts": [*inside, joined(box), *following]})
-
+            span, raw = spans[number], (raw_before[e.first_text], raw_before[e.end_text])
+            if e.tag in HIDDEN:
+                # Its own text is no part of the page's: it stands behind it.
+                hidden = [t for t, _ in texts[e.first_text:e.end_text]]
+                span, raw = (len(pieces), len(pieces) + 1), (len(raws), len(raws) + 1)
+                pieces.append(" ".join(" ".join(hidden).split()))
+                raws.append("".join(hidden))
+            node = (number, e.last, e.parent, *span, *raw, [(a, e.attrs[a]) for a in keep_attrs if a in e.attrs])
+            for name in own:
+                marks.setdefault(name, []).append(node)
+
+    labels = _labelled(elements, texts, spans, pieces[:shown], label, label_marks) if label is not None else []
     scripts = [
         "".join(t for t, _ in texts[e.first_text:e.end_text]) for e in elements if e.tag == "script"
     ]
     return {
-        "nodes": nodes,
-        "labels": labels,
-        "page_text": joined(elements[0]),
+        "pieces": pieces, "raws": raws, "shown": shown, "marks": list(marks.items()), "labels": labels,
         "scripts": "\n".join(scripts),
     }

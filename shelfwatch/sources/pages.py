@@ -8,7 +8,7 @@ whole extraction is one narrow stage: no shuffle, one output row per page or car
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,30 +17,27 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions.numbers import clean_price, discount_percent
-from shelfwatch.functions.text import let, page_availability, squeeze
+from shelfwatch.functions.text import let, page_availability, squeeze, strip
 from shelfwatch.functions.urls import normalize_url
 from shelfwatch.session import dealt
 from shelfwatch.sources.outline import Mark, index_marks, outline
 
-_NODE = (
-    "struct<pre:int,last:int,up:int,marks:array<string>,attrs:map<string,string>,"
-    "text:string,raw:string>"
-)
+# An element: place, last element inside, parent, from and to of its pieces and of its raw pieces.
+_NODE = "struct<pre:int,last:int,up:int,a:int,b:int,raw_a:int,raw_b:int,attrs:map<string,string>>"
 OUTLINE_SCHEMA = (
-    "page_id long, url string, category string, "
-    f"nodes array<{_NODE}>, labels array<struct<pres:array<int>,texts:array<string>>>, "
-    "page_text string, scripts string"
+    "page_id long, url string, category string, pieces array<string>, raws array<string>, shown int, "
+    f"marks map<string,array<{_NODE}>>, labels array<struct<pres:array<int>,a:int,b:int>>, scripts string"
 )
 _ARROW = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("category", pa.string()),
-        ("nodes", pa.list_(pa.struct([
-            ("pre", pa.int32()), ("last", pa.int32()), ("up", pa.int32()),
-            ("marks", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())),
-            ("text", pa.string()), ("raw", pa.string()),
-        ]))),
-        ("labels", pa.list_(pa.struct([("pres", pa.list_(pa.int32())), ("texts", pa.list_(pa.string()))]))),
-        ("page_text", pa.string()), ("scripts", pa.string()),
+        ("pieces", pa.list_(pa.string())), ("raws", pa.list_(pa.string())), ("shown", pa.int32()),
+        ("marks", pa.map_(pa.string(), pa.list_(pa.struct([
+            *((name, pa.int32()) for name in ("pre", "last", "up", "a", "b", "raw_a", "raw_b")),
+            ("attrs", pa.map_(pa.string(), pa.string())),
+        ])))),
+        ("labels", pa.list_(pa.struct([("pres", pa.list_(pa.int32())), ("a", pa.int32()), ("b", pa.int32())]))),
+        ("scripts", pa.string()),
     ]
 )
 # Pages per output batch; keeps a task's memory to a few pages whatever their size.
@@ -179,14 +176,6 @@ LABEL_MARKS = (
     Mark(attrs=_ARIA), Mark(classes=("a-offscreen",)), Mark(classes=("a-price",)), Mark(tags=("span",)),
 )
 ATTRIBUTES = ("data-asin", "value", "href", "src")
-PAGE_CODE = r"/(?:dp|product)/([A-Z0-9]{10})"
-STOCK_PATTERNS = (
-    r"(?i)(Only \d+ left in stock[^.]*\.)",
-    r"(?i)(In Stock)",
-    r"(?i)(Currently unavailable\.[^.]*\.)",
-)
-SELLER_KEYS = ("sellerName", "merchantName", "sellerDisplayName", "soldBy")
-
 # Plain article pages: heading, links, paragraphs, advertisement.
 ARTICLE_MARKS = {
     "title": (Mark(tags=("title",)),),
@@ -213,8 +202,8 @@ def is_blocked(html: Column) -> Column:
     return found
 
 
-def outlines(pages: DataFrame, marks: dict, label: str | None = None) -> DataFrame:
-    """Marked elements per page; see ``OUTLINE_SCHEMA``."""
+def outlines(pages: DataFrame, marks: dict, label: str | None = None, raw: bool = False) -> DataFrame:
+    """Marked elements per page; see ``OUTLINE_SCHEMA``.  ``raw``: with the pieces' white space."""
     if "category" not in pages.columns:
         pages = pages.withColumn("category", F.lit(None).cast("string"))
     pattern = re.compile(label, re.I) if label else None
@@ -228,43 +217,72 @@ def outlines(pages: DataFrame, marks: dict, label: str | None = None) -> DataFra
                     outline(html, index, ATTRIBUTES, pattern, LABEL_MARKS)
                     for html in part.column("html").to_pylist()
                 ]
-                columns = {c: part.column(c).to_pylist() for c in ("page_id", "url", "category")}
-                for name in ("nodes", "labels", "page_text", "scripts"):
-                    columns[name] = [f[name] for f in found]
+                columns = {c: part.column(c) for c in ("page_id", "url", "category")}
+                for field in list(_ARROW)[3:]:
+                    values = [f[field.name] if raw or field.name != "raws" else [] for f in found]
+                    columns[field.name] = pa.array(values, field.type)
                 yield pa.RecordBatch.from_pydict(columns, schema=_ARROW)
 
     wanted = dealt(pages.select("page_id", "url", "category", "html"))
     return wanted.mapInArrow(read, OUTLINE_SCHEMA)
 
 
-# --- expressions over the nodes array, as SQL text -----------------------------
-# ``nodes`` names a column (or is SQL text for one); marks are fixed names from above.
-def _has(mark: str, node: str = "n") -> str:
-    return f"array_contains({node}.marks, '{mark}')"
+# --- expressions over a page's elements -----------------------------------------
+# ``marks`` has the elements of each mark, ``pieces`` and ``raws`` the page's text.  A mark's
+# elements are found by the mark's name: no lookup reads those of others.
+def _all(mark: str) -> Column:
+    return F.coalesce(F.col("marks")[mark], F.array())
+
+
+def _get(values: Column) -> Column:
+    return F.get(values, F.lit(0))
+
+
+def _node(mark: str, test: Callable[[Column], Column] | None = None) -> Column:
+    """The first element of a mark (that passes); null if there is none."""
+    return _get(F.filter(_all(mark), test) if test else F.col("marks")[mark])
+
+
+def _below(outer: Column) -> Callable[[Column], Column]:
+    return lambda n: (n["pre"] > outer["pre"]) & (n["pre"] <= outer["last"])
+
+
+def _text(node: Column) -> Column:
+    """An element's text, white space squeezed; null if there is no element."""
+    return F.array_join(F.slice("pieces", node["a"] + 1, node["b"] - node["a"]), " ")
+
 
+def _raw(node: Column) -> Column:
+    """An element's text as it stands, but for its edges."""
+    return strip(F.array_join(F.slice("raws", node["raw_a"] + 1, node["raw_b"] - node["raw_a"]), ""))
 
-def _where(nodes: str, test: str) -> str:
-    return f"filter({nodes}, n -> {test})"
 
+def _price(node: Column) -> Column:
+    return clean_price(_text(node))
 
-def _inside(nodes: str, outer: str) -> str:
-    """Nodes below ``outer``."""
-    return _where(nodes, f"n.pre > {outer}.pre AND n.pre <= {outer}.last")
 
+def _first(
+    marks: tuple[str, ...], value: Callable[[Column], Column], keep: Callable[[Column], Column],
+    test: Callable[[Column], Column] | None = None,
+) -> Column:
+    """The first value to keep, of the first mark that has one, among elements that pass."""
+    found = []
+    for mark in marks:
+        nodes = F.filter(_all(mark), test) if test else _all(mark)
+        found.append(_get(F.filter(F.transform(nodes, value), keep)))
+    return F.coalesce(*found)
 
-def _node(nodes: str, mark: str) -> str:
-    return f"get({_where(nodes, _has(mark))}, 0)"
 
+def _some(value: Column) -> Column:
+    return value != ""
 
-def _first(nodes: str, marks: tuple[str, ...], part: str, test: str) -> str:
-    """``part`` of the first node passing ``test``, of the first mark that has one."""
-    return "coalesce(" + ", ".join(
-        f"get({_where(nodes, f'{_has(m)} AND {test}')}, 0).{part}" for m in marks
-    ) + ", NULL)"
 
+def _first_text(*marks: str, test: Callable[[Column], Column] | None = None) -> Column:
+    return _first(marks, _text, _some, test)
 
-def _first_text(nodes: str, *marks: str) -> str:
-    return _first(nodes, marks, "text", "n.text <> ''")
+
+def _first_price(marks: tuple[str, ...], test: Callable[[Column], Column] | None = None) -> Column:
+    return _first(marks, _price, F.isnotnull, test)
 
 
 def _numbered(stem: str, last: int) -> tuple[str, ...]:
@@ -285,52 +303,26 @@ def clean_seller(col: Column) -> Column:
     )
 
 
-# Marks whose text may name the seller.
-_SELLER_MARKS = (
-    "seller 1", "seller 2", "seller 3", "seller 4", "merchant info", "shown 2", "shown 4", "shown 5",
-    "shown 6", "shown 7", "merchant box", "merchant feature", "merchant desktop", "tabular row",
-    "tabular link", "tabular value",
-)
-
-
-def read_values(nodes: Column, labels: Column) -> tuple[Column, Column]:
-    """Nodes and labels with the price, and nodes with the seller, their text gives."""
-    parts = ("pre", "last", "up", "marks", "attrs", "text", "raw")
-    names_seller = F.array(*[F.lit(m) for m in _SELLER_MARKS])
-    return (
-        F.transform(nodes, lambda n: F.struct(
-            *[n[p].alias(p) for p in parts],
-            clean_price(n["text"]).alias("price"),
-            F.when(F.arrays_overlap(n["marks"], names_seller), clean_seller(n["text"])).alias("seller"),
-        )),
-        F.transform(labels, lambda l: F.struct(
-            l["pres"].alias("pres"), F.transform(l["texts"], clean_price).alias("prices")
-        )),
-    )
-
-
-def spec_map(nodes: str = "nodes") -> Column:
+def spec_map() -> Column:
     """Spec table rows and "key: value" bullets; a later key replaces an earlier one."""
-    cells = _where(nodes, _has("spec cell"))
-    key = "get(own, 0)"
-    value = "get(filter(own, c -> c.up = get(own, 0).up AND c.pre > get(own, 0).last), 0)"
-    rows = (
-        f"transform(transform({_where(nodes, _has('spec row'))}, r -> {_inside(cells, 'r')}),"
-        f" own -> struct({key}.text AS key, {value}.text AS value))"
-    )
-    bullets = f"transform({_where(nodes, _has('spec bullet'))}, n -> n.text)"
+    def row_pair(row: Column) -> Column:
+        cells = F.filter(_all("spec cell"), _below(row))
+        key = _get(cells)
+        value = _get(F.filter(cells, lambda c: (c["up"] == key["up"]) & (c["pre"] > key["last"])))
+        return F.struct(_text(key).alias("key"), _text(value).alias("value"))
 
     def side(s: Column) -> Column:
         return squeeze(F.replace(s, F.lit("\u200e"), F.lit("")))
 
-    def bullet_pair(text: Column) -> Column:
+    def bullet_pair(node: Column) -> Column:
+        text = _text(node)
         colon = F.instr(text, ":")
         return F.struct(
             F.when(colon > 0, side(F.substring_index(text, ":", 1))).alias("key"),
             F.when(colon > 0, side(F.substr(text, colon + 1))).alias("value"),
         )
 
-    pairs = F.concat(F.expr(rows), F.transform(F.expr(bullets), bullet_pair))
+    pairs = F.concat(F.transform(_all("spec row"), row_pair), F.transform(_all("spec bullet"), bullet_pair))
     return F.map_from_entries(F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != "")))
 
 
@@ -363,56 +355,70 @@ def get_spec(entries: str, labels: tuple[str, ...]) -> Column:
     return F.expr(f"coalesce({', '.join(picks)}, '')")
 
 
-def page_code(nodes: str = "nodes") -> Column:
+def page_code() -> Column:
     """Product code of a page from its inputs, attributes or canonical link."""
     def of(mark: str) -> Column:
-        attrs = F.expr(_node(nodes, mark))["attrs"]
+        attrs = _node(mark)["attrs"]
         code = F.coalesce(F.nullif(attrs["value"], F.lit("")), attrs["data-asin"])
         return F.nullif(squeeze(code), F.lit(""))
 
-    href = F.expr(_node(nodes, "canonical"))["attrs"]["href"]
+    href = _node("canonical")["attrs"]["href"]
     return F.coalesce(
-        *[of(f"code {i}") for i in range(1, 5)], F.regexp_extract(href, PAGE_CODE, 1), F.lit("")
+        *[of(f"code {i}") for i in range(1, 5)], F.regexp_extract(href, K.PAGE_CODE, 1), F.lit("")
     )
 
 
-def _offer_price(nodes: str, code: str) -> str:
+def _offer_price(code: Column) -> Column:
     """First price in or below a link to the page's other offers."""
-    def among(path: str) -> str:
-        links = _where(nodes, f"{_has('offer link')} AND contains(n.attrs['href'], concat('{path}', {code}))")
-        below = f"get({_where(nodes, f'{_has("offer price")} AND n.price IS NOT NULL AND n.pre > a.pre AND n.pre <= a.last')}, 0).price"
-        prices = f"transform({links}, a -> coalesce({below}, a.price))"
-        return f"get(filter({prices}, p -> p IS NOT NULL), 0)"
+    def among(path: str) -> Column:
+        links = F.filter(_all("offer link"), lambda n: F.contains(n["attrs"]["href"], F.concat(F.lit(path), code)))
+        prices = F.transform(links, lambda a: F.coalesce(_first_price(("offer price",), _below(a)), _price(a)))
+        return _get(F.filter(prices, F.isnotnull))
 
-    return f"CASE WHEN {code} <> '' THEN coalesce({among('/offer-listing/')}, {among('offer-listing/')}) END"
+    return F.when(code != "", F.coalesce(among("/offer-listing/"), among("offer-listing/")))
 
 
-def _labelled_price(labels: str) -> str:
-    return f"get(filter(flatten(transform({labels}, l -> l.prices)), p -> p IS NOT NULL), 0)"
+def _labelled_price(scope: Column | None = None) -> Column:
+    """The price near the first label that has one: on the page, or inside ``scope`` by the labels' places there."""
+    labels = F.col("labels")
+    if scope is not None:
+        inside = F.transform(labels, lambda l: F.struct(
+            F.array_min(F.filter(l["pres"], lambda p: (p >= scope["pre"]) & (p <= scope["last"]))).alias("pre"),
+            l["a"].alias("a"), l["b"].alias("b"),
+        ))
+        labels = F.array_sort(F.filter(inside, lambda l: l["pre"].isNotNull()))
+    return _get(F.filter(F.transform(labels, _price), F.isnotnull))
 
 
-def _seller(nodes: str = "nodes") -> Column:
+def _seller() -> Column:
     """Seller from the buy box, the offer display, the tabular box or script data."""
+    def seller(node: Column) -> Column:
+        return clean_seller(_text(node))
+
     # The first element with any text decides, even if cleaning leaves nothing of it.
-    plain = _first(nodes, (*_numbered("seller", 4), "merchant info"), "seller", "n.text <> ''")
-    shown = _first(
-        nodes, ("seller 2", "shown 2", "seller 3", "shown 4", "shown 5", "shown 6", "shown 7"),
-        "seller", "n.seller <> ''",
-    )
-    # r-strings: the SQL literal below is read raw as well.
-    boxed_test = (
-        "arrays_overlap(n.marks, array('merchant box', 'merchant feature', 'merchant desktop'))"
-        r" AND n.text rlike r'(?i)shipper\s*/\s*seller|seller' AND n.seller <> ''"
-    )
-    boxed = f"get({_where(nodes, boxed_test)}, 0).seller"
-    own = _inside(nodes, "r")
-    by_row = (
-        f"transform({_where(nodes, _has('tabular row') + ' AND n.text rlike r' + chr(39) + '(?i)sold by|seller' + chr(39))},"
-        f" r -> coalesce(nullif({_node(own, 'tabular link')}.seller, ''),"
-        f" nullif({_node(own, 'tabular value')}.seller, ''),"
-        r" CASE WHEN r.seller <> '' AND NOT r.seller rlike r'(?i)^(sold by|seller)\z' THEN r.seller END))"
-    )
-    tabular = f"get(filter({by_row}, s -> s IS NOT NULL), 0)"
+    plain = clean_seller(_first_text(*_numbered("seller", 4), "merchant info"))
+    shown = _first(("seller 2", "shown 2", "seller 3", "shown 4", "shown 5", "shown 6", "shown 7"), seller, _some)
+    boxes = F.array_sort(F.concat(*[
+        F.transform(_all(m), lambda n: F.struct(n["pre"].alias("pre"), n["a"].alias("a"), n["b"].alias("b")))
+        for m in ("merchant box", "merchant feature", "merchant desktop")
+    ]))
+    boxed = _get(F.filter(
+        F.transform(F.filter(boxes, lambda n: _text(n).rlike(r"(?i)shipper\s*/\s*seller|seller")), seller), _some
+    ))
+
+    def of_row(row: Column) -> Column:
+        def inside(mark: str) -> Column:
+            return F.nullif(seller(_node(mark, _below(row))), F.lit(""))
+
+        own = seller(row)
+        return F.coalesce(
+            F.when(_node("tabular link", _below(row)).isNotNull(), inside("tabular link")),
+            F.when(_node("tabular value", _below(row)).isNotNull(), inside("tabular value")),
+            F.when((own != "") & ~own.rlike(r"(?i)^(sold by|seller)\z"), own),
+        )
+
+    rows = F.filter(_all("tabular row"), lambda r: _text(r).rlike("(?i)sold by|seller"))
+    tabular = _get(F.filter(F.transform(rows, of_row), F.isnotnull))
 
     def of_key(key: str) -> Column:
         raw = F.nullif(F.regexp_extract("scripts", rf'"{key}"\s*:\s*"([^"]+)"', 1), F.lit(""))
@@ -420,109 +426,85 @@ def _seller(nodes: str = "nodes") -> Column:
         return F.coalesce(F.get(read, F.lit(0)), raw)
 
     scripted = F.filter(
-        F.transform(F.array(*[of_key(k) for k in SELLER_KEYS]), clean_seller), lambda s: s != ""
-    )
-    return F.coalesce(
-        F.expr(f"nullif({plain}, '')"), F.expr(shown), F.expr(boxed), F.expr(tabular),
-        F.get(scripted, F.lit(0)), F.lit(""),
+        F.transform(F.array(*[of_key(k) for k in K.SELLER_KEYS]), clean_seller), lambda s: s != ""
     )
+    return F.coalesce(F.nullif(plain, F.lit("")), shown, boxed, tabular, _get(scripted), F.lit(""))
 
 
 def extract_listings(pages: DataFrame) -> DataFrame:
     """Search result cards to raw records; cards without a code are skipped.
 
-    ``position`` is the card's place on its page.
+    ``position`` is the card's place on its page.  Records are made before cards become
+    rows, so that no row carries a page.
     """
-    cards = (
-        outlines(drop_blocked(pages), LISTING_MARKS)
-        .select("page_id", "category", "nodes", F.expr(f"posexplode({_where('nodes', _has('card'))}) AS (position, card)"))
-        .where("coalesce(card.attrs['data-asin'], '') <> ''")
-        .select("page_id", "category", "position", "card", F.expr(_inside("nodes", "card")).alias("nodes"))
-    )
-    in_parts = (
-        f"concat({_node('nodes', 'price whole')}.raw,"
-        f" coalesce(concat('.', {_node('nodes', 'price fraction')}.raw), ''))"
-    )
-    priced = cards.withColumns(
-        {
-            "price": F.expr(
-                f"coalesce(nullif({_node('nodes', 'price')}.text, ''), nullif({in_parts}, ''), '')"
-            ),
-            "heading": F.expr(_node("nodes", "title")),
-            "image": F.expr(_node("nodes", "image")),
-        }
-    )
-    in_heading = _node(_inside("nodes", "heading"), "title span")
-    strike = _first("nodes", ("strike price",), "text", "n.text <> '' AND n.text <> price")
-    badges = f"transform({_where('nodes', _has('badge') + ' AND n.text <> ' + chr(39) * 2)}, n -> n.text)"
-    return priced.select(
-        "page_id",
-        F.col("position").cast("long").alias("position"),
-        F.expr("card.attrs['data-asin']").alias("asin"),
-        F.coalesce(F.expr(f"{in_heading}.raw"), F.col("heading.raw"), F.lit(K.NO_TITLE)).alias("title"),
-        F.when(F.col("price") == "", F.lit(K.NO_PRICE)).otherwise(F.col("price")).alias("price"),
-        F.coalesce(F.expr(strike), F.lit("")).alias("original_price"),
-        F.coalesce(F.expr(f"{_node('nodes', 'rating')}.raw"), F.lit(K.NO_RATING)).alias("rating"),
-        F.expr("CASE WHEN image IS NULL THEN '' ELSE image.attrs['src'] END").alias("image_url"),
-        normalize_url(F.expr(f"{_node('nodes', 'link')}.attrs['href']")).alias("product_url"),
-        "category",
-        F.col("category").alias("source_search_term"),
-        F.expr(badges).alias("listing_badges"),
+    def record(card: Column, position: Column) -> Column:
+        inside = _below(card)
+        heading, image = _node("title", inside), _node("image", inside)
+        in_parts = F.concat(
+            _raw(_node("price whole", inside)),
+            F.coalesce(F.concat(F.lit("."), _raw(_node("price fraction", inside))), F.lit("")),
+        )
+        shown = F.coalesce(
+            F.nullif(_text(_node("price", inside)), F.lit("")), F.nullif(in_parts, F.lit("")), F.lit("")
+        )
+        return let(shown, lambda price: F.struct(
+            position.cast("long").alias("position"),
+            card["attrs"]["data-asin"].alias("asin"),
+            F.coalesce(_raw(_node("title span", _below(heading))), _raw(heading), F.lit(K.NO_TITLE)).alias("title"),
+            F.when(price == "", F.lit(K.NO_PRICE)).otherwise(price).alias("price"),
+            F.coalesce(
+                _first(("strike price",), _text, lambda t: (t != "") & (t != price), inside), F.lit("")
+            ).alias("original_price"),
+            F.coalesce(_raw(_node("rating", inside)), F.lit(K.NO_RATING)).alias("rating"),
+            F.when(image.isNull(), F.lit("")).otherwise(image["attrs"]["src"]).alias("image_url"),
+            normalize_url(_node("link", inside)["attrs"]["href"]).alias("product_url"),
+            F.filter(F.transform(F.filter(_all("badge"), inside), _text), _some).alias("listing_badges"),
+        ))
+
+    records = F.filter(F.transform(_all("card"), record), lambda r: F.coalesce(r["asin"], F.lit("")) != "")
+    return (
+        outlines(drop_blocked(pages), LISTING_MARKS, raw=True)
+        .select("page_id", "category", F.explode(records).alias("r"))
+        .select(
+            "page_id", *[f"r.{c}" for c in ("position", "asin", "title", "price", "original_price", "rating", "image_url", "product_url")],
+            "category", F.col("category").alias("source_search_term"), "r.listing_badges",
+        )
     )
 
 
 def extract_details(pages: DataFrame) -> DataFrame:
     """Product pages to detail records, one row per page, with the page's code."""
-    nodes, labels = read_values(F.col("nodes"), F.col("labels"))
-    scope = _node("nodes", "price scope")
     read = (
         outlines(drop_blocked(pages), DETAIL_MARKS, PRICE_LABEL)
-        .withColumns({"nodes": nodes, "labels": labels})
-        .withColumns(
-            {
-                "scope": F.expr(scope), "page_code": page_code(), "product_specs": spec_map(),
-            }
-        )
-        .withColumns(
-            {
-                "near": F.expr(f"CASE WHEN scope IS NULL THEN nodes ELSE {_inside('nodes', 'scope')} END"),
-                # Of the containers with a label in scope, in the order of those labels.
-                "near_labels": F.expr(
-                    "CASE WHEN scope IS NULL THEN transform(labels, l -> struct(0 AS pre, l.prices AS prices))"
-                    " ELSE array_sort(filter(transform(labels, l -> struct("
-                    "array_min(filter(l.pres, p -> p >= scope.pre AND p <= scope.last)) AS pre, l.prices AS prices)),"
-                    " l -> l.pre IS NOT NULL), (x, y) -> x.pre - y.pre) END"
-                ),
-                "entries": spec_entries(F.col("product_specs")),
-            }
-        )
+        .withColumns({"scope": _node("price scope"), "page_code": page_code(), "product_specs": spec_map()})
+        .withColumn("entries", spec_entries(F.col("product_specs")))
     )
-    there = "n.price IS NOT NULL"
-    price = f"coalesce({_first('near', _numbered('to pay', 5), 'price', there)}, {_offer_price('nodes', 'page_code')})"
-    original = (
-        f"coalesce({_first('near', _numbered('strike', 9), 'price', there)},"
-        f" {_labelled_price('near_labels')}, {_labelled_price('labels')})"
+    scope = F.col("scope")
+
+    def near(n: Column) -> Column:
+        return scope.isNull() | _below(scope)(n)
+
+    price = F.coalesce(_first_price(_numbered("to pay", 5), near), _offer_price(F.col("page_code")))
+    original = F.coalesce(
+        _first_price(_numbered("strike", 9), near),
+        F.when(scope.isNotNull(), _labelled_price(scope)), _labelled_price(),
     )
-    savings = f"coalesce({_first_text('near', 'savings 1', 'savings 2')}, {_first_text('nodes', 'savings 1')})"
+    savings = F.coalesce(_first_text("savings 1", "savings 2", test=near), _first_text("savings 1"))
     percent = F.replace(
-        F.regexp_extract(F.expr(savings), r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")
+        F.regexp_extract(savings, r"(\d+(?:[.,]\d+)?)\s*%", 1), F.lit(","), F.lit(".")
     ).try_cast("double")
-    priced = read.withColumns(
-        {"_price": F.expr(price), "_original": F.expr(original), "_percent": percent}
-    )
+    priced = read.withColumns({"_price": price, "_original": original, "_percent": percent})
+    page_text = F.array_join(F.slice("pieces", F.lit(1), F.col("shown")), " ")
     stock = F.coalesce(
-        F.expr(_first_text("nodes", *_numbered("stock", 5))),
-        *[F.nullif(F.regexp_extract("page_text", p, 1), F.lit("")) for p in STOCK_PATTERNS],
+        _first_text(*_numbered("stock", 5)),
+        *[F.nullif(F.regexp_extract(page_text, p, 1), F.lit("")) for p in K.STOCK_PATTERNS],
     )
     brand_line = F.replace(
-        F.regexp_replace(
-            F.expr(f"{_node('nodes', 'byline')}.text"), r"(?i)^(visit the|brand:|store:)\s+", ""
-        ),
+        F.regexp_replace(_text(_node("byline")), r"(?i)^(visit the|brand:|store:)\s+", ""),
         F.lit(" Store"), F.lit(""),
     )
     looked_up = {name: get_spec("entries", found) for name, found in K.SPEC_LABELS.items()}
     looked_up["brand"] = F.coalesce(F.nullif(looked_up["brand"], F.lit("")), brand_line, F.lit(""))
-    bullets = f"transform({_where('nodes', _has('feature') + ' AND n.text <> ' + chr(39) * 2)}, n -> n.text)"
     columns = {
         **looked_up,
         "availability": F.coalesce(page_availability(stock), F.lit("")),
@@ -532,8 +514,8 @@ def extract_details(pages: DataFrame) -> DataFrame:
         "discount_percent": F.coalesce(
             F.col("_percent"), discount_percent(F.col("_price"), F.col("_original"))
         ).cast("string"),
-        "product_description": F.expr(f"coalesce({_node('nodes', 'description')}.text, '')"),
-        "bullet_points": F.slice(F.expr(bullets), 1, K.MAX_BULLETS),
+        "product_description": F.coalesce(_text(_node("description")), F.lit("")),
+        "bullet_points": F.slice(F.filter(F.transform(_all("feature"), _text), _some), 1, K.MAX_BULLETS),
         "product_specs": F.col("product_specs"),
     }
     return priced.select(
@@ -544,18 +526,16 @@ def extract_details(pages: DataFrame) -> DataFrame:
 
 def extract_articles(pages: DataFrame) -> DataFrame:
     """Article pages: title, heading, menu links, paragraph count, advertisement."""
-    links = _where("nodes", _has("link"))
-
     def text(mark: str) -> Column:
-        return F.expr(f"coalesce({_node('nodes', mark)}.text, '')")
+        return F.coalesce(_text(_node(mark)), F.lit(""))
 
     return outlines(drop_blocked(pages), ARTICLE_MARKS).select(
         "page_id",
         text("title").alias("title"),
         text("heading").alias("heading"),
-        F.expr(f"size({links})").cast("long").alias("n_links"),
-        F.expr(f"get({links}, 0).attrs['href']").alias("first_link"),
-        F.expr(f"size({_where('nodes', _has('paragraph'))})").cast("long").alias("n_paragraphs"),
+        F.size(_all("link")).cast("long").alias("n_links"),
+        _node("link")["attrs"]["href"].alias("first_link"),
+        F.size(_all("paragraph")).cast("long").alias("n_paragraphs"),
         text("ad").alias("ad"),
         text("foot").alias("foot"),
     )
