@@ -20,6 +20,7 @@ from html.parser import HTMLParser
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+REMEMBERED = 20_000
 HIDDEN = frozenset(("script", "style", "template"))
 LABEL_HOLDERS = frozenset(("span", "div", "td", "tr", "li"))
 
@@ -64,6 +65,9 @@ class _Reader(HTMLParser):
         self._tags: Counter[str] = Counter()  # of the open elements
         self._pending: list[str] = []
 
+    def updatepos(self, i, j):
+        return j  # lines and columns are not asked for
+
     def _flush(self) -> None:
         if self._pending:
             self.texts.append(("".join(self._pending), self._open[-1]))
@@ -110,24 +114,32 @@ class _Reader(HTMLParser):
             self._close_one()
 
 
-def _fits(element: Element, mark: Mark, is_last: bool, above: frozenset[str]) -> bool:
+def _fits(element: Element, mark: Mark) -> bool:
+    """By itself: ``below`` and ``last_child`` are looked at where the element stands."""
     attrs = element.attrs
     classes = attrs.get("class", "").split()
     return (
-        (mark.below is None or mark.below in above)
-        and (not mark.tags or element.tag in mark.tags)
+        (not mark.tags or element.tag in mark.tags)
         and (mark.id is None or attrs.get("id") == mark.id)
         and all(c in classes for c in mark.classes)
         and (mark.exact_class is None or " ".join(classes) == mark.exact_class)
         and all(n in attrs and (v is None or attrs[n] == v) for n, v in mark.attrs)
         and all(part in attrs.get(n, "") for n, part in mark.holds)
-        and (not mark.last_child or is_last)
     )
 
 
-def index_marks(marks: dict[str, tuple[Mark, ...]]) -> dict:
-    """Ways by their most telling part, so that few are tried per element."""
-    index: dict[tuple[str, str], list[tuple[str, Mark]]] = {}
+class Index(dict):
+    """Ways by their most telling part, so that few are tried per element.
+
+    Elements that look alike fit the same ways: what they fit is remembered, up to a number.
+    """
+
+    def __init__(self) -> None:
+        self.known: dict[tuple, list[tuple[str, Mark]]] = {}
+
+
+def index_marks(marks: dict[str, tuple[Mark, ...]]) -> Index:
+    index = Index()
     for name, ways in marks.items():
         for way in ways:
             if way.id is not None:
@@ -143,7 +155,17 @@ def index_marks(marks: dict[str, tuple[Mark, ...]]) -> dict:
     return index
 
 
-def _candidates(index: dict, element: Element):
+def _fitting(index: Index, element: Element) -> list[tuple[str, Mark]]:
+    key = (element.tag, *element.attrs.items())
+    found = index.known.get(key)
+    if found is None:
+        if len(index.known) >= REMEMBERED:
+            index.known.clear()
+        found = index.known[key] = [(name, way) for name, way in _candidates(index, element) if _fits(element, way)]
+    return found
+
+
+def _candidates(index: Index, element: Element):
     yield from index.get(("tag", element.tag), ())
     for name, value in element.attrs.items():
         yield from index.get(("attr", name), ())
@@ -192,7 +214,7 @@ def _labelled(elements, texts, spans, pieces, label: re.Pattern, label_marks: tu
         return bool(number) and at < spans[n][1]
 
     inner = [
-        n for n, e in enumerate(elements) if n and priced(n) and any(_fits(e, m, False, frozenset()) for m in label_marks)
+        n for n, e in enumerate(elements) if n and priced(n) and any(_fits(e, m) for m in label_marks)
     ]
     found = []
     for at, own in boxes.items():
@@ -208,7 +230,7 @@ def _labelled(elements, texts, spans, pieces, label: re.Pattern, label_marks: tu
 
 def outline(
     html: str,
-    index: dict,
+    index: Index,
     keep_attrs: tuple[str, ...] = (),
     label: re.Pattern | None = None,
     label_marks: tuple[Mark, ...] = (),
@@ -244,7 +266,8 @@ def outline(
         inherited = above[e.parent]
         is_last = elements[e.parent].children[-1] == number
         own = dict.fromkeys(
-            name for name, way in _candidates(index, e) if _fits(e, way, is_last, inherited)
+            name for name, way in _fitting(index, e)
+            if (way.below is None or way.below in inherited) and (is_last or not way.last_child)
         )
         above.append(inherited | frozenset(own) if own else inherited)
         if own:
