@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions.text import is_blank, is_word_of
-from shelfwatch.session import dealt
+from shelfwatch.session import dealt, kept
 from shelfwatch.operators.stats import exact_percentiles
 
 NOT_AVAILABLE = "Not available"
@@ -217,29 +217,29 @@ def price_by_device(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, clip: float | None = None) -> DataFrame:
     """Equal-width bins over the value range; the right edge is in the last bin.
 
-    ``clip`` first cuts values down to that percentile.  Empty bins are listed with 0.
+    ``clip`` first cuts values down to that percentile.  Empty bins are listed with 0.  The
+    different values are counted once; percentile, range and bins come from the counts.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
+    spark = df.sparkSession
+    number = F.col(column).cast("double")
+    counted = kept(df.where(number.isNotNull() & ~F.isnan(number)).groupBy(number.alias("x")).agg(F.count(F.lit(1)).alias("n")), "counted")
+    values = counted
     if clip is not None:
-        top = exact_percentiles(values, "x", [clip]).select("value").scalar()
-        values = values.select(F.least(F.col("x"), top).alias("x"))
-    # Distinct values with counts are enough for everything below.
-    range_ = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = range_.select("lo").scalar(), range_.select("hi").scalar()
-    place = F.when(
-        hi > lo, F.least(F.floor((F.col("x") - lo) * bins / (hi - lo)) + 1, F.lit(bins))
-    ).otherwise(F.lit(bins // 2 + 1))
-    counted = values.groupBy(place.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    edges = range_.where(F.col("lo").isNotNull()).select(
-        "lo", "hi", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin")
-    )
+        top = exact_percentiles(counted, "x", [clip], weight="n").first()
+        values = values.withColumn("x", F.least(F.col("x"), F.lit(top["value"] if top else None).cast("double")))
+    lo, hi = values.agg(F.min("x"), F.max("x")).first()
+    if lo is None:
+        return spark.createDataFrame([], "bin long, from_value double, to_value double, rows long")
+    low, width = F.lit(float(lo)), F.lit((float(hi) - float(lo)) / bins)
+    if hi > lo:
+        place = F.least(F.floor((F.col("x") - low) * bins / F.lit(float(hi) - float(lo))) + 1, F.lit(bins))
+    else:
+        place = F.lit(bins // 2 + 1)
+    rows = values.groupBy(place.cast("long").alias("bin")).agg(F.sum("n").alias("rows"))
     return (
-        edges.join(counted, "bin", "left")
+        spark.range(1, bins + 1).withColumnRenamed("id", "bin").join(rows, "bin", "left")
         .select(
-            "bin",
-            (F.col("lo") + width * (F.col("bin") - 1)).alias("from_value"),
-            (F.col("lo") + width * F.col("bin")).alias("to_value"),
+            "bin", (low + width * (F.col("bin") - 1)).alias("from_value"), (low + width * F.col("bin")).alias("to_value"),
             F.coalesce("rows", F.lit(0)).alias("rows"),
         )
         .orderBy("bin")

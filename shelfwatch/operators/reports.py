@@ -113,33 +113,36 @@ def price_changes(dim: DataFrame, fact: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
+_LEAST_RANK = -(1 << 63)
+
+
+def _offer_rank() -> Column:
+    """One whole number that orders offers: discount, then the lower price, a missing one last.
+
+    Discounts and prices are DECIMAL(5,2) and DECIMAL(10,2): prices stay below 10^10 cents.
+    """
+    discount = (F.col("discount_percent").cast("decimal(5,2)") * 100).cast("long")
+    price = (F.col("price").cast("decimal(10,2)") * 100).cast("long")
+    return discount * 100_000_000_000 + F.coalesce(F.lit(50_000_000_000) - price, F.lit(0))
+
+
 def best_discounts(dim: DataFrame, fact: DataFrame, n: int = 20) -> DataFrame:
     """Single snapshots with the highest discount, cheapest first among equals.
 
-    Joining every discounted fact only to keep ``n`` would shuffle the fact table.  The
-    ``n`` best facts are found first; if all of them have a product, the worst of them
-    bounds the answer, and only facts at least that good are joined.  If some have
-    none, there is no bound and all are joined, so the answer is exact either way.
+    Joining every discounted fact only to keep ``n`` would shuffle the fact table.  Each
+    product's best offer is found first (one row per product and task), and the ``n`` best
+    of products that exist bound the answer from below: only facts at least that good
+    are joined.  Facts without product take no part in the bound, so they change
+    neither plan nor work.  With fewer than ``n`` products, all their facts are joined.
     """
     shown = ("price", "original_price", "discount_percent", "availability", "seller",
              "snapshot_timestamp")
-    offers = fact.where(F.col("discount_percent").isNotNull()).select("product_id", *shown)
-    front = (
-        offers.select("product_id", "discount_percent", "price")
-        .orderBy(F.desc("discount_percent"), F.asc_nulls_last("price"))
-        .limit(n)
-    )
-    # Per front row: (discount, price) ordered so that the minimum is the worst one.
-    bound = front.join(dim.select("product_id"), "product_id").agg(
-        F.when(
-            F.count(F.lit(1)) >= n,
-            F.min(F.struct(F.col("discount_percent").alias("d"),
-                           (-F.col("price")).alias("p"))),
-        ).alias("worst")
-    )
-    at_least = F.struct(F.col("discount_percent").alias("d"), (-F.col("price")).alias("p"))
-    # No bound (null) lets every offer through.
-    good = offers.where(F.coalesce(at_least >= bound.scalar(), F.lit(True)))
+    offers = fact.where(F.col("discount_percent").isNotNull()).select("product_id", *shown, _offer_rank().alias("_rank"))
+    best = offers.groupBy("product_id").agg(F.max("_rank").alias("_rank"))
+    # At most n rows.
+    front = best.join(dim.select("product_id"), "product_id").orderBy(F.desc("_rank")).limit(n)
+    bound = front.agg(F.when(F.count(F.lit(1)) >= n, F.min("_rank")).alias("worst"))
+    good = offers.where(F.col("_rank") >= F.coalesce(bound.scalar(), F.lit(_LEAST_RANK)))
     keys = ("product_name", "brand", "device_type")
     return (
         good.join(dim.select("product_id", *keys), "product_id")

@@ -8,46 +8,47 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.session import kept
+
 
 def mean_of(total: Column, count: Column, places: int = 2) -> Column:
     """Rounded mean from a sum and a count of present values; null for no values."""
     return F.round(F.try_divide(total, count), places)
 
 
-# Rows of one coarse bucket span this many grid steps, which bounds the distinct
-# values any window below has to order.
-_BUCKET_STEPS = 65536
-
-
 def exact_percentiles(
     df: DataFrame,
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    step: float = 0.01,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group and prob.
 
     The built-in exact percentile keeps every distinct value of a group in one task.
-    Here values are counted first (map-side combine), then located in two levels: a
-    coarse bucket per 65,536 grid steps, then the values of the few buckets holding a
-    wanted rank.  No task sees more than one bucket's distinct values or one group's
-    bucket list.
+    Here values are counted first (map-side combine), then dealt by range: Spark draws the
+    bounds from a sample, so partitions hold about as many different values whatever
+    their distribution.  The partitions' counts say in which one a wanted rank lies, and only
+    the values of those are ranked.  No task sees more than one partition's values or
+    one group's list of partitions.
 
     Returns the group columns, ``prob`` and ``value`` (double).  Null groups are kept;
-    null values and NaN are missing.
+    null values and NaN are missing.  ``weight``: how often a row's value counts.
     """
     by = list(by)
     number = F.col(value).cast("double")
-    counted = (
+    order = [*by, "_value"]
+    counted = kept(
         df.where(number.isNotNull() & ~F.isnan(number))
-        .select(*by, F.col(value).cast("double").alias("_value"))
-        .groupBy(*by, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, "_value", "_n", F.floor(F.col("_value") / F.lit(step * _BUCKET_STEPS)).alias("_bucket"))
+        .select(*by, F.col(value).cast("double").alias("_value"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"))
+        .groupBy(*order).agg(F.sum("_w").alias("_n"))
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_bucket", F.shiftright(F.monotonically_increasing_id(), 33)),
+        "counted",
     )
     per_group = Window.partitionBy(*by)
     running = per_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    # One row for each group and partition.
     buckets = (
         counted.groupBy(*by, "_bucket")
         .agg(F.sum("_n").alias("_in"))

@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
-from shelfwatch.operators import measures, profile, reports
+from shelfwatch.operators import measures, profile, reports, stats
 from shelfwatch.operators.stats import exact_percentiles
+from shelfwatch.session import kept
 
 DIM = "product_id long, sku string, title string, product_name string, brand string, device_type string"
 FACT = ("product_id long, price decimal(10,2), original_price decimal(10,2), discount_percent decimal(5,2), "
@@ -133,6 +134,50 @@ def test_percentiles_with_a_hot_value(spark):
         assert v == pytest.approx(xs.quantile(p), rel=1e-12)
 
 
+def test_percentiles_of_many_close_values_stay_spread(spark, monkeypatch):
+    """A million different values between 0 and 1: several partitions, none with most of them."""
+    seen = []
+    monkeypatch.setattr(stats, "kept", lambda df, purpose: seen.append(kept(df, purpose)) or seen[-1])
+    df = spark.range(1_000_000).select((F.xxhash64("id") / 2.0**64 + 0.5).alias("x"))
+    found = exact_percentiles(df, "x", [0.25, 0.999])
+    xs = df.toPandas().x
+    for r in found.collect():
+        assert r["value"] == pytest.approx(xs.quantile(r["prob"]), rel=1e-12)
+    sizes = [r["count"] for r in seen[0].groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 500_000
+    # Windows without a key run over one row for each partition.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window [" in line and "_value" in line and "_bucket" not in line]
+
+
+def test_weighted_percentiles(spark):
+    df = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 96)], "x double, n long")
+    got = {r["prob"]: r["value"] for r in exact_percentiles(df, "x", [0.01, 0.03, 0.5], weight="n").collect()}
+    xs = np.repeat([1.0, 2.0, 9.0], [3, 1, 96])
+    assert all(v == pytest.approx(np.percentile(xs, p * 100)) for p, v in got.items())
+
+
+def test_histogram_reads_the_batch_once(spark, tmp_path):
+    flat(spark, [float(i % 17) for i in range(100)]).write.parquet(str(tmp_path / "b"))
+    made = profile.price_histogram(spark.read.parquet(str(tmp_path / "b")))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and str(tmp_path / "b") not in plan
+    assert sum(r["rows"] for r in made.collect()) == 100
+
+
+def test_best_discounts_plan_is_the_same_with_orphans(star, spark):
+    import re
+
+    dim, fact, _ = star
+    orphans = fact.withColumn("product_id", F.lit(99).cast("long"))
+
+    def operators(df):
+        return re.findall(r"[A-Z]\w+(?= )", re.sub(r"#\d+|Union|LocalTableScan", "", df._jdf.queryExecution().sparkPlan().toString()).split("Range")[0])[:8]
+
+    assert operators(reports.best_discounts(dim, fact)) == operators(reports.best_discounts(dim, orphans.unionByName(fact)))
+    assert reports.best_discounts(dim, orphans).count() == 0
+
+
 def flat(spark, values, column="price"):
     made = [tuple(v if f.name == column else ("s" if f.dataType.typeName() == "string" else None) for f in schemas.CLEAN_SCHEMA) for v in values]
     return spark.createDataFrame(made, schemas.CLEAN_SCHEMA)
