@@ -136,7 +136,12 @@ def cache_records(enriched: DataFrame) -> DataFrame:
 
 def update_cache(cache: DataFrame, enriched: DataFrame) -> DataFrame:
     """One record per code: the newest enriched one, else the cached one."""
-    new = cache_records(enriched).withColumn("_side", F.lit(1))
+    return newest_records(cache, cache_records(enriched))
+
+
+def newest_records(cache: DataFrame, records: DataFrame) -> DataFrame:
+    """``update_cache`` for records that ``cache_records`` made."""
+    new = records.withColumn("_side", F.lit(1))
     old = cache.withColumn("_side", F.lit(0))
     both = old.unionByName(new, allowMissingColumns=True)
     return keep_one(both, "asin_key", [F.col("_side").desc(), F.col("seq").desc()]).drop("_side", "seq")

@@ -6,13 +6,12 @@ check needs a shuffle, and that reads just the sku column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
 from shelfwatch.functions import text
-from shelfwatch.session import dealt
 
 FAILURE, WARNING = "failure", "warning"
 REPORT_COLUMNS = ("rule", "severity", "column_name", "bad_rows")
@@ -98,6 +97,40 @@ def _long(counts: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
+def _too_few(min_rows: int) -> Column:
+    return F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias("c0")
+
+
+def _duplicates(clean: DataFrame) -> DataFrame:
+    extra = (
+        clean.groupBy("sku").agg((F.count(F.lit(1)) - 1).alias("more"))
+        .agg(F.coalesce(F.sum("more"), F.lit(0)).alias("c0"))
+    )
+    return _long(extra, [("duplicate_sku", WARNING, "sku")])
+
+
+def checked_write(clean: DataFrame, path: str, min_rows: int = 1) -> DataFrame:
+    """Write a clean batch (with ``seq``) as Parquet; the report that ``validate`` gives on it.
+
+    The rules are counted while the batch is written; only the skus are read again.
+    """
+    spark = clean.sparkSession
+    checked = clean.drop("seq")
+    if any(c not in checked.columns for c in schemas.REQUIRED_COLUMNS):
+        clean.write.mode("overwrite").parquet(path)
+        return validate(spark.read.schema(clean.schema).parquet(path).drop("seq"), min_rows)
+    rules = _row_rules(checked)
+    heads = [("min_rows", FAILURE, "*"), *((r, s, c) for r, s, c, _ in rules)]
+    seen = Observation()
+    counters = [F.count_if(bad).cast("long").alias(f"c{i + 1}") for i, (_, _, _, bad) in enumerate(rules)]
+    observed = _with_states(clean).observe(seen, _too_few(min_rows).cast("long").alias("c0"), *counters)
+    observed.select(*clean.columns).write.mode("overwrite").parquet(path)
+    counts = seen.get
+    rows = [(r, s, c, int(counts[f"c{i}"])) for i, (r, s, c) in enumerate(heads)]
+    counted = spark.createDataFrame(rows, "rule string, severity string, column_name string, bad_rows long")
+    return counted.unionByName(_duplicates(spark.read.schema(clean.schema).parquet(path)))
+
+
 def validate(clean: DataFrame, min_rows: int = 1) -> DataFrame:
     """Report of all rules in long form: rule, severity, column, bad rows.
 
@@ -106,7 +139,7 @@ def validate(clean: DataFrame, min_rows: int = 1) -> DataFrame:
     spark = clean.sparkSession
     missing = [c for c in schemas.REQUIRED_COLUMNS if c not in clean.columns]
     shape = [("min_rows", FAILURE, "*")]
-    too_few = F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias("c0")
+    too_few = _too_few(min_rows)
     if missing:
         absent = spark.createDataFrame(
             [("required_column", FAILURE, c, 1) for c in missing],
@@ -114,16 +147,11 @@ def validate(clean: DataFrame, min_rows: int = 1) -> DataFrame:
         )
         return _long(clean.agg(too_few), shape).unionByName(absent)
 
-    clean = dealt(clean)
     rules = _row_rules(clean)
     heads = shape + [(r, s, c) for r, s, c, _ in rules]
     counters = [F.count_if(bad).alias(f"c{i + 1}") for i, (_, _, _, bad) in enumerate(rules)]
     counted = _long(_with_states(clean).agg(too_few, *counters), heads)
-    extra = (
-        clean.groupBy("sku").agg((F.count(F.lit(1)) - 1).alias("more"))
-        .agg(F.coalesce(F.sum("more"), F.lit(0)).alias("c0"))
-    )
-    return counted.unionByName(_long(extra, [("duplicate_sku", WARNING, "sku")]))
+    return counted.unionByName(_duplicates(clean))
 
 
 def summarize(report: DataFrame, row_count: int | None = None) -> DataFrame:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from shelfwatch.functions import fixed as K
 from shelfwatch.operators import merge, quality, reports
 from shelfwatch.operators.clean import transform
-from shelfwatch.session import prepare, work_folder
+from shelfwatch.functions.urls import asin_key
+from shelfwatch.session import kept, prepare
 from shelfwatch.sources import files, pages as page_source
+from shelfwatch.sources.detailcache import DetailCache
 from shelfwatch.sources.warehouse import Warehouse
 
 FULL, SKIP_EXTRACT, LOAD_ONLY = "full", "skip-extract", "load-only"
@@ -28,6 +30,7 @@ class BatchConfig:
     pages: str | None = None
     detail_pages: str | None = None
     raw_name: str = "raw_products"
+    max_details: int = 0  # products whose details are looked up in one run; 0: all
     min_rows: int = 1
     max_age_hours: float = K.MAX_AGE_HOURS
 
@@ -35,6 +38,10 @@ class BatchConfig:
     def raw(self) -> str:
         return f"{self.data_dir}/{self.raw_name}"
 
+    @property
+    def detail_cache(self) -> str:
+        return f"{self.data_dir}/detail_cache"
+
     @property
     def clean(self) -> str:
         return files.clean_path(self.raw)
@@ -58,11 +65,7 @@ def extract(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
         "seq", F.struct("page_id", "position")
     )
     if cfg.detail_pages:
-        details = page_source.extract_details(files.read_pages(spark, cfg.detail_pages))
-        code = F.upper("page_code").alias("asin_key")
-        newest = details.select(code, F.col("page_id").alias("seq"), *page_source.schemas.DETAIL_FIELDS)
-        cache = merge.keep_one(newest, "asin_key", [F.col("seq").desc()]).drop("seq")
-        listing = merge.enrich(listing, cache)
+        listing = with_details(spark, cfg, kept(listing, "listing"))
     earlier = files.read_raw_current(spark, cfg.raw, RAW_SEQ)
     # Runs are numbered, so that records of two runs never share a place.
     number = files.published(spark, cfg.raw) + 1
@@ -70,13 +73,35 @@ def extract(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
         "seq", F.struct(F.lit(number).alias("batch"), F.col("seq.page_id"), F.col("seq.position"))
     ).drop("page_id", "position")
     # Parsed once: the merge asks whether there are rows before it reads them.
-    kept = work_folder(spark, "extracted")
-    new.write.parquet(kept)
-    merged = merge.merge_or_keep(earlier, spark.read.schema(new.schema).parquet(kept))
+    merged = merge.merge_or_keep(earlier, kept(new, "extracted"))
     files.write_raw(merged.drop("identity", "batch"), cfg.raw)
     return files.read_raw_current(spark, cfg.raw, RAW_SEQ)
 
 
+def with_details(spark: SparkSession, cfg: BatchConfig, listing: DataFrame) -> DataFrame:
+    """Listing records filled from the detail cache, which first learns the codes that it lacks.
+
+    Only detail pages of codes on the work-list are parsed: those that are not cached, in
+    listing order, up to ``max_details``.  A page's code is taken from its link; pages whose link has
+    none are parsed to see.  Cached products are filled whatever the work-list's cap.
+    """
+    cache = DetailCache(spark, cfg.detail_cache)
+    codes = listing.select(asin_key(F.col("asin")).alias("asin_key"))
+    todo = kept(merge.detail_worklist(listing, cache.records(codes), cfg.max_details).select("asin_key"), "todo")
+    if not todo.isEmpty():
+        pages = files.read_pages(spark, cfg.detail_pages)
+        linked = F.upper(F.regexp_extract(F.coalesce("url", F.lit("")), K.PAGE_CODE, 1))
+        known = pages.where(linked != "").join(todo, linked == F.col("asin_key"), "left_semi")
+        details = page_source.extract_details(known.unionByName(pages.where(linked == "")))
+        code = F.coalesce(F.nullif(F.upper("page_code"), F.lit("")), F.upper(F.regexp_extract("url", K.PAGE_CODE, 1)))
+        newest = details.select(code.alias("asin_key"), F.col("page_id").alias("seq"), *page_source.schemas.DETAIL_FIELDS)
+        found = merge.keep_one(newest.join(todo, "asin_key", "left_semi"), "asin_key", [F.col("seq").desc()]).drop("seq")
+        found = kept(found, "details")
+        new = listing.join(found.select("asin_key"), asin_key(F.col("asin")) == F.col("asin_key"), "left_semi")
+        cache.update(merge.enrich(new, found))
+    return merge.enrich(listing, cache.records(codes))
+
+
 def given_raw(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     """Raw records of an earlier run or, if there was none, the JSON arrays at the raw path."""
     if files.published(spark, cfg.raw):
@@ -87,11 +112,11 @@ def given_raw(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
 RAW_SEQ = "seq struct<batch: int, page_id: long, position: long>"
 
 
-def check(clean: DataFrame, cfg: BatchConfig) -> DataFrame:
+def check(report: DataFrame, cfg: BatchConfig) -> DataFrame:
     """Write the quality report, then raise if a rule is broken."""
-    summary = quality.summarize(quality.validate(clean, cfg.min_rows))
+    summary = quality.summarize(report)
     files.write_report(summary, cfg.report)
-    quality.gate(clean.sparkSession.read.schema(summary.schema).json(cfg.report))
+    quality.gate(report.sparkSession.read.schema(summary.schema).json(cfg.report))
     return summary
 
 
@@ -126,20 +151,20 @@ def run(
 ) -> list[dict]:
     """One batch in one of three modes; ``now`` is the clock that freshness is tested by.
 
-    The clean batch is written once as Parquet and read back by the check and by every
-    load, so it is computed once even if executors are lost on the way.
+    The clean batch is written once as Parquet, which also counts what the quality rules ask for,
+    and read back by every load, so it is computed once even if executors are lost on the way.
     """
     prepare(spark)
     if mode not in (FULL, SKIP_EXTRACT, LOAD_ONLY):
         raise ValueError(f"unknown mode: {mode}")
-    kept = f"{cfg.clean}.parquet"
+    path = f"{cfg.clean}.parquet"
     if mode == LOAD_ONLY:
-        given = files.read_clean(spark, cfg.clean)
-        given.withColumn("seq", F.monotonically_increasing_id()).write.mode("overwrite").parquet(kept)
+        clean = files.read_clean(spark, cfg.clean).withColumn("seq", F.monotonically_increasing_id())
     else:
-        raw = extract(spark, cfg) if mode == FULL else given_raw(spark, cfg)
-        transform(raw).write.mode("overwrite").parquet(kept)
-        files.write_clean(spark.read.parquet(kept), cfg.clean)
-    clean = spark.read.parquet(kept)
-    check(clean.drop("seq"), cfg)
+        clean = transform(extract(spark, cfg) if mode == FULL else given_raw(spark, cfg))
+    report = quality.checked_write(clean, path, cfg.min_rows)
+    clean = spark.read.parquet(path)
+    if mode != LOAD_ONLY:
+        files.write_clean(clean, cfg.clean)
+    check(report, cfg)
     return load_all(spark, clean, cfg.warehouses, at, max_age_hours=cfg.max_age_hours, now=now)

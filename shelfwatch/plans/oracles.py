@@ -479,6 +479,10 @@ def _clean() -> dict[str, str]:
             {long_sum('CASE WHEN o < p THEN 0 ELSE d END')} AS discount_percent_cents,
             {long_sum('r')} AS rating_cents FROM f GROUP BY sku""",
         "dq_report": _dq_report(),
+        "dq_flaws": _dq_report(FLAWED),
+        "report_sink": f"""WITH r AS ({_dq_report(FLAWED)}) SELECT 'failed' AS status, CAST(1 AS BIGINT) AS stopped,
+            COUNT(*) FILTER (WHERE severity = 'failure' AND bad_rows > 0) AS failures,
+            COUNT(*) FILTER (WHERE severity = 'warning' AND bad_rows > 0) AS warnings FROM r""",
         "quality_score": f"""WITH r AS ({_dq_report()}), g AS (SELECT rule, MAX(bad_rows) AS b FROM r GROUP BY rule)
             SELECT {settled('AVG(CASE WHEN b = 0 THEN 1.0 ELSE 0.0 END)', 6)} AS score FROM g""",
         "dq_gate": f"""WITH {RAW}, {SCORED}, {_first_by_asin('scored')},
@@ -490,7 +494,14 @@ def _clean() -> dict[str, str]:
     }
 
 
-def _dq_report() -> str:
+# The clean batch with blank names, long names and negative prices.
+FLAWED = CLEAN.replace("batch AS", "fine AS", 1) + """, batch AS (SELECT * REPLACE (
+    CASE WHEN CAST(sku AS BIGINT) % 23 = 0 THEN '  ' WHEN CAST(sku AS BIGINT) % 29 = 0 THEN 'one two three four five six'
+        ELSE product_name END AS product_name,
+    CASE WHEN CAST(sku AS BIGINT) % 31 = 0 THEN -price ELSE price END AS price) FROM fine)"""
+
+
+def _dq_report(batch: str = CLEAN) -> str:
     texts = ["sku", *schemas.CLEAN_TEXTS]
     markers = [m for m in K.CLEAN_MISSING if m != K.PLACEHOLDER.lower()]
     rules = [("required_not_null", "failure", c, f"{c} IS NULL")
@@ -514,7 +525,7 @@ def _dq_report() -> str:
         f"SELECT {q(r)} AS rule, {q(s)} AS severity, {q(c)} AS column_name, c{i} AS bad_rows FROM n"
         for i, (r, s, c, _) in enumerate(rules)
     )
-    return f"""WITH {CLEAN}, n AS (SELECT {counts}, COUNT(*) AS total, COUNT(DISTINCT sku) AS skus FROM batch) {rows}
+    return f"""WITH {batch}, n AS (SELECT {counts}, COUNT(*) AS total, COUNT(DISTINCT sku) AS skus FROM batch) {rows}
         UNION ALL SELECT 'min_rows', 'failure', '*', greatest(1 - total, 0) FROM n
         UNION ALL SELECT 'duplicate_sku', 'warning', 'sku', total - skus FROM n"""
 
@@ -562,7 +573,9 @@ def _merge() -> dict[str, str]:
             SELECT * FROM detail WHERE asin_key NOT IN (SELECT asin_key FROM n)""",
         "detail_worklist": f"""WITH {RAW} SELECT {_KEY} AS asin_key, MIN(seq) AS seq FROM raw
             WHERE {_KEY} <> '' AND {_KEY} NOT IN (SELECT 'SKU' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')
-                FROM customer) GROUP BY 1""",
+                FROM customer WHERE c_custkey % 3 <> 0) GROUP BY 1""",
+        "detail_worklist_capped": f"""WITH {RAW} SELECT {_KEY} AS asin_key, MIN(seq) AS seq FROM raw
+            WHERE {_KEY} <> '' GROUP BY 1 ORDER BY seq LIMIT 100""",
     }
 
 
@@ -631,6 +644,17 @@ def _warehouse() -> dict[str, str]:
                 SELECT {cents('price')}, asin FROM firsts WHERE period < 2)
             SELECT COUNT(*) AS snapshots, COUNT(asin) AS ids, {long_sum('c')} AS price_cents,
             COUNT(DISTINCT asin) + (SELECT COUNT(*) FROM part) AS products FROM both_parts""",
+        "warehouse_create": f"""WITH {RAW}, {SCORED}, {_first_by_asin('scored')}
+            SELECT 'batch' AS writer, CAST(1 AS BIGINT) AS batch_id, COUNT(*) AS snapshots, CAST(0 AS BIGINT) AS rows_before,
+            CAST(0 AS BIGINT) AS repeated_skus FROM firsts""",
+        "batch_job": f"""SELECT warehouse, 'P' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS sku,
+            'Galaxy phone ' || c_mktsegment AS title,
+            CASE WHEN row_number() OVER (PARTITION BY warehouse ORDER BY c_custkey) <= 200 THEN 'shade ' || (c_custkey % 9)
+                ELSE {q(K.PLACEHOLDER)} END AS color, CAST(4 AS BIGINT) AS snapshots,
+            CAST(ROUND(abs(c_acctbal) * 100) AS BIGINT) / 100.0 AS price
+            FROM customer, (VALUES ('first'), ('second')) AS w(warehouse)""",
+        "read_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
+        "raw_sink": f"WITH {RAW} SELECT seq, asin, product_url, title, price, color FROM raw",
         "raw_scan": f"WITH {RAW} SELECT asin, product_url, title, price, rating, seller, color FROM raw",
         "clean_csv_roundtrip": f"""SELECT sku, title, product_name, price, original_price, discount_percent, rating, color
             FROM ({_clean()['clean_transform']})""",
@@ -683,6 +707,9 @@ def _dashboard() -> dict[str, str]:
             {settled('(MAX(pc) - MIN(pc)) / MIN(pc)', 4)} AS price_change_percent FROM j GROUP BY product_name""",
         "price_vs_discount": f"""WITH {BOTH} SELECT product_name, brand, {mean('pc')} AS average_price,
             {mean('d', 100)} AS average_discount FROM j GROUP BY product_name, brand""",
+        "price_by_brand": f"WITH {BOTH} SELECT brand, {mean('pc')} AS average_price FROM j GROUP BY brand",
+        "price_vs_discount_by_brand": f"""WITH {BOTH} SELECT brand, {mean('pc')} AS average_price,
+            {mean('d', 100)} AS average_discount FROM j GROUP BY brand""",
         "product_details": f"""WITH {BOTH} SELECT product_name, device_type, brand, seller, availability,
             COUNT(*) AS snapshots, {mean('pc')} AS average_price, {mean('r', 100)} AS average_rating
             FROM j GROUP BY ALL""",
@@ -795,6 +822,8 @@ def _profile() -> dict[str, str]:
             f"SELECT {q(m)} AS metric, {settled(x, 4)} AS value FROM batch" for m, x in business.items()
         ),
         "device_counts": counts("device_type"),
+        "profile_sink": f"""SELECT device_type AS name, products, 'device' AS profile FROM ({counts("device_type")}) UNION ALL
+            SELECT brand, products, 'brand' FROM ({counts("brand", 20)})""",
         "top_brands": counts("brand", 20),
         "top_sellers": counts("seller", 20),
         "availability_counts": counts("availability", 30),
@@ -855,6 +884,14 @@ def _pages() -> dict[str, str]:
             'Best Seller' AS listing_badges FROM orders UNION ALL
             SELECT o_orderkey, CAST(2 AS BIGINT), 'B' || {key}, 'Plain ' || o_orderpriority, '0', '',
             '0 out of 5 stars', '', '', lower(o_orderpriority), lower(o_orderpriority), '' FROM orders""",
+        "listing_variants": f"""SELECT o_orderkey AS page_id, 'V' || {key} AS asin, 'Two-part ' || {key} AS title,
+            {amount} // 100 || '.' || lpad(CAST({amount} % 100 AS VARCHAR), 2, '0') AS price, 'EGP 9' AS original_price,
+            '0 out of 5 stars' AS rating, {q(K.SITE_ROOT + '/dp/V')} || {key} AS product_url, 'Ad ' || {key} AS badges FROM orders""",
+        "detail_variants": f"""SELECT p_partkey AS page_id, 'C' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS page_code,
+            CAST({part_amount} / 100.0 AS VARCHAR) AS price,
+            CASE p_partkey % 4 WHEN 3 THEN CAST({part_amount} * 2 / 100.0 AS VARCHAR) END AS original_price,
+            CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'Shown ' || p_partkey WHEN 2 THEN 'Box ' || p_partkey
+                ELSE 'Zed ' || p_partkey END AS seller FROM part""",
         "detail_extract": f"""SELECT p_partkey AS page_id, 'B0' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS page_code,
             p_brand AS brand, 'M ' || p_partkey AS model_number, p_type AS color, p_size || ' GB' AS ram_memory,
             {", ".join(f"'' AS {c}" for c in empty)}, p_size || ' g' AS item_weight,

@@ -7,7 +7,7 @@ types (long, double, string) so that they compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfwatch import schemas
 from shelfwatch.functions import classify, numbers, text, urls
 from shelfwatch.operators import clean, dimension, facts, measures, merge, profile, quality, reports
-from shelfwatch.plans import views
+from shelfwatch.plans import batch, views
 from shelfwatch.session import dealt, prepare, work_folder
 from shelfwatch.sources import files, pages
 from shelfwatch.sources.warehouse import Warehouse
@@ -154,12 +154,19 @@ def detail_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cached = views.table(spark, sf_dir, "customer").select(
+    """What the cache lacks that holds every customer but each third."""
+    cached = views.table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(
         F.concat(F.lit("SKU"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("asin_key")
     )
     return merge.detail_worklist(views.raw_records(spark, sf_dir), cached)
 
 
+def detail_worklist_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hundred of an empty cache's work-list."""
+    raw = views.raw_records(spark, sf_dir)
+    return merge.detail_worklist(raw, raw.select(F.lit("").alias("asin_key")), 100)
+
+
 # --- warehouse -------------------------------------------------------------------
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = dimension.evolve_dim(views.dim_products(spark, sf_dir))
@@ -246,7 +253,94 @@ def warehouse_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_now.withColumn("products", products)
 
 
+def warehouse_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables made empty, made again, and loaded."""
+    prepare(spark)
+    warehouse = Warehouse(spark, work_folder(spark, "create"))
+    warehouse.create()
+    warehouse.create()
+    before = warehouse.dim().count() + warehouse.fact().count()
+    warehouse.load(clean.transform(views.full_raw(views.raw_records(spark, sf_dir))), LOAD_TIME)
+    unique = warehouse.dim().agg((F.count(F.lit(1)) - F.countDistinct("sku")).alias("n")).scalar()
+    return warehouse.batches().select(
+        "writer", "batch_id", "snapshots", F.lit(before).cast("long").alias("rows_before"), unique.alias("repeated_skus")
+    )
+
+
+def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job into two warehouses: twice with pages, once from raw, once from clean data.
+
+    Two runs look up the details of 100 products each.
+    """
+    prepare(spark)
+    base = work_folder(spark, "job")
+    for df, name in zip(views.shop_pages(spark, sf_dir), ("listing", "details")):
+        df.write.parquet(f"{base}/{name}")
+    roots = (f"{base}/first", f"{base}/second")
+    config = batch.BatchConfig(f"{base}/data", roots, f"{base}/listing", f"{base}/details", max_details=100)
+    modes = (batch.FULL, batch.FULL, batch.SKIP_EXTRACT, batch.LOAD_ONLY)
+    for hour, mode in enumerate(modes):
+        at = LOAD_TIME + timedelta(hours=hour)
+        batch.run(spark, config, mode, at, now=lambda at=at: at)
+    found = []
+    for name, root in zip(("first", "second"), roots):
+        warehouse = Warehouse(spark, root)
+        facts_of = warehouse.fact().groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("price"))
+        found.append(warehouse.dim().join(facts_of, "product_id").select(
+            F.lit(name).alias("warehouse"), "sku", "title", "color", F.col("n").alias("snapshots"), "price"
+        ))
+    return plain(found[0].unionByName(found[1]))
+
+
 # --- files -----------------------------------------------------------------------
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = files.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return found.select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+
+
+def raw_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records published twice: readers get the second set as a whole."""
+    path = work_folder(spark, "sink")
+    raw = views.full_raw(views.raw_records(spark, sf_dir))
+    files.write_raw(raw.where("seq % 2 = 0"), path)
+    files.write_raw(raw, path)
+    return files.read_raw_current(spark, path).select("seq", "asin", "product_url", "title", "price", "color")
+
+
+def report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a flawed batch, written before the gate raises."""
+    path = work_folder(spark, "report")
+    summary = quality.summarize(quality.checked_write(views.flawed_batch(spark, sf_dir).withColumn("seq", F.lit(1)), f"{path}/clean"))
+    files.write_report(summary, f"{path}/report")
+    back = spark.read.schema(summary.schema).json(f"{path}/report")
+    try:
+        quality.gate(back)
+        stopped = False
+    except quality.QualityError:
+        stopped = True
+    return back.select(
+        "status", F.lit(stopped).cast("long").alias("stopped"), F.size("failures").cast("long").alias("failures"),
+        F.size("warnings").cast("long").alias("warnings"),
+    )
+
+
+def profile_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile tables through their CSV files."""
+    path = work_folder(spark, "profiles")
+    clean_batch = views.clean_batch(spark, sf_dir)
+    made = {"device": profile.value_counts(clean_batch, "device_type"), "brand": profile.value_counts(clean_batch, "brand", 20)}
+    files.write_profiles(made, path)
+    tables = [
+        spark.read.schema("name string, products long").option("header", True).csv(f"{path}/{n}").withColumn("profile", F.lit(n))
+        for n in made
+    ]
+    return tables[0].unionByName(tables[1])
+
+
+def dq_flaws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.validate(views.flawed_batch(spark, sf_dir))
+
+
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records through files that each hold one JSON array."""
     path = work_folder(spark, "arrays")
@@ -282,6 +376,20 @@ def listing_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("listing_badges", F.array_join("listing_badges", "|"))
 
 
+def listing_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract_listings(views.listing_variants(spark, sf_dir))
+    return found.select(
+        "page_id", "asin", "title", "price", "original_price", "rating", "product_url", F.array_join("listing_badges", "|").alias("badges")
+    )
+
+
+def detail_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pages.extract_details(views.detail_variants(spark, sf_dir)).select(
+        "page_id", "page_code", "price", "original_price", "seller"
+    )
+
+
 def detail_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = pages.extract_details(views.detail_pages(spark, sf_dir))
@@ -480,6 +588,7 @@ def queries() -> dict[str, Query]:
         "enrich_details": enrich_details,
         "detail_cache": detail_cache,
         "detail_worklist": detail_worklist,
+        "detail_worklist_capped": detail_worklist_capped,
         # warehouse
         "dim_upsert": dim_upsert,
         "fact_append": fact_append,
@@ -489,7 +598,14 @@ def queries() -> dict[str, Query]:
         "schema_evolve": schema_evolve,
         "incremental_load": incremental_load,
         "warehouse_history": warehouse_history,
+        "warehouse_create": warehouse_create,
+        "batch_job": batch_job,
         # files
+        "read_pages": read_pages,
+        "raw_sink": raw_sink,
+        "report_sink": report_sink,
+        "profile_sink": profile_sink,
+        "dq_flaws": dq_flaws,
         "raw_scan": raw_scan,
         "clean_csv_roundtrip": clean_csv_roundtrip,
         "dq_missing_columns": dq_missing_columns,
@@ -516,6 +632,9 @@ def queries() -> dict[str, Query]:
             .withColumn("price_change_percent", cents_up(c("price_change_percent").cast("double"), 4))),
         "price_vs_discount": _both(
             lambda d, f: measures.page_dataset("price_vs_discount_by_product", d, f)),
+        "price_by_brand": _both(lambda d, f: measures.page_dataset("price_by_brand", d, f)),
+        "price_vs_discount_by_brand": _both(
+            lambda d, f: measures.page_dataset("price_vs_discount_by_brand", d, f)),
         "product_details": _both(measures.product_details),
         "snapshot_growth": _both(lambda d, f: measures.snapshot_growth(f)),
         "freshness_status": _both(lambda d, f: measures.freshness_status(f, NOW)),
@@ -543,6 +662,8 @@ def queries() -> dict[str, Query]:
         "canonical_url": canonical_url,
         "seller_clean": seller_clean,
         "listing_extract": listing_extract,
+        "listing_variants": listing_variants,
+        "detail_variants": detail_variants,
         "detail_extract": detail_extract,
         "page_extract": lambda s, d: pages.extract_articles(views.table(s, d, "pages")),
     }

@@ -310,3 +310,75 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</p></div>"),
         ).alias("html"),
     )
+
+
+def listing_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search result pages of other shapes: a price in two parts, redirects, badges of another kind, no rating."""
+    order = table(spark, sf_dir, "orders")
+    key, amount = F.col("o_orderkey"), cents(F.col("o_totalprice"))
+    k = key.cast("string")
+    return order.select(
+        key.alias("page_id"),
+        F.concat(F.lit(K.SITE_ROOT + "/s?k="), k).alias("url"),
+        F.concat(
+            F.lit('<!doctype html><div data-component-type="s-search-result" data-asin="V'), k,
+            F.lit('"><h2>Two-part '), k, F.lit('</h2><a class="a-link-normal s-no-outline" href="/gp/r?x=1&amp;url=%2Fdp%2FV'), k,
+            F.lit('"></a><span class="a-price"><span class="a-price-whole">'), whole(amount, 100).cast("string"),
+            F.lit('</span><span class="a-price-fraction">'), F.lpad((amount % 100).cast("string"), 2, "0"),
+            F.lit('</span></span><i class="a-text-price"><b class="a-offscreen"></b><b class="a-offscreen">EGP 9</b></i>'
+                  '<em class="s-label-popover-default">Ad '), k, F.lit("</em></div>"),
+        ).alias("html"),
+        F.lit("phone").alias("category"),
+    )
+
+
+def detail_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product pages of four other shapes: where the code, the price and the seller stand."""
+    part = table(spark, sf_dir, "part")
+    key, amount = F.col("p_partkey"), cents(F.col("p_retailprice"))
+    k = key.cast("string")
+    code = F.concat(F.lit("C"), F.lpad(k, 9, "0"))
+    scoped = F.concat(F.lit('<div id="buybox"><span id="priceblock_ourprice">EGP '), thousands(amount), F.lit("</span></div>"))
+    shapes = (
+        F.concat(F.lit('<input id="ASIN" value=" '), code, F.lit(' "><a href="/gp/offer-listing/other"><b class="a-price">EGP 1</b></a>'
+                 '<a href="/gp/offer-listing/'), code, F.lit('/ref">New: <span class="a-price">EGP '), thousands(amount), F.lit("</span></a>")),
+        F.concat(F.lit('<p data-asin="'), code, F.lit('"></p>'), scoped, F.lit(
+            '<div id="offer-display-features"><div offer-display-feature-name="desktop-merchant-info">'
+            '<span class="offer-display-feature-text-message">Shown '), k, F.lit("</span></div></div>")),
+        F.concat(F.lit('<input name="ASIN" value="'), code, F.lit('">'), scoped, F.lit(
+            '<table id="tabular-buybox"><tr><td>Ships from</td><td class="tabular-buybox-text">Depot</td></tr>'
+            '<tr><td>Sold by</td><td class="tabular-buybox-text">Box '), k, F.lit("</td></tr></table>")),
+        F.concat(F.lit('<input name="asin" value="'), code, F.lit('">'), scoped, F.lit(
+            '<div id="merchantInfoFeature_feature_div">Shipper / Seller Zed '), k, F.lit("</div><div>RRP <p>EGP "), thousands(amount * 2), F.lit("</p></div>")),
+    )
+    return part.select(
+        key.alias("page_id"), F.lit("u").alias("url"), F.get(F.array(*shapes), (key % 4).cast("int")).alias("html"),
+    )
+
+
+def shop_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(listing pages, detail pages) of products that the whole job can run on, one per customer."""
+    cust = table(spark, sf_dir, "customer")
+    key, amount = F.col("c_custkey"), cents(F.abs("c_acctbal"))
+    code = F.concat(F.lit("P"), F.lpad(key.cast("string"), 9, "0"))
+    listing = cust.select(
+        key.alias("page_id"), F.lit(K.SITE_ROOT + "/s").alias("url"),
+        F.concat(
+            F.lit('<div data-component-type="s-search-result" data-asin="'), code, F.lit('"><h2>Galaxy phone '), F.col("c_mktsegment"),
+            F.lit('</h2><b class="a-price"><i class="a-offscreen">EGP '), thousands(amount), F.lit("</i></b></div>"),
+        ).alias("html"),
+        F.lit("phone").alias("category"),
+    )
+    details = cust.select(
+        key.alias("page_id"), F.concat(F.lit(K.SITE_ROOT + "/x/dp/"), code).alias("url"),
+        F.concat(F.lit('<table id="prodDetails"><tr><th>Color</th><td>shade '), (key % 9).cast("string"), F.lit("</td></tr></table>")).alias("html"),
+    )
+    return listing, details
+
+
+def flawed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean batch with blank names, long names and negative prices."""
+    number = F.col("sku").cast("long")
+    name = F.when(number % 23 == 0, F.lit("  ")).when(number % 29 == 0, F.lit("one two three four five six")).otherwise(F.col("product_name"))
+    price = F.when(number % 31 == 0, -F.col("price")).otherwise(F.col("price"))
+    return clean_batch(spark, sf_dir).withColumns({"product_name": name, "price": price})

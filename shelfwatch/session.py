@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 PARTITIONS_SETTING = "spark.shelfwatch.inputPartitions"
@@ -78,6 +79,11 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucket_numbers(df: DataFrame, column: str = "bucket") -> list[int]:
+    """The different bucket numbers of a table: at most as many as there are buckets, in one row."""
+    return df.agg(F.array_sort(F.collect_set(column))).first()[0]
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """Rows dealt to as many tasks as the caller asks for, before costly work on each row.
 

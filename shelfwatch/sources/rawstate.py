@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.operators import merge
-from shelfwatch.session import kept
+from shelfwatch.session import bucket_numbers, kept
 from shelfwatch.sources import store
 
 BUCKETS = 32
@@ -69,8 +69,7 @@ class RawState:
         rows = kept(rows.select("seq", *schemas.RAW_SCHEMA.fieldNames()), "landed")
         new = merge.merged_rows(rows, number).withColumn("bucket", F.pmod(F.xxhash64("identity"), F.lit(buckets)).cast("int"))
         new = kept(new, "landed")
-        # At most as many numbers as there are buckets.
-        touched = [r[0] for r in new.select("bucket").distinct().collect()]
+        touched = bucket_numbers(new)
         if touched:
             merged = merge.into_products(self.products().where(F.col("bucket").isin(touched)), new)
             (

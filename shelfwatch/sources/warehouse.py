@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from shelfwatch import schemas
 from shelfwatch.operators import dimension, facts
-from shelfwatch.session import kept
+from shelfwatch.session import bucket_numbers, kept
 from shelfwatch.sources import store
 
 BUCKETS = 32
@@ -136,9 +136,7 @@ class Warehouse:
         bucket = sku_bucket(record["buckets"])
         incoming = latest.withColumns({RULES: F.lit(None).cast("int"), BUCKET: bucket})
         products = self._read(self._dim, DIM_FILES)
-        # At most as many numbers as there are buckets.
-        waiting = products.where(due()).select(BUCKET)
-        touched = [r[0] for r in incoming.select(BUCKET).unionByName(waiting).distinct().collect()]
+        touched = bucket_numbers(incoming.select(BUCKET).unionByName(products.where(due()).select(BUCKET)))
         if touched:
             prior = products.where(F.col(BUCKET).isin(touched))
             current = prior.where(~due()).unionByName(maintained(prior.where(due()), at))

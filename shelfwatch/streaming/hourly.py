@@ -37,13 +37,11 @@ def batch_loader(
         spark = batch.sparkSession
         kept = work_folder(spark, f"batch-{epoch}")
         at = clock(batch)
-        # The clean batch feeds the check and two writes: written once, read thrice.
+        # The clean batch is checked while it is written.
         landed = ensure_columns(shape(batch), schemas.RAW_SCHEMA)
         raw = RawState(spark, f"{root}/raw", landed.schema["seq"].dataType).land(landed, writer(spark), epoch)
-        transform(raw).write.parquet(kept)
-        clean = spark.read.parquet(kept)
-        quality.gate(quality.summarize(quality.validate(clean.drop("seq"), min_rows)))
-        Warehouse(spark, root).load(clean, at, batch_id=epoch + 1, writer=writer(spark))
+        quality.gate(quality.summarize(quality.checked_write(transform(raw), kept, min_rows)))
+        Warehouse(spark, root).load(spark.read.parquet(kept), at, batch_id=epoch + 1, writer=writer(spark))
 
     return load
 
