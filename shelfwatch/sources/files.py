@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch import schemas
+from shelfwatch.session import kept
 from shelfwatch.sources import store
 
 
@@ -21,24 +22,118 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """JSON files, each an array of product objects, with ``seq`` (file, position).
 
     A missing path, and a file that is unreadable or no array, count as empty.  Keys
-    outside the schema are ignored, absent ones are null.
+    outside the schema are ignored, absent ones are null.  Files are read in parts, however
+    large one is: see ``json_records``.
     """
     if not store.exists(spark, path):
         return spark.createDataFrame(
             [], T.StructType([T.StructField("seq", SEQ_TYPE), *schemas.RAW_SCHEMA.fields])
         )
-    files = spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.ltrim("value").alias("value")
+    records, plain = json_records(spark, path)
+    shape = T.StructType([*schemas.RAW_SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    parsed = kept(
+        records.select("file", "position", F.from_json("value", shape, {"columnNameOfCorruptRecord": "_bad"}).alias("item")),
+        "records",
+    )
+    # One row for each file.
+    whole = plain.join(parsed.where("item._bad IS NOT NULL").select("file").distinct(), "file", "left_anti")
+    found = parsed.join(whole, "file", "left_semi").select(
+        F.struct("file", F.col("position").cast("int").alias("position")).alias("seq"), *[f"item.{f.name}" for f in schemas.RAW_SCHEMA]
     )
+    return found.unionByName(_whole_arrays(spark, path, plain))
+
+
+def _whole_arrays(spark: SparkSession, path: str, plain: DataFrame) -> DataFrame:
+    """Files that are not plain arrays of objects, each read by one task: items of other kinds, or no array at all."""
+    files = spark.read.option("wholetext", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.btrim("value", F.lit(" \t\r\n")).alias("value")
+    ).join(plain, "file", "left_anti")
     items = F.from_json("value", T.ArrayType(schemas.RAW_SCHEMA))
     return (
-        files.where(F.col("value").startswith("["))
+        files.where(F.col("value").startswith("[") & F.col("value").endswith("]"))
         .select("file", F.posexplode(items).alias("position", "item"))
         .where(F.col("item").isNotNull())
         .select(F.struct("file", "position").alias("seq"), "item.*")
     )
 
 
+def json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(records, files): the objects of JSON arrays as text, and the files that are plain arrays of objects.
+
+    Text is split at closing braces, which Spark does within byte ranges of a file, so one
+    large array is read by many tasks.  A piece changes the state of the reader, which is
+    whether a string is open and how many objects are: the first by the parity of its quotes,
+    the second by its braces outside of strings, counted for both states it may begin in.  Pieces
+    add up within a range and ranges within a file, which gives every piece its state; a record
+    ends where the last open object closes.
+    """
+    pieces = kept(
+        spark.read.option("lineSep", "}").text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"),
+            F.monotonically_increasing_id().alias("at"), "value",
+        ), "pieces",
+    )
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+
+    def count(text: Column, char: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+    def outside(text: Column) -> Column:
+        return F.regexp_replace(text, r'(?s)"[^"]*("|\z)', "")
+
+    def opened(text: Column, open_at_end: Column) -> Column:
+        # The brace that ends the piece closes an object unless it stands in a string.
+        return count(text, "{") - F.when(open_at_end, 0).otherwise(1)
+
+    odd = count(bare, '"') % 2
+    inside = outside(F.regexp_replace(bare, r'(?s)\A[^"]*("|\z)', ""))
+    local = pieces.select(
+        "file", "range", "at", odd.alias("odd"), opened(outside(bare), odd == 1).alias("from_closed"), opened(inside, odd == 0).alias("from_open"),
+    )
+    # Within a range: a range is as long as a task's input, whatever the file's size.
+    ahead = Window.partitionBy("file", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    local = kept(local.withColumn("flips", F.coalesce(F.sum("odd").over(ahead), F.lit(0)) % 2), "states")
+
+    def depth_from(state: Column) -> Column:
+        return F.when((F.col("flips") + state) % 2 == 0, F.col("from_closed")).otherwise(F.col("from_open"))
+
+    # One row for each range.
+    ranges = local.groupBy("file", "range").agg(
+        (F.sum("odd") % 2).alias("odd"), F.sum(depth_from(F.lit(0))).alias("d0"), F.sum(depth_from(F.lit(1))).alias("d1"),
+        F.max("at").alias("last"),
+    )
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("state", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    ranges = ranges.withColumn("depth", F.coalesce(F.sum(F.when(F.col("state") == 0, F.col("d0")).otherwise(F.col("d1"))).over(before), F.lit(0)))
+    ranges = ranges.withColumn("tail", F.max("last").over(Window.partitionBy("file")))
+    upto = Window.partitionBy("file", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = local.join(ranges.select("file", "range", "state", "depth", "tail"), ["file", "range"]).withColumn(
+        "deep", F.col("depth") + F.sum(depth_from(F.col("state"))).over(upto)
+    )
+    open_at_end = (F.col("flips") + F.col("state") + F.col("odd")) % 2 == 1
+    ends = ((F.col("deep") == 0) & ~open_at_end & (F.col("at") < F.col("tail"))).cast("long")
+    placed = kept(placed.select("file", "range", "at", "tail", ends.alias("ends"), F.coalesce(F.sum(ends).over(ahead), F.lit(0)).alias("nth")), "places")
+    totals = placed.groupBy("file", "range").agg(F.sum("ends").alias("ended"))
+    totals = totals.select("file", "range", F.coalesce(F.sum("ended").over(before), F.lit(0)).alias("earlier"))
+    numbered = (
+        pieces.join(placed.select("at", "range", "file", "tail", "nth"), ["file", "range", "at"]).join(totals, ["file", "range"])
+        .select("file", (F.col("earlier") + F.col("nth")).alias("position"), "at", (F.col("at") == F.col("tail")).alias("is_tail"), "value")
+    )
+    # A record's pieces: as many as it has objects in it.
+    record = F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda p: p["value"]), "}"), F.lit("}"))
+    records = kept(
+        numbered.where(~F.col("is_tail")).groupBy("file", "position").agg(record.alias("value"))
+        .withColumn("lead", F.regexp_extract("value", r"(?s)\A[^{]*", 0)), "arrays",
+    )
+    first = F.col("position") == 0
+    plain_lead = F.when(first, F.col("lead").rlike(r"\A\s*\[\s*\z")).otherwise(F.col("lead").rlike(r"\A\s*,\s*\z"))
+    odd_files = records.where(~plain_lead).select("file").unionByName(
+        numbered.where(F.col("is_tail") & ~F.col("value").rlike(r"\A\s*\]\s*\z")).select("file")
+    )
+    files = kept(pieces.select("file").distinct().join(odd_files.distinct(), "file", "left_anti"), "files")
+    return records.select("file", "position", F.substr("value", F.length("lead") + 1).alias("value")), files
+
+
 SEQ_TYPE = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("position", T.IntegerType())]
 )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
@@ -60,3 +61,16 @@ def test_too_few_rows(spark):
     df = spark.createDataFrame([], schemas.CLEAN_SCHEMA)
     assert {r["rule"] for r in quality.validate(df).collect() if r["bad_rows"]} == {"min_rows"}
     assert all(r["bad_rows"] == 0 for r in quality.validate(df, 0).collect())
+
+
+def test_checked_write_gives_the_same_report(spark, tmp_path):
+    rows = [(1, "A", "x  ", "Acme and", 5.0, 6.0), (2, "A", None, "", -1.0, 9.0), (3, None, "N/A", "one two three four five six", None, 2.0)]
+    made = spark.createDataFrame(rows, "seq long, sku string, title string, product_name string, price double, rating double")
+    for f in schemas.CLEAN_SCHEMA:
+        if f.name not in made.columns:
+            made = made.withColumn(f.name, F.lit(None if f.dataType.typeName() == "double" else "unknown").cast(f.dataType))
+    for df, name in ((made, "a"), (made.limit(0), "b"), (made.drop("seller"), "c")):
+        got = quality.checked_write(df, str(tmp_path / name), 2)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality.validate(df.drop("seq"), 2).collect()))
+        back = spark.read.parquet(str(tmp_path / name))
+        assert back.columns == df.columns and back.count() == df.count()

@@ -9,6 +9,7 @@ from shelfwatch.functions import fixed as K
 from shelfwatch.operators import clean, dimension, facts
 from shelfwatch.plans import batch
 from shelfwatch.sources import files, store, warehouse
+from shelfwatch.sources.detailcache import DetailCache
 from shelfwatch.sources.rawstate import RawState
 from shelfwatch.sources.warehouse import BusyError, Warehouse
 from shelfwatch.streaming.hourly import run_incremental
@@ -301,6 +302,53 @@ def test_batch_modes(spark, tmp_path):
         batch.run(spark, cfg2, "other", T2)
 
 
+def test_second_run_parses_only_details_that_are_not_cached(spark, tmp_path, monkeypatch):
+    shape = "page_id long, url string, html string, category string"
+    codes = [f"P{i:09d}" for i in range(6)]
+    listing = "".join(page(c, f"Galaxy {c}", "EGP 10") for c in codes)
+    spark.createDataFrame([(1, "u", listing, "phone")], shape).write.parquet(str(tmp_path / "p"))
+    rows = [(i, f"https://x/dp/{c}", f'<table id="prodDetails"><tr><th>Color</th><td>c{i}</td></tr></table>', None) for i, c in enumerate(codes[:5])]
+    rows.append((9, "https://x/none", f'<input id="ASIN" value="{codes[5]}"><table id="prodDetails"><tr><th>Color</th><td>c5</td></tr></table>', None))
+    spark.createDataFrame(rows, shape).write.parquet(str(tmp_path / "d"))
+    cfg = batch.BatchConfig(str(tmp_path / "data"), (str(tmp_path / "w"),), str(tmp_path / "p"), str(tmp_path / "d"), max_details=2)
+    parsed, whole = [], batch.page_source.extract_details
+
+    def counted(pages):
+        parsed.append(sorted(r["page_id"] for r in pages.collect()))
+        return whole(pages)
+
+    monkeypatch.setattr(batch.page_source, "extract_details", counted)
+
+    def colours(at):
+        batch.run(spark, cfg, batch.FULL, at, now=lambda: at)
+        return sorted(r["color"] for r in Warehouse(spark, cfg.warehouses[0]).dim().collect() if r["color"] != K.PLACEHOLDER)
+
+    assert colours(T1) == ["c0", "c1"]
+    assert colours(T2) == ["c0", "c1", "c2", "c3"]
+    assert colours(T2 + timedelta(hours=1)) == ["c0", "c1", "c2", "c3", "c4", "c5"]
+    assert colours(T2 + timedelta(hours=2)) == ["c0", "c1", "c2", "c3", "c4", "c5"]
+    # A page whose link has no code is read to see; with nothing left to look up, no page is.
+    assert parsed == [[0, 1, 9], [2, 3, 9], [4, 9]]
+    kept_codes = DetailCache(spark, cfg.detail_cache).records().select("asin_key").collect()
+    assert sorted(r[0] for r in kept_codes) == codes
+
+
+def test_detail_cache_rewrites_its_own_buckets(spark, tmp_path):
+    cache = DetailCache(spark, str(tmp_path / "c"), buckets=20)
+    raw = "asin string, seq long, color string"
+
+    def files():
+        return set(spark.read.parquet(cache.path).inputFiles())
+
+    cache.update(spark.createDataFrame([(f"a{i}", i, f"c{i}") for i in range(100)], raw))
+    before = files()
+    cache.update(spark.createDataFrame([("A7", 1, "new"), (" ", 2, "none"), (None, 3, "none")], raw))
+    assert len(files() - before) == 1 and cache.records().count() == 100
+    assert cache.records().where("asin_key = 'A7'").first()["color"] == "new"
+    cache.update(spark.createDataFrame([], raw))
+    assert cache.records().count() == 100
+
+
 def test_freshness_gate(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"))
     with pytest.raises(batch.StaleError):
@@ -392,3 +440,38 @@ def test_landing_rewrites_its_own_buckets_and_can_be_repeated(spark, tmp_path):
     assert sorted(map(str, state.products().collect())) == once
     assert state.products().where("identity = 'asin:P3'").first()["price"] == "1"
     assert land(2).count() == 201 and sorted(map(str, state.products().collect())) == once
+
+
+def test_one_large_array_is_read_by_many_tasks(spark, tmp_path):
+    """Nested objects, braces and quotes in strings, escapes; ranges of a few bytes."""
+    import json
+    import random
+
+    deal = random.Random(1)
+    texts = ["}", "{", '"', "\\", 'a "quoted} {" b', "é}", "},{", "[", "]", "", "x\\\"}", "line\nbreak", None]
+    items = [
+        {"asin": f"A{i}", "title": deal.choice(texts), "product_specs": {deal.choice("kl}"): deal.choice(texts) or ""}, "other": {"deep": [{"er": "}"}]},
+         "listing_badges": [deal.choice(texts)]} for i in range(400)
+    ]
+    for name, text in {
+        "one": json.dumps(items), "pretty": json.dumps(items, indent=2, ensure_ascii=False), "two": json.dumps(items[:2]), "none": "[]",
+        "cut": json.dumps(items)[:-40], "mixed": '[null, {"asin": "M"}, null]', "object": '{"asin": "O"}', "broken": '[{"asin": "B"}, {"asin": }]',
+        "more": '[{"asin": "C"}] x', "blank": " \n", "string": '"]}["',
+    }.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    with_parts = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in with_parts}
+    try:
+        for k, v in with_parts.items():
+            spark.conf.set(k, v)
+        assert spark.read.option("lineSep", "}").text(str(tmp_path / "one.json")).rdd.getNumPartitions() > 10
+        got = {}
+        for r in files.read_raw(spark, str(tmp_path / "*.json")).collect():
+            got.setdefault(r["seq"]["file"].rsplit("/", 1)[1], []).append((r["seq"]["position"], r["asin"], r["title"], r["product_specs"], r["listing_badges"]))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(i, x["asin"], x["title"], x["product_specs"], x["listing_badges"]) for i, x in enumerate(items)]
+    assert sorted(got) == ["mixed.json", "one.json", "pretty.json", "two.json"]
+    assert sorted(got["one.json"], key=lambda r: r[0]) == want and sorted(got["pretty.json"], key=lambda r: r[0]) == want
+    assert sorted(got["two.json"], key=lambda r: r[0]) == want[:2] and [(r[0], r[1]) for r in got["mixed.json"]] == [(1, "M")]
