@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.components import connected
@@ -62,8 +62,12 @@ def _fingerprint(raw: bytes) -> int:
     return int.from_bytes(np.packbits(bits * 2 > len(array)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long.  A null text counts as empty."""
+def fingerprints(docs: DataFrame, **carried: Column) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long.  A null text counts as empty.
+
+    ``carried``: whole numbers that go along, by name.
+    """
+    names = list(carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,12 +76,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 (_fingerprint(t.as_py() or b"") for t in texts), np.uint64, len(texts)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *names]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    return docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), *[c.cast("long").alias(n) for n, c in carried.items()]
+    ).mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"{n} long" for n in names]]))
 
 
 @cache
@@ -209,12 +213,7 @@ def near_duplicates(docs: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFram
     are kept.  Other columns are ignored.
     """
     named = written(fingerprints(docs), "simhash")
-    own = written(named.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash")
-    links = written(fingerprint_links(own, prefix_bits), "simhash")
-    groups = connected(links).withColumnRenamed("node", "fp")
-    labelled = own.join(groups, "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    labelled = _labelled(named, prefix_bits)
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = written(labelled.join(least, "component").select("fp", "component_id"), "simhash")
     return named.join(by_fp, "fp").select(
@@ -222,14 +221,30 @@ def near_duplicates(docs: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFram
     )
 
 
+def _labelled(named: DataFrame, prefix_bits: int) -> DataFrame:
+    """(fp, least, component) for every fingerprint: its smallest doc_id and its group."""
+    own = written(named.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash")
+    links = written(fingerprint_links(own, prefix_bits), "simhash")
+    groups = connected(links).withColumnRenamed("node", "fp")
+    return own.join(groups, "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def keep_one(docs: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
     """The columns of ``docs``, one row of each group of near duplicates: its smallest doc_id.
 
-    Of repeated rows with that doc_id one stays; rows without a doc_id stay.
+    Rows are told apart by doc_id and text: of texts of one doc_id that are no near duplicates
+    each stays.  Of near duplicates with one doc_id the smallest fingerprint stays, of
+    rows that repeat doc_id and text the one that a hash of all columns puts first.  Rows without a doc_id stay.
     """
-    groups = near_duplicates(docs.select("doc_id", "text"), prefix_bits)
-    kept = groups.where("component_id = doc_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return known.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(
-        docs.where("doc_id is null")
-    )
+    mark = F.xxhash64("text")
+    named = written(fingerprints(docs, mark=mark).where("doc_id is not null"), "simhash")
+    groups = written(_labelled(named, prefix_bits).select("fp", "component"), "simhash")
+    first = named.join(groups, "fp").groupBy("component").agg(F.min(F.struct("doc_id", "fp", "mark")).alias("r"))
+    chosen = written(first.select(F.col("r.doc_id").alias("_keep_doc"), F.col("r.mark").alias("_keep_mark")), "simhash")
+    marked = docs.where("doc_id is not null").withColumn("_keep_mark", mark)
+    found = marked.join(chosen.withColumnRenamed("_keep_mark", "_keep_m"), (F.col("doc_id") == F.col("_keep_doc")) & (F.col("_keep_mark") == F.col("_keep_m")), "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id", "_keep_mark").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    once = found.withColumn("_keep_place", place).where("_keep_place = 1")
+    return once.select(docs.columns).unionByName(docs.where("doc_id is null"))
