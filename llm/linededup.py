@@ -2,13 +2,15 @@
 
 Lines are parsed by a tree of fixed depth: the first level is the number of tokens, the
 next levels are the leading tokens, with tokens that hold a digit generalised to ``<*>``.
-In a leaf, a token that fewer than ``min_docs`` lines have at its place is a variable field
-and is generalised as well, as long as most of the line stays constant.  The result is the
-line's template.  A template that occurs in ``min_docs`` documents or more recurs: its
-first occurrence stays, all others are dropped.
+In a leaf, places with much variety are variable fields: a token is one if it is several
+times rarer at its place than ``constant_share`` of the line's tokens are at theirs.  Only
+ratios decide, so more rows of the same kind give the same templates.  The line with its
+fields generalised is its template.  A template recurs if it occurs in two documents; one
+of fewer than ``long_line`` tokens, which may be a phrase that many authors write, has to
+occur in ``min_docs``.  Its first occurrence stays, all others are dropped.
 
 Texts are never shuffled line by line: only hashes of lines and trees are, and the tokens
-of lines in leaves that enough documents reach.
+of lines in leaves that several forms share.
 """
 
 from __future__ import annotations
@@ -21,8 +23,20 @@ from llm.shared import written
 FIELD = "<*>"
 LEADING = 3
 MIN_DOCS = 5
+LONG_LINE = 10
 CONSTANT_SHARE = 0.8
-FILTER_BITS = 1 << 23
+VARIETY = 4  # a field's token is more than so many times rarer than the line's constant ones
+FILTER_BITS = range(17, 26)  # of the bitmap of leaves, as powers of two
+
+
+def _bar(tokens: Column, min_docs: int, long_line: int) -> Column:
+    """Number of documents from which on a line of so many tokens recurs."""
+    return F.when(tokens < long_line, min_docs).otherwise(min(2, min_docs))
+
+
+def _spare(constant_share: float) -> int:
+    """Percent of a line's tokens that may be fields."""
+    return round(100 * (1 - constant_share))
 
 
 def _clean(line: Column) -> Column:
@@ -54,11 +68,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _maybe(lines: DataFrame, leaves: DataFrame) -> DataFrame:
     """``lines`` without most of those in other leaves than ``leaves``; never drops one of these.
 
-    A bitmap of fixed size (``FILTER_BITS``, in words of 64 bits: 131,072 rows at most)
-    stands for the leaves, so it can be broadcast whatever their number; a join decides
-    about what it lets pass.
+    A bitmap stands for the leaves: eight bits for each, 2 ** 25 bits (524,288 words) at
+    most, so it can be broadcast whatever their number; a join decides about what it lets pass.
     """
-    at = F.pmod(F.xxhash64("tokens", "leaf"), F.lit(FILTER_BITS))
+    bits = min(max((8 * leaves.count()).bit_length(), FILTER_BITS.start), FILTER_BITS.stop - 1)
+    at = F.pmod(F.xxhash64("tokens", "leaf"), F.lit(1 << bits))
     word, bit = F.shiftright(at, 6), (at % 64).cast("int")
     bitmap = leaves.select(
         word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")
@@ -71,50 +85,52 @@ def dropped_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
     constant_share: float = CONSTANT_SHARE,
+    long_line: int = LONG_LINE,
 ) -> DataFrame:
     """(doc_id, doc, drop: array of line numbers) for the documents that lose lines."""
-    lines = _lines(docs)
-    slim = written(lines.drop("line"), "lines")
+    bar = _bar(F.col("tokens"), min_docs, long_line)
+    lines = written(_lines(docs), "lines", compression="zstd")
+    slim = lines.drop("line")
     leaf = ["tokens", "leaf"]
     # Leaves with fewer lines than documents are asked for hold nothing that recurs.
-    reached = written(slim.groupBy(*leaf).count().where(F.col("count") >= min_docs).select(*leaf), "reached")
+    reached = written(slim.groupBy(*leaf).count().where(F.col("count") >= bar).select(*leaf), "reached")
     near = written(_maybe(slim, reached).join(reached, leaf), "near")
     per_doc = near.select(*leaf, "literal", "doc_id", "doc").distinct()
     literals = written(per_doc.groupBy(*leaf, "literal").agg(F.count("*").alias("n")), "literals")
     busy = (
         literals.groupBy(*leaf).agg(F.sum("n").alias("reach"), F.count("*").alias("forms"))
-        .where(F.col("reach") >= min_docs)
+        .where(F.col("reach") >= bar)
     )
     wanted = written(literals.join(busy, leaf), "leaves")
 
-    # Leaves with one form only are templates already; in the others fields are generalised.
-    mixed = wanted.where((F.col("forms") > 1) & (F.col("tokens") > LEADING))
+    # Leaves with one form only are templates already, as are those too small for a field; in the others fields are found.
+    mixed = wanted.where((F.col("forms") > 1) & (F.col("reach") > VARIETY) & (F.col("tokens") > LEADING))
     line_key = [*leaf, "literal"]
     texts = (
         _maybe(lines, mixed.select(*leaf).distinct()).select(*line_key, "line").distinct()
         .join(mixed.select(*line_key, "n"), line_key)
     )
     tokens = written(
-        texts.select(*line_key, "n", F.posexplode(F.split("line", " ")).alias("at", "token")), "tokens"
+        texts.select(*line_key, "n", F.posexplode(F.split("line", " ")).alias("at", "token"))
+        .withColumn("token", F.xxhash64("token")),
+        "tokens",
     )
     support = written(tokens.groupBy(*leaf, "at", "token").agg(F.sum("n").alias("support")), "support")
-    constant = (F.col("support") >= min_docs) | (F.col("at") < LEADING)
     # A template is known by the hash of its tokens' hashes in order.
-    def form(token):
-        return F.xxhash64(F.sort_array(F.collect_list(F.struct("at", F.xxhash64(token).alias("t")))))
-
-    fields = (
+    places = (
         tokens.join(support, [*leaf, "at", "token"])
         .groupBy(*line_key)
-        .agg(
-            F.avg(constant.cast("double")).alias("share"),
-            form(F.when(constant, F.col("token")).otherwise(FIELD)).alias("general"),
-            form(F.col("token")).alias("own"),
-        )
-        .select(*line_key, F.when(F.col("share") >= constant_share, F.col("general")).otherwise(F.col("own")).alias("form"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "token", "support"))).alias("places"))
+    )
+    usual = F.get(F.sort_array("places.support"), (F.col("tokens") * _spare(constant_share) / 100).cast("int"))
+    form = F.zip_with(
+        "places",
+        F.array_repeat(usual, F.size("places")),
+        lambda place, most: F.when(VARIETY * place["support"] < most, F.xxhash64(F.lit(FIELD))).otherwise(place["token"]),
     )
     templates = written(
-        wanted.select(*line_key).join(fields, line_key, "left").select(*line_key, F.coalesce("form", "literal").alias("form")),
+        wanted.select(*line_key).join(places.select(*line_key, F.xxhash64(form).alias("form")), line_key, "left")
+        .select(*line_key, F.coalesce("form", "literal").alias("form")),
         "templates",
     )
     template = [*leaf, "form"]
@@ -122,7 +138,7 @@ def dropped_lines(
     place = F.struct("doc_id", "doc", "pos")
     recurring = written(
         hits.select(*template, "doc_id", "doc").distinct()
-        .groupBy(*template).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        .groupBy(*template).agg(F.count("*").alias("docs")).where(F.col("docs") >= bar)
         .join(hits.groupBy(*template).agg(F.min(place).alias("first")), template),
         "recurring",
     )
@@ -136,6 +152,7 @@ def dedup_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
     constant_share: float = CONSTANT_SHARE,
+    long_line: int = LONG_LINE,
 ) -> DataFrame:
     """``docs`` with shorter texts, and n_lines and n_dropped (longs).
 
@@ -143,10 +160,10 @@ def dedup_lines(
     text, then line.  Blank lines and lines of other templates stay as they are, in order.
     A document that loses all of its lines has an empty text; none disappears.  A null
     text stays null, with no lines.  Rows that repeat a (doc_id, text) count as one
-    document and get the same result.  Columns of ``docs`` other than text pass through.
+    document and get the same result.  Texts of any length are taken whole, in time linear
+    in their lines.  Columns of ``docs`` other than text pass through.
     """
-    drops = dropped_lines(docs.select("doc_id", "text"), min_docs, constant_share)
-    split = F.split("text", "\n")
+    drops = dropped_lines(docs.select("doc_id", "text"), min_docs, constant_share, long_line)
     # Prefixed names: whatever columns docs has, none clashes.
     keyed = docs.withColumn("__doc", F.xxhash64("doc_id", "text"))
     found = drops.select(
@@ -158,21 +175,29 @@ def dedup_lines(
         (keyed["__doc"] == found["__doc"]) & keyed["doc_id"].eqNullSafe(found["__doc_id"]),
         "left",
     )
-    rest = F.array_join(
-        F.filter(split, lambda line, i: ~F.array_contains(F.col("__drop"), i)), "\n"
+    # The lines between two dropped ones stay; both columns are read twice, so neither is computed within the lambda.
+    parts = joined.withColumn("__lines", F.split("text", "\n"))
+    minus = F.array(F.lit(-1))
+    rest = F.zip_with(
+        F.concat(minus, "__drop"),
+        F.concat("__drop", F.array(F.size("__lines"))),
+        lambda before, after: F.slice("__lines", before + 2, after - before - 1),
     )
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(rest)
+    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(rest), "\n"))
     others = [F.col(f"`{c}`") if c != "text" else text.alias("text") for c in docs.columns]
     others = [c for c, n in zip(others, docs.columns) if n not in ("n_lines", "n_dropped")]
-    return joined.select(
+    return parts.select(
         *others,
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
-def sql(min_docs: int = MIN_DOCS, constant_share: float = CONSTANT_SHARE) -> str:
+def sql(min_docs: int = MIN_DOCS, constant_share: float = CONSTANT_SHARE, long_line: int = LONG_LINE) -> str:
     """The same over the table ``documents`` in SQL: doc_id, text, n_lines, n_dropped."""
+    def bar(tokens: str) -> str:
+        return f"CASE WHEN {tokens} < {long_line} THEN {min_docs} ELSE {min(2, min_docs)} END"
+
     return f"""
 WITH raw AS (
   SELECT row_number() OVER () AS r, doc_id, text FROM documents),
@@ -194,7 +219,7 @@ forms AS (
   SELECT n_tok, lead, line, any_value(toks) AS toks, count(DISTINCT (doc_id, text)) AS n
   FROM parsed GROUP BY n_tok, lead, line),
 busy AS (
-  SELECT n_tok, lead, count(*) AS k FROM forms GROUP BY n_tok, lead HAVING sum(n) >= {min_docs}),
+  SELECT n_tok, lead, count(*) AS k FROM forms GROUP BY n_tok, lead HAVING sum(n) >= {bar("n_tok")}),
 wanted AS (SELECT f.*, b.k FROM forms f JOIN busy b USING (n_tok, lead)),
 tokens AS (
   SELECT n_tok, lead, line, n, i AS spot, toks[i] AS token
@@ -202,19 +227,20 @@ tokens AS (
   WHERE k > 1 AND n_tok > {LEADING}),
 support AS (
   SELECT n_tok, lead, spot, token, sum(n) AS s FROM tokens GROUP BY n_tok, lead, spot, token),
+placed AS (SELECT * FROM tokens JOIN support USING (n_tok, lead, spot, token)),
+usual AS (
+  SELECT line, list_sort(list(s))[any_value(n_tok) * {_spare(constant_share)} // 100 + 1] AS most FROM placed GROUP BY line),
 general AS (
-  SELECT line, string_agg(CASE WHEN s >= {min_docs} OR spot <= {LEADING} THEN token ELSE '{FIELD}' END,
-                          ' ' ORDER BY spot) AS template
-  FROM tokens JOIN support USING (n_tok, lead, spot, token) GROUP BY line
-  HAVING avg(CASE WHEN s >= {min_docs} OR spot <= {LEADING} THEN 1.0 ELSE 0.0 END) >= {constant_share}),
+  SELECT line, string_agg(CASE WHEN {VARIETY} * s < most THEN '{FIELD}' ELSE token END, ' ' ORDER BY spot) AS template
+  FROM placed JOIN usual USING (line) GROUP BY line),
 hits AS (
-  SELECT p.r, p.doc_id, p.text, p.pos, coalesce(g.template, p.line) AS template
+  SELECT p.r, p.doc_id, p.text, p.pos, p.n_tok, coalesce(g.template, p.line) AS template
   FROM parsed p JOIN wanted w ON w.line = p.line LEFT JOIN general g ON g.line = p.line),
 ordered AS (
   SELECT *, first_value(r) OVER w AS first_r, first_value(pos) OVER w AS first_pos
   FROM hits WINDOW w AS (PARTITION BY template ORDER BY doc_id NULLS FIRST, r, pos)),
 recurring AS (
-  SELECT template FROM hits GROUP BY template HAVING count(DISTINCT (doc_id, text)) >= {min_docs}),
+  SELECT template FROM hits GROUP BY template, n_tok HAVING count(DISTINCT (doc_id, text)) >= {bar("n_tok")}),
 drops AS (
   SELECT r, pos FROM ordered JOIN recurring USING (template) WHERE NOT (r = first_r AND pos = first_pos))
 SELECT raw.doc_id AS doc_id,

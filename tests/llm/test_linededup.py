@@ -54,7 +54,35 @@ def test_random_texts_equal_sql(spark):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
-    mine = dedup_lines(docs, min_docs=4, constant_share=0.6).select("doc_id", "text", "n_lines", "n_dropped")
-    theirs = con.execute(sql(4, 0.6)).fetchall()
+    mine = dedup_lines(docs, min_docs=4, constant_share=0.6, long_line=6).select("doc_id", "text", "n_lines", "n_dropped")
+    theirs = con.execute(sql(4, 0.6, 6)).fetchall()
     assert sorted(map(tuple, mine.collect())) == sorted(theirs)
     assert sum(r[3] for r in theirs) > 50
+
+
+def test_long_lines_recur_from_two_documents(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    short = "see you all there"
+    docs = spark.createDataFrame([(i, f"{passage}\n{short}\nits own {c}") for i, c in enumerate("abc")], SCHEMA)
+    assert _rows(dedup_lines(docs)) == {
+        0: (f"{passage}\n{short}\nits own a", 0), 1: (f"{short}\nits own b", 1), 2: (f"{short}\nits own c", 1)}
+
+
+def test_fields_do_not_depend_on_the_number_of_rows(spark):
+    def dropped(names, topics, copies):
+        lines = [f"posted by the user n{chr(97 + i % 26)}{chr(97 + i // 26)} in t{chr(97 + j % 26)}{chr(97 + j // 26)} on one page of our forum"
+                 for i in range(names) for j in range(topics)] * copies
+        docs = spark.createDataFrame(list(enumerate(lines)), SCHEMA)
+        return docs.count() - dedup_lines(docs).where("n_dropped = 0").count(), len(lines)
+
+    for names, topics, copies in ((10, 10, 1), (30, 10, 1), (30, 30, 1), (10, 10, 10)):
+        gone, rows = dropped(names, topics, copies)
+        assert gone == rows - 1
+
+
+def test_very_long_texts(spark):
+    lines = [f"line that many share {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} and so on it goes" for i in range(6_000)]
+    rows = [(d, "\n".join(x for i, line in enumerate(lines) for x in (line, f"z{d} {i}") if i % 2 or x == line)) for d in range(3)]
+    got = dedup_lines(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()
+    assert got[0]["n_dropped"] <= got[1]["n_dropped"] == got[2]["n_dropped"]
+    assert all(r["n_lines"] == 9_000 and len(r["text"].split("\n")) == 9_000 - r["n_dropped"] for r in got)
