@@ -2,28 +2,40 @@
 
 A byte-pair tokenizer works on pre-tokens, so the ids of a text are those of its chunks in
 order, as long as no pre-token crosses a chunk's border.  Chunks repeat, so their ids are
-remembered.  Texts in which a border might not be safe are encoded whole.
+remembered.  A chunk that is not known is taken as its word and the punctuation after it,
+which repeat more often.  Texts in which a border might not be safe are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 from functools import cache
 
-import numpy as np
-
-REMEMBERED = 600_000
+REMEMBERED = 1_400_000
 LONGEST = 40  # characters of a chunk that is remembered
 
 # A chunk is white space and the run of other characters after it.
 _LEADING = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 # White space that is neither space nor line feed, and separators some libraries call space.
-_ODD = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+_ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_ODD_ASCII = [c for c in _ODD if c.isascii()]
+# After a letter or digit each of these begins a pre-token.
+_TAIL = string.punctuation.replace("'", "")
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 class Encoder:
-    """ids(text) as little-endian unsigned 32-bit bytes."""
+    """ids(text) as little-endian unsigned 32-bit bytes.
+
+    Memory has two ages of half the bound each: when the young one is full it becomes the
+    old one, and what is used again moves over, so frequent chunks stay.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         # Spark runs a worker per core: threads of the library's own would only spin.
@@ -33,45 +45,64 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.remembered = remembered
-        self.memory: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         # White space is dropped by the word tokenizer: its chunks need none.
-        probe = self.tokenizer.encode(" a", add_special_tokens=False).ids
-        self.spaceless = probe == self.tokenizer.encode("a", add_special_tokens=False).ids
+        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (" a", "a", "A")]
+        self.spaceless = ids[0] == ids[1]
+        self.caseless = ids[1] == ids[2]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _chunks(self, text: str) -> list[str]:
-        if not self.spaceless:
-            return _LEADING.findall(text)
-        found: list[str] = []
-        for word in text.split():
-            # Full stops and commas are pre-tokens of their own after letters.
-            if word[-1] in ".," and word[:-1].isalpha():
-                found += (word[:-1], word[-1])
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _parts(self, chunk: str) -> list[str]:
+        word = chunk.rstrip(_TAIL)
+        parts = [word, chunk[len(word) :]] if len(word) < len(chunk) and word[-1:].isalnum() else [chunk]
+        return [p.lower() if p.isascii() else p for p in parts] if self.caseless else parts
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of all these chunks, some of which the young memory lacks."""
+        if len(self.young) > self.remembered // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        known: dict[str, bytes] = {}
+        parts: dict[str, list[str]] = {}
+        for c in set(chunks):
+            ids = young.get(c)
+            if ids is None:
+                ids = old.get(c)
+            if ids is None:
+                parts[c] = self._parts(c)
+            else:
+                known[c] = ids
+        of_part: dict[str, bytes] = {}
+        missing = []
+        for p in {p for found in parts.values() for p in found}:
+            ids = young.get(p)
+            if ids is None:
+                ids = old.get(p)
+            if ids is None:
+                missing.append(p)
             else:
-                found.append(word)
-        return found
+                of_part[p] = ids
+        if missing:
+            encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            of_part.update((p, _bytes(e.ids)) for p, e in zip(missing, encoded))
+        known.update((c, b"".join([of_part[p] for p in found])) for c, found in parts.items())
+        for found in (known, of_part):
+            young.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
+        return known
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
+        if any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD)):
             return self._whole(text)
-        chunks = self._chunks(text)
-        known = self.memory
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if missing:
-            if len(known) + len(missing) > self.remembered:
-                missing = list(dict.fromkeys(chunks))
-                known = self.memory = {}
-            encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(missing, encoded))
-        ids = b"".join(map(known.__getitem__, chunks))
-        for c in missing:
-            if len(c) > LONGEST:
-                del known[c]
-        return ids
+        chunks = text.split() if self.spaceless else _LEADING.findall(text)
+        try:
+            return b"".join(map(self.young.__getitem__, chunks))
+        except KeyError:
+            return b"".join(map(self._learn(chunks).__getitem__, chunks))
 
 
 @cache

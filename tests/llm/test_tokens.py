@@ -13,12 +13,12 @@ from llm.tokens import Encoder, vocabulary
 TEXTS = [
     "", "a", " a", "a ", "  two  spaces ", "line\nbreaks\n\n\nand  more\n", "Don't they're 'quoted' it's", "tab\tand space",
     "x.y,z. A.B, end.", "ÀÉÎ é ﬁ Ω ΣΑΣ", "数字 123 4567.89", "<|endoftext|> here <|startoftext|>", "emoji 😀😀 .", "w" * 500, "a\x1cb \x85 c",
-    "MiXeD Case Words", "...", ",", "word ." * 50, "\r\nwindows\r\n",
+    "MiXeD Case Words", "...", ",", "end&&& 'tis, dogs' don't!? I'LL\u0301. = \u0338 x=\u0338 (a) 12%.5%. ΣΑΣ. ΣΑΣ ½. Ⅷ,", "a\xa0b\u2003c\u3000", "word ." * 50, "\r\nwindows\r\n",
 ]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-@pytest.mark.parametrize("remembered", [400_000, 8])
+@pytest.mark.parametrize("remembered", [400_000, 8, 40])
 def test_encoder_equals_library(name, remembered):
     whole = Tokenizer.from_file(vocabulary(name))
     whole.encode_special_tokens = True
