@@ -60,38 +60,30 @@ class Encoder:
         parts = [word, chunk[len(word) :]] if len(word) < len(chunk) and word[-1:].isalnum() else [chunk]
         return [p.lower() if p.isascii() else p for p in parts] if self.caseless else parts
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of all these chunks, some of which the young memory lacks."""
+    def _learn(self, chunks: list[str]) -> list[str]:
+        """Take all these chunks into the young memory; those that are too long to stay there."""
         if len(self.young) > self.remembered // 2:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        known: dict[str, bytes] = {}
         parts: dict[str, list[str]] = {}
-        for c in set(chunks):
-            ids = young.get(c)
-            if ids is None:
-                ids = old.get(c)
-            if ids is None:
-                parts[c] = self._parts(c)
+        for c in set(chunks).difference(young):
+            if c in old:
+                young[c] = old[c]
             else:
-                known[c] = ids
-        of_part: dict[str, bytes] = {}
+                parts[c] = self._parts(c)
         missing = []
-        for p in {p for found in parts.values() for p in found}:
-            ids = young.get(p)
-            if ids is None:
-                ids = old.get(p)
-            if ids is None:
-                missing.append(p)
+        for p in {p for found in parts.values() for p in found}.difference(young):
+            if p in old:
+                young[p] = old[p]
             else:
-                of_part[p] = ids
+                missing.append(p)
         if missing:
             encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            of_part.update((p, _bytes(e.ids)) for p, e in zip(missing, encoded))
-        known.update((c, b"".join([of_part[p] for p in found])) for c, found in parts.items())
-        for found in (known, of_part):
-            young.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
-        return known
+            young.update(zip(missing, [_bytes(e.ids) for e in encoded]))
+        for c, found in parts.items():
+            if found[0] != c:
+                young[c] = b"".join([young[p] for p in found])
+        return [c for c in {*parts, *missing} if len(c) > LONGEST]
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -102,7 +94,12 @@ class Encoder:
         try:
             return b"".join(map(self.young.__getitem__, chunks))
         except KeyError:
-            return b"".join(map(self._learn(chunks).__getitem__, chunks))
+            pass
+        long = self._learn(chunks)
+        ids = b"".join(map(self.young.__getitem__, chunks))
+        for c in long:
+            del self.young[c]
+        return ids
 
 
 @cache
