@@ -6,7 +6,8 @@ in.  The ratio of text to tags of the lines is smoothed by a Gaussian and cluste
 threshold into content and the rest.  The page's article, if marked up, or else the
 smallest container of all lines that are not mostly links is the region; its lines are the
 text, but for those in menus, headers, footers, sidebars, notices, adverts, forms and
-comments.  Without an article, a word in a class marks no container of most of the text.
+comments.  A word in a class marks no container of most of the region's text.  Of several
+articles the one with most text in content lines counts.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ MARKED = frozenset(
     "complementary contentinfo dialog alert".split()
 )
 TALK = frozenset("comment comments commentlist respond disqus replies reply discussion".split())
+ADVERT = frozenset("ad ads advert adverts advertisement sponsor sponsored promo".split())
+DENIED = re.compile(r"(?:^|\s)(?:no|non|not|has|with|without)[-_]\S*")  # "has-sidebar" is said of what stands around one
 MAIN = frozenset("article main".split())
 CLOSED_BY_BLOCK = frozenset("p li dt dd option".split())
 WORDS = re.compile(r"[a-z]+")
@@ -54,7 +57,10 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, bool, float, int]] = []
         self.parents = [0]  # container -> the one around it
         self.kinds = ["page"]
-        self.stack: list[tuple[str, int, str, int]] = [("", 0, "", 0)]  # tag, container, why it is left out, innermost marked one
+        # Tag, container, why it is left out, innermost marked one, within an article or main part.
+        self.stack: list[tuple[str, int, str, int, bool]] = [("", 0, "", 0, False)]
+        self.open: dict[str, int] = {}  # tag -> how many are on the stack
+        self.muted: list[str] = []  # open inline elements from the advert on
         self.marks: dict[int, int] = {}  # marked container -> the marked one around it, or 0
         self.parts: list[str] = []
         self.tags = 0
@@ -64,15 +70,23 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, container, why, mark = self.stack[-1]
+            _, container, why, mark, _ = self.stack[-1]
             self.lines.append((text, self.tags, container, bool(why), self.linked / len(text), mark))
         self.parts, self.tags, self.linked = [], 0, 0
+        self.muted = []
+
+    def _pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.open[tag] -= 1
+        return tag
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag == "a":
             self.links += 1
         if tag in INLINE and tag != "br":
+            if tag not in NO_END and (self.muted or _words(attrs) & ADVERT):
+                self.muted.append(tag)
             return
         tags = self.tags
         self._end_line()
@@ -80,11 +94,10 @@ class _Lines(HTMLParser):
         if tag in NO_END:
             return
         while len(self.stack) > 1 and self.stack[-1][0] in CLOSED_BY_BLOCK and tag not in ("ul", "ol", "dl"):
-            self.stack.pop()
+            self._pop()
         self.links = 0
-        _, around, why, mark = self.stack[-1]
-        words = {w for n, v in attrs if n in ("class", "id", "role") and v for w in WORDS.findall(v.lower())}
-        in_main = any(t in MAIN for t, _, _, _ in self.stack)
+        _, around, why, mark, in_main = self.stack[-1]
+        words = _words(attrs)
         if tag in MAIN and why in ("", "around"):
             why, mark = "", 0  # an unclosed advert does not swallow the article
         if not why:
@@ -101,7 +114,8 @@ class _Lines(HTMLParser):
                 mark = len(self.parents)
         self.parents.append(around)
         self.kinds.append(tag if not words & {"main"} or tag in MAIN else "main")
-        self.stack.append((tag, len(self.parents) - 1, why, mark))
+        self.stack.append((tag, len(self.parents) - 1, why, mark, in_main or tag in MAIN))
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # HTML has no self-closing containers: <div/> opens one.
@@ -112,15 +126,19 @@ class _Lines(HTMLParser):
         if tag == "a":
             self.links = max(0, self.links - 1)
         if tag in INLINE:
+            if tag in self.muted:
+                while self.muted.pop() != tag:
+                    pass
             return
         self._end_line()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                self.links = 0
-                break
+        if self.open.get(tag):
+            while self._pop() != tag:
+                pass
+            self.links = 0
 
     def handle_data(self, data: str) -> None:
+        if self.muted:
+            return
         self.parts.append(data)
         if self.links:
             self.linked += len(data.strip())
@@ -130,6 +148,11 @@ class _Lines(HTMLParser):
         self._end_line()
 
 
+def _words(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """Words of what an element's class, id and role say of itself."""
+    return {w for n, v in attrs if n in ("class", "id", "role") and v for w in WORDS.findall(DENIED.sub(" ", v.lower()))}
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Ratios after a Gaussian over neighbouring lines; the ends repeat."""
     at = np.arange(-REACH, REACH + 1)
@@ -145,72 +168,79 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.finish()
     lines = parser.lines
-    usable = [i for i, line in enumerate(lines) if not line[3] and not line[5]]
-    region = _article(parser, usable)
-    marked = region is not None
-    if not marked:
-        usable = _unmarked(parser)
-        region = _around(parser, [i for i in usable if lines[i][4] < LINKED] or usable)
-    if not usable:
+    if not lines:
         return ""
     ratios = np.array([len(line[0]) / max(line[1], 1) for line in lines])
     smooth = smoothed(ratios)
+    last = _last(parser.parents)
+    inner = [i for i, line in enumerate(lines) if not line[3]]
+    region = _article(parser, inner, smooth >= smooth.std())
+    marked = region is not None
+    if marked:
+        inner = [i for i in inner if region <= lines[i][2] <= last[region]]
+    usable = _unmarked(parser, inner)
+    if not usable:
+        return ""
+    if not marked:
+        region = _around(parser, last, [i for i in usable if lines[i][4] < LINKED] or usable)
     content = {i for i in usable if smooth[i] >= smooth.std()} or set(usable)
-
-    def inside(at: int) -> bool:
-        while at > region:
-            at = parser.parents[at]
-        return at == region
-
     kept = [
         lines[i][0] for i in usable
-        if inside(lines[i][2]) and (marked or i in content or lines[i][4] < LINKED)
+        if region <= lines[i][2] <= last[region] and (marked or i in content or lines[i][4] < LINKED)
     ]
     return " ".join(kept)
 
 
-def _article(parser: _Lines, usable: list[int]) -> int | None:
-    """The article, or else the main part, with most text; None if the page has neither."""
-    mass: dict[int, int] = {}
-    for i in usable:
-        at = parser.lines[i][2]
-        while at:
-            mass[at] = mass.get(at, 0) + len(parser.lines[i][0])
-            at = parser.parents[at]
+def _last(parents: list[int]) -> list[int]:
+    """The last container within each one; containers are numbered outside in, in page order."""
+    last = list(range(len(parents)))
+    for c in range(len(parents) - 1, 0, -1):
+        last[parents[c]] = max(last[parents[c]], last[c])
+    return last
+
+
+def _article(parser: _Lines, inner: list[int], content: np.ndarray) -> int | None:
+    """The article, or else the main part, with most text in content lines, then with most text; None if the page has neither."""
+    mass = [(0, 0)] * len(parser.parents)
+    for i in inner:
+        size = len(parser.lines[i][0])
+        main, all_ = mass[parser.lines[i][2]]
+        mass[parser.lines[i][2]] = (main + size * bool(content[i]), all_ + size)
+    for c in range(len(mass) - 1, 0, -1):
+        main, all_ = mass[parser.parents[c]]
+        mass[parser.parents[c]] = (main + mass[c][0], all_ + mass[c][1])
     for kind in ("article", "main"):
-        found = [c for c in mass if parser.kinds[c] == kind]
+        found = [c for c, (_, all_) in enumerate(mass) if all_ and parser.kinds[c] == kind]
         if found:
             return max(found, key=lambda c: (mass[c], -c))
     return None
 
 
-def _unmarked(parser: _Lines) -> list[int]:
-    """Lines in no marked container but those that hold most of the text outside links."""
-    mass: dict[int, int] = {}
+def _unmarked(parser: _Lines, inner: list[int]) -> list[int]:
+    """Those of ``inner`` in no marked container but those that hold most of their text outside links."""
+    mass = dict.fromkeys(parser.marks, 0)
     total = 0
-    for text, _, _, out, linked, mark in parser.lines:
-        if out or linked >= LINKED:
-            continue
-        total += len(text)
-        while mark:
-            mass[mark] = mass.get(mark, 0) + len(text)
-            mark = parser.marks[mark]
+    for i in inner:
+        text, _, _, _, linked, mark = parser.lines[i]
+        if linked < LINKED:
+            total += len(text)
+            if mark:
+                mass[mark] += len(text)
+    for mark in reversed(parser.marks):  # inside out
+        if parser.marks[mark]:
+            mass[parser.marks[mark]] += mass[mark]
     left_out = {0: False}
     for mark, outer in parser.marks.items():  # outside in
-        left_out[mark] = left_out[outer] or 2 * mass.get(mark, 0) <= total
-    return [i for i, line in enumerate(parser.lines) if not line[3] and not left_out[line[5]]]
+        left_out[mark] = left_out[outer] or 2 * mass[mark] <= total
+    return [i for i in inner if not left_out[parser.lines[i][5]]]
 
 
-def _around(parser: _Lines, chosen: list[int]) -> int:
+def _around(parser: _Lines, last: list[int], chosen: list[int]) -> int:
     """The smallest container of all these lines."""
-    region = parser.lines[chosen[0]][2] if chosen else 0
-    for i in chosen:
-        at = parser.lines[i][2]
-        while at != region:  # containers are numbered outside in
-            if at > region:
-                at = parser.parents[at]
-            else:
-                region = parser.parents[region]
+    within = [parser.lines[i][2] for i in chosen]
+    region, end = min(within), max(within)
+    while last[region] < end:
+        region = parser.parents[region]
     return region
 
 

@@ -32,6 +32,10 @@ LONG = "A sentence of the article that goes on for quite a while. " * 12
 
 
 @pytest.mark.parametrize("html, text", [
+    (f"<article><h1>Title</h1><div class='no-share'><p>{LONG}</p></div></article>", f"Title {LONG}"),
+    (f"<article class='has-sidebar'><h1>Title</h1><div class='widget body'><p>{LONG}</p><div class='share'>Share this</div></div></article>", f"Title {LONG}"),
+    (f"<article><p>{LONG}<span class='advert'>Buy <b>now</b></span>End.</p><p><span class=ad>never closed</p><p>More.</p></article>", f"{LONG}End. More."),
+    (f"<main><article><p>A teaser.</p></article><article><p>{LONG}</p></article></main>", LONG),
     (f"<div><h1>Title</h1><p>Intro</p><blockquote>{LONG}</blockquote></div>", f"Title Intro {LONG}"),
     (f"<div><section><p>Short part.</p></section><section><p>{LONG}</p></section></div>", f"Short part. {LONG}"),
     (f"<div><pre>x = 1</pre><ul><li>{LONG}</li></ul></div>", f"x = 1 {LONG}"),
@@ -46,6 +50,8 @@ def test_whole_articles_in_plain_containers(html, text):
 def test_long_and_nested_pages():
     deep = "<div>" * 3000 + "<article><p>core</p></article>" + "</div>" * 3000
     assert main_text(deep) == "core"
+    assert main_text("<div>x" * 30_000) == " ".join("x" * 30_000)
+    assert main_text("<div>x</p></ul>" * 30_000) == " ".join("x" * 30_000)
     assert len(main_text("<article>" + "<p>word word</p>" * 20_000 + "</article>")) == 20_000 * 10 - 1
 
 
