@@ -118,3 +118,12 @@ def test_worklist(spark):
     cache = spark.createDataFrame([("A",)], "asin_key string")
     assert {(r[0], r[1]) for r in merge.detail_worklist(listing, cache).collect()} == {("C", 1), ("D", 5)}
     assert [r[0] for r in merge.detail_worklist(listing, cache, 1).collect()] == ["C"]
+
+
+def test_worklist_of_a_cache_without_codes_compares_no_pairs(spark):
+    listing = spark.createDataFrame([(1, "c"), (2, "A"), (3, "C"), (4, "")], "seq long, asin string")
+    for code in ("", None):
+        cache = listing.select(F.lit(code).cast("string").alias("asin_key"))
+        todo = merge.detail_worklist(listing, cache, 100)
+        assert [(r[0], r[1]) for r in todo.collect()] == [("C", 1), ("A", 2)]
+        assert "NestedLoopJoin" not in todo._jdf.queryExecution().executedPlan().toString()
