@@ -1,9 +1,13 @@
 import re
 import time
 
+from pyspark.sql import functions as F
+
 from shelfwatch.functions import fixed as K
+from shelfwatch.plans import views
+from shelfwatch.session import PARTITIONS_SETTING
 from shelfwatch.sources import pages
-from shelfwatch.sources.outline import index_marks, outline
+from shelfwatch.sources.outline import _plain_page, _Reader, index_marks, outline
 
 PAGE = "page_id long, url string, html string, category string"
 
@@ -166,3 +170,50 @@ def test_other_elements_are_not_read(spark):
     assert len(" ".join(row["pieces"]).split()) == len(words) and row["raws"] == []
     plan = pages.extract_details(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(marks" not in plan
+
+
+def test_plain_pages_read_as_the_parser_reads_them():
+    tags = index_marks(pages.DETAIL_MARKS).tags(pages.ATTRIBUTES, pages.LABEL_MARKS)
+    plain = (
+        "", "text &amp; more", '<!DOCTYPE html>a<p>b<!-- c -->d</P><br>e<BR></br><div id="buybox" hidden class="">f',
+        "<script>1 &amp; 2</SCRIPT ><style></style><b>x > y</b>", '<a href="/?a=1&amp;b=2" href="z"\n>&lt;&#1;</a></nothing><td><p>&am',
+    )
+    odd = ("<script>'<b>'</script>", "<a title='q'>", "<br/>", '<a title="x>y">', "1 < 2", "<", "<p", "<!-- a > b -->", "<script>", "<?x><p>")
+    for html in plain + odd:
+        read, whole = _plain_page(html, tags), _Reader(tags).read(html)
+        assert (read is None) == (html in odd), html
+        if read:
+            assert {k: v for k, v in vars(read).items() if k != "_names"} == {k: v for k, v in vars(whole).items() if k != "_names"}, html
+
+
+def test_plain_pages_take_a_fraction_of_the_parser_s_time():
+    tags = index_marks(pages.LISTING_MARKS).tags(pages.ATTRIBUTES, ())
+    html = '<div class="x"><span class="a-price"><b class="a-offscreen">EGP 9</b></span></div>' * 200
+
+    def took(read):
+        start = time.process_time()
+        read()
+        return time.process_time() - start
+
+    assert min(took(lambda: _plain_page(html, tags)) for _ in range(9)) < 0.6 * min(took(lambda: _Reader(tags).read(html)) for _ in range(9))
+
+
+def test_pages_made_of_a_small_file_are_read_by_many_tasks(spark, tmp_path):
+    spark.range(40).selectExpr("id AS p_partkey", "1.5D AS p_retailprice", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size", "'n' AS p_name").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    count = spark.conf.get(PARTITIONS_SETTING)
+    spark.conf.unset(PARTITIONS_SETTING)
+    try:
+        found = pages.extract_details(views.detail_pages(spark, str(tmp_path)))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        # Rows are dealt while they are narrow, and no page is made ahead of that.
+        dealt, below = plan.rpartition("Repartition ")[1:]
+        assert dealt and "<html" not in below
+        assert found.select("page_id", "price", F.spark_partition_id().alias("task")).distinct().groupBy().agg(F.countDistinct("task")).first()[0] == 4
+    finally:
+        spark.conf.set(PARTITIONS_SETTING, count)
+
+
+def test_blocked_pages_are_left_out(spark):
+    df = spark.createDataFrame([(1, "u", "<p>OPFcaptcha</p>", None), (2, "u", None, None), (3, "u", "<h1>x</h1>", None)], PAGE)
+    assert [r["page_id"] for r in pages.drop_blocked(df).orderBy("page_id").collect()] == [2, 3]
+    assert sorted(r["page_id"] for r in pages.extract_articles(df).collect()) == [2, 3]
