@@ -1,10 +1,12 @@
 import random
+import re
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import fixed as K
-from shelfwatch.operators import clean, merge, quality
+from shelfwatch.operators import clean, dimension, facts, merge, quality
 
 RAW = "seq long, asin string, title string, price string, original_price string, rating string, category string, brand string, availability string"
 ROWS = [
@@ -127,3 +129,23 @@ def test_worklist_of_a_cache_without_codes_compares_no_pairs(spark):
         todo = merge.detail_worklist(listing, cache, 100)
         assert [(r[0], r[1]) for r in todo.collect()] == [("C", 1), ("A", 2)]
         assert "NestedLoopJoin" not in todo._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_by_code_never_pass_the_driver(spark, tmp_path):
+    """A written table of codes looks small to the planner, however many rows it has."""
+    spark.range(200).selectExpr("'P' || id AS asin", "'P' || id AS sku", "id AS seq", "id AS product_id", "current_timestamp()::timestamp_ntz AS created_at", "current_timestamp()::timestamp_ntz AS updated_at").write.parquet(f"{tmp_path}/codes")
+    codes = spark.read.parquet(f"{tmp_path}/codes")
+    detail = codes.select(F.col("asin").alias("asin_key"), F.lit("x").alias("brand"))
+    dim = codes.select("product_id", "sku", "created_at", "updated_at")
+    at = datetime(2024, 1, 1)
+    made = {
+        "enrich": merge.enrich(codes.select("asin", "seq"), detail),
+        "worklist": merge.detail_worklist(codes, detail),
+        "upsert": dimension.upsert_latest(dim, codes.select("sku"), at, 0),
+        "facts": facts.append_facts(codes.select("sku", "seq"), dim, at, 1),
+    }
+    for name, df in made.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and not re.search(r"BroadcastHashJoin \[(sku|seq|asin_key)", plan), name
+    assert made["enrich"].where("brand = 'x'").count() == made["upsert"].count() == made["facts"].count() == 200
+    assert made["worklist"].count() == 0
